@@ -10,7 +10,8 @@ SPACE_CHARS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-SPACE_RUN = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+# the same set as a pattern; \p{Z} is one look-up where a list of ranges is many
+SPACE_RUN = r"[\s\x1c-\x1f\x85\p{Z}]+"
 
 # --- fixed values: decimal number text, digits may be grouped with "_" -------
 NUMBER_TEXT = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"

@@ -15,6 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a few unsplittable files, spread over the cores for heavy per-row work.
+
+    The test tables are single files with one row group, hence one task. Where
+    there are at least as many files as cores nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+
+
 def _nth(values: list[str], index: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (index + 1).cast("int"))
 
@@ -26,6 +36,8 @@ def tickets(spark: SparkSession, sf_dir: str, description: bool = True) -> DataF
     read the text.
     """
     orders = table(spark, sf_dir, "orders")
+    if description:
+        orders = spread(orders)
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     base = orders.join(customers, orders.o_custkey == customers.c_custkey)
     k, c = F.col("o_orderkey"), F.col("c_custkey")
@@ -97,7 +109,7 @@ def stage_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents table as a retrieval corpus."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         F.col("doc_id").alias("doc_order"),
         F.concat(F.lit("TKT-"), F.col("doc_id") + 100000).alias("ticket_id"),
         F.col("lang").alias("issue_category"),

@@ -25,6 +25,12 @@ def local_session(cores: int | str = "*", app: str = "ticketlake", memory: str =
     return spark
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists on whichever file system the path names."""
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark._jsc.hadoopConfiguration()).exists(name)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, empty folder name under the cluster's shared checkpoint folder.
 

@@ -128,3 +128,51 @@ def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def subject_queries(spark: SparkSession) -> DataFrame:
     """The five subject lines as search queries."""
     return spark.createDataFrame(list(enumerate(SUBJECTS, 1)), "query_id bigint, query string")
+
+
+def contract_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per order whose fields walk through the edge cases of each rule."""
+    orders = table(spark, sf_dir, "orders")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    base = orders.join(customers, orders.o_custkey == customers.c_custkey)
+    k, name = F.col("o_orderkey"), F.col("c_name")
+
+    def walk(every: int, cases: list[str | None], otherwise: Column) -> Column:
+        result = F.when(k % every == 0, F.lit(cases[0]).cast("string"))
+        for i, case in enumerate(cases[1:], 1):
+            result = result.when(k % every == i, F.lit(case).cast("string"))
+        return result.otherwise(otherwise)
+
+    return base.select(
+        k.alias("seq"),
+        walk(11, EDGE_IDS, F.concat(F.lit("\t "), name, F.lit(" \n"))).alias("Ticket_ID"),
+        walk(13, EDGE_IDS, name).alias("Customer_Name"),
+        walk(9, EDGE_PRIORITIES, F.lit("Medium")).alias("Priority_Level"),
+        walk(17, EDGE_HOURS, (k % 100).cast("string")).alias("Resolution_Time_Hours"),
+        walk(19, EDGE_SCORES, (k % 6).cast("string")).alias("Satisfaction_Score"),
+    )
+
+
+EDGE_IDS = [None, "", "  ", "None", "NaN", " nan "]
+EDGE_PRIORITIES = [None, "", " ", "high", "URGENT", " Low ", "Critical"]
+EDGE_HOURS = [None, "", "abc", "-3", "12", " 7.5 ", "nan", "1_0", "4d", "1e1", ".5"]
+EDGE_SCORES = [None, "", "nan", " 4 ", "0.999", "5.001", "abc", "  ", "1", "5.0", "4d", "1e0", "-inf"]
+EDGE_JSON = ["null", "7", "true", '["x"]', '{"y": 1}', '"text"']
+
+
+def typed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON records per order whose values are not always strings, or are missing."""
+    k = F.col("o_orderkey")
+
+    def value(every: int) -> Column:
+        return F.element_at(F.array(*map(F.lit, EDGE_JSON)), (k % every % len(EDGE_JSON) + 1).cast("int"))
+
+    text = F.concat(
+        F.lit('{"Ticket_ID": '), k, F.lit(', "customer_name": "C'), F.col("o_custkey"),
+        F.lit('", "Customer_Email": '), value(7),
+        F.when(k % 3 == 0, "").otherwise(F.concat(F.lit(', "Priority_Level": '), value(2))),
+        F.lit(', "Resolution_Time_Hours": '), value(11),
+        F.lit(', "Satisfaction_Score": '), value(13),
+        F.lit(', "unknown": 1}'),
+    )
+    return table(spark, sf_dir, "orders").select(k.alias("seq"), text.alias("value"))

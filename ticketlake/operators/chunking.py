@@ -65,8 +65,9 @@ def ticket_text(
     fields["ticket_id"] = F.coalesce(fields["ticket_id"], F.concat(F.lit("TKT-"), number))
     for field, fallback in FALLBACKS.items():
         fields[field] = F.coalesce(fields[field], F.lit(fallback))
+    position = fields["ticket_id"] if order in SPELLINGS["ticket_id"] else F.col(order)
     filled = tickets.select(
-        F.col(order).alias("doc_order"), *[c.alias(name) for name, c in fields.items()]
+        position.alias("doc_order"), *[c.alias(name) for name, c in fields.items()]
     )
     labelled = [F.concat(F.lit(f"{label}: "), F.col(f)) for f, label in TEXT_LABELS.items()]
     return filled.select("doc_order", *METADATA, F.concat_ws(" | ", *labelled).alias("full_text"))

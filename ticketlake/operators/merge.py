@@ -47,7 +47,9 @@ def merge_upsert(
     are kept out of the join, so a mass of null keys never meets in one task.
     """
     incoming = _single_per_key(source, key, order, on_duplicate)
-    keys = incoming.select(key).where(F.col(key).isNotNull())
+    # only the key column is read for the join, and repeats are folded before the shuffle;
+    # Spark broadcasts the keys when it finds them small, else both sides shuffle
+    keys = source.select(key).where(F.col(key).isNotNull()).distinct()
     keyed = target.where(F.col(key).isNotNull()).join(keys, key, "left_anti")
     unkeyed = target.where(F.col(key).isNull())
     return keyed.select(target.columns).unionByName(unkeyed).unionByName(incoming)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ticketlake.functions.text import plain_number, shared_words, tokens, words
 from ticketlake.functions.vectors import embedding, hashing_model
 from ticketlake.operators import topk
-from ticketlake.operators.bm25 import build_index
+from ticketlake.operators.bm25 import Bm25Index, build_index
 from ticketlake.session import scratch_dir
 
 # --- fixed values: retrieval settings and the answer template ----------------
@@ -54,9 +54,11 @@ def _query_words(queries: DataFrame) -> DataFrame:
     return said.withColumn("weights", F.transform("terms", lambda _: F.lit(1.0)))
 
 
-def bm25_topk(chunks: DataFrame, queries: DataFrame, k: int = FUSED_K, **limits) -> DataFrame:
+def bm25_topk(
+    chunks: DataFrame, queries: DataFrame, k: int = FUSED_K, index: Bm25Index | None = None, **limits
+) -> DataFrame:
     """The k best chunks by BM25; ties and zero scores fill up in document order."""
-    index = build_index(chunks)
+    index = index or build_index(chunks)
     return topk.search(
         with_terms(chunks), {"bm25": index.query_weights(queries)}, [index.scorer()], k, CARRY, **limits
     )
@@ -82,6 +84,7 @@ def hybrid_ranks(
     queries: DataFrame,
     k: int = FUSED_K,
     model: Callable | None = None,
+    index: Bm25Index | None = None,
     **limits,
 ) -> DataFrame:
     """Dense and BM25 rank lists from one scan of the corpus, told apart by ``method``.
@@ -89,7 +92,7 @@ def hybrid_ranks(
     A ``vector`` column of ``chunks`` is used as it is; without one the chunks
     are embedded within the scan.
     """
-    index = build_index(chunks)
+    index = index or build_index(chunks)
     embed = None if "vector" in chunks.columns else model or hashing_model()
     return topk.search(
         with_terms(chunks),
@@ -252,9 +255,8 @@ def top_documents(
     chunks: DataFrame,
     queries: DataFrame,
     lists: str = "hybrid",
-    model: Callable | None = None,
     pair_model: Callable | None = None,
-    **limits,
+    **options,
 ) -> DataFrame:
     """Search, fuse, rerank and fill: the ranked chunks behind each answer.
 
@@ -262,9 +264,9 @@ def top_documents(
     they are read more than once and the corpus scan must not be repeated.
     """
     if lists == "hybrid":
-        candidates = fuse(hybrid_ranks(chunks, queries, model=model, **limits))
+        candidates = fuse(hybrid_ranks(chunks, queries, **options))
     elif lists == "lexical":
-        candidates = lexical_candidates(chunks, queries, **limits)
+        candidates = lexical_candidates(chunks, queries, **options)
     else:
         raise ValueError(f"unknown lists: {lists}")
     if pair_model:

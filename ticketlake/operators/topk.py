@@ -4,10 +4,11 @@ Every task scores its share of the corpus against all queries and keeps its own
 best k per query, so what is shuffled is k rows per query and task, not one row
 per query and chunk. Several scorers share the scan.
 
-Queries travel to the tasks as a small table of at most ``MAX_QUERIES`` rows,
-which is checked. Larger query tables take the block path: queries and corpus
-are hashed into blocks of bounded size and every pair of blocks is one task.
-Both paths are exact and give the same rows.
+Queries travel to the tasks as a small table of at most ``MAX_QUERIES`` rows and
+``MAX_QUERY_CELLS`` terms or vector places, which is counted first. Larger query
+tables take the block path: queries and corpus are hashed into blocks of bounded
+size and every pair of blocks is one task. Both paths are exact and give the
+same rows.
 """
 
 from __future__ import annotations
@@ -22,10 +23,13 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from ticketlake.session import scratch_dir
+
 # workers get this module with the task, so they need no installed package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_QUERIES = 2048
+MAX_QUERY_CELLS = 4_000_000
 BLOCK_ROWS = 20_000
 # cells of a score matrix held at once, and kept rows per query before a trim
 SCORE_CELLS = 8_000_000
@@ -35,6 +39,22 @@ SCORE_DIGITS = 6
 MERGE_SALTS = 16
 
 
+def _owners(lists: pa.Array) -> np.ndarray:
+    """For each element of the flattened lists, the number of its list."""
+    return np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+
+
+@dataclass(frozen=True)
+class QueryTerms:
+    """The queries that hold each term of the vocabulary: entries ``ends[t]`` to ``ends[t + 1]``."""
+
+    vocabulary: pa.Array
+    ends: np.ndarray
+    query: np.ndarray
+    weight: np.ndarray
+    n_queries: int
+
+
 @dataclass(frozen=True)
 class TermScorer:
     """Scores chunks by the query terms they hold.
@@ -54,23 +74,26 @@ class TermScorer:
 
     columns = ("terms", "n_terms")
 
-    def prepare(self, queries: pa.Table) -> tuple[pa.Array, np.ndarray]:
+    def prepare(self, queries: pa.Table) -> QueryTerms:
         terms = queries["terms"].combine_chunks()
         flat = terms.flatten().dictionary_encode()
-        weights = np.zeros((len(flat.dictionary), len(terms)))
-        owner = np.repeat(np.arange(len(terms)), pc.list_value_length(terms).to_numpy(zero_copy_only=False))
-        values = queries["weights"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        np.add.at(weights, (flat.indices.to_numpy(zero_copy_only=False), owner), values)
-        return flat.dictionary, weights
-
-    def scores(self, rows: pa.Table, state: tuple[pa.Array, np.ndarray]) -> np.ndarray:
-        vocabulary, weights = state
-        n, v, q = rows.num_rows, max(1, len(vocabulary)), weights.shape[1]
+        term = flat.indices.to_numpy(zero_copy_only=False)
+        weight = queries["weights"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        by_term = np.argsort(term, kind="stable")
+        return QueryTerms(
+            vocabulary=flat.dictionary,
+            ends=np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(flat.dictionary)))]).astype(np.int64),
+            query=_owners(terms)[by_term],
+            weight=weight[by_term],
+            n_queries=len(terms),
+        )
+
+    def scores(self, rows: pa.Table, asked: QueryTerms) -> np.ndarray:
+        n, q, v = rows.num_rows, asked.n_queries, max(1, len(asked.vocabulary))
         terms = rows["terms"].combine_chunks()
-        ids = pc.index_in(terms.flatten(), value_set=vocabulary)
-        owner = np.repeat(np.arange(n), pc.list_value_length(terms).to_numpy(zero_copy_only=False))
+        ids = pc.index_in(terms.flatten(), value_set=asked.vocabulary)
         known = ids.is_valid().to_numpy(zero_copy_only=False)
-        cells = owner[known] * v + ids.drop_null().to_numpy(zero_copy_only=False)
+        cells = _owners(terms)[known] * v + ids.drop_null().to_numpy(zero_copy_only=False)
         # one entry per chunk and known term, in chunk order
         cells, times = np.unique(cells, return_counts=True)
         row, term = cells // v, cells % v
@@ -80,14 +103,23 @@ class TermScorer:
             length = rows["n_terms"].to_numpy().astype(np.float64)
             norm = self.k1 * (1 - self.b + self.b * length / self.avg_len)
             strength = times * (self.k1 + 1) / (times + norm[row])
-        total = np.full((n, q), self.bias)
-        height = max(1, SCORE_CELLS // max(1, q))
-        for at in range(0, len(row), height):
-            part = slice(at, at + height)
-            present, starts = np.unique(row[part], return_index=True)
-            sums = np.add.reduceat(weights[term[part]] * strength[part, None], starts, axis=0)
-            total[present] += sums
-        return total
+        total = np.full(n * q, self.bias)
+        # each entry meets the queries that hold its term; a bounded number at a time
+        width = asked.ends[term + 1] - asked.ends[term]
+        reach = np.cumsum(width)
+        start = 0
+        while start < len(row):
+            before = reach[start] - width[start]
+            stop = max(start + 1, int(np.searchsorted(reach, before + SCORE_CELLS, side="right")))
+            part = slice(start, stop)
+            entry = np.repeat(np.arange(start, stop), width[part])
+            nth = np.arange(len(entry)) + before - (reach - width)[entry]
+            held = asked.ends[term[entry]] + nth
+            total += np.bincount(
+                row[entry] * q + asked.query[held], asked.weight[held] * strength[entry], minlength=n * q
+            )
+            start = stop
+        return total.reshape(n, q)
 
 
 @dataclass(frozen=True)
@@ -242,13 +274,13 @@ def search(
     corpus = corpus.select(*needed)
     schema = _result_schema(corpus, carry)
 
-    small = {}
-    for scorer in scorers:
-        table = queries[scorer.name].limit(max_queries + 1).toArrow()
-        if table.num_rows > max_queries:
-            found = _search_blocks(corpus, queries, scorers, k, carry, schema, max_queries, block_rows)
-            return _keep_best(found, k)
-        small[scorer.name] = table
+    # written once: the size check and the search both read them
+    queries = {name: _written(table) for name, table in queries.items()}
+    sizes = [_query_size(table) for table in queries.values()]
+    if any(rows > max_queries or cells > MAX_QUERY_CELLS for rows, cells in sizes):
+        found = _search_blocks(corpus, queries, scorers, k, carry, schema, max_queries, block_rows)
+        return _keep_best(found, k)
+    small = {name: table.toArrow() for name, table in queries.items()}
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _search((pa.Table.from_batches([b]) for b in batches), scorers, small, k, carry)
@@ -258,6 +290,20 @@ def search(
     return _keep_best(corpus.mapInArrow(task, schema), k)
 
 
+def _written(queries: DataFrame) -> DataFrame:
+    path = scratch_dir(queries.sparkSession, "queries")
+    queries.write.parquet(path)
+    return queries.sparkSession.read.schema(queries.schema).parquet(path)
+
+
+def _query_size(queries: DataFrame) -> tuple[int, int]:
+    """Rows and array cells of a query table."""
+    arrays = [F.size(f.name) for f in queries.schema if isinstance(f.dataType, T.ArrayType)]
+    cells = F.coalesce(F.sum(sum(arrays, F.lit(0).cast("bigint"))), F.lit(0))
+    rows, total = queries.agg(F.count(F.lit(1)), cells).collect()[0]
+    return rows, total
+
+
 def _search_blocks(corpus, queries, scorers, k, carry, schema, max_queries, block_rows) -> DataFrame:
     """Every pair of a corpus block and a query block as one bounded task."""
     found = []
@@ -266,7 +312,8 @@ def _search_blocks(corpus, queries, scorers, k, carry, schema, max_queries, bloc
     spread = F.pmod(F.xxhash64(*ORDER), F.lit(row_blocks)).cast("int")
     for scorer in scorers:
         table = queries[scorer.name]
-        query_blocks = max(1, -(-table.count() // max_queries))
+        rows, cells = _query_size(table)
+        query_blocks = max(1, -(-rows // max_queries), -(-cells // MAX_QUERY_CELLS))
         block = F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int")
 
         left = corpus.select(

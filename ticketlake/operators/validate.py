@@ -118,9 +118,12 @@ def validate_json(
     keep: tuple[str, ...] = (),
     strict: bool = False,
     nan_compat: bool = False,
+    numbers: tuple[str, ...] = (),
 ) -> DataFrame:
     """Judge JSON text records. Text that is no JSON object is rejected, never dropped.
 
+    ``numbers`` names further keys of a record to keep as whole numbers.
+
     The map form of a record keeps values as written (``5.0`` stays ``5.0``)
     and tells absent keys from nulls; the variant form tells strings from
     numbers, booleans and nested values.
@@ -129,15 +132,16 @@ def validate_json(
         {"_record": F.from_json(value, "map<string,string>"), "_variant": F.try_parse_json(value)}
     )
     # one set of plain columns per field, again so that rules do not repeat the look-ups
-    plain = {}
+    plain = {name: F.col("_record").getItem(name).try_cast("bigint") for name in numbers}
     fields = {}
     for column, name in TICKET_FIELDS:
         field = _json_field(column, name, nan_compat)
         names = [f"_{part}_{column}" for part in ("text", "present", "kind")]
         plain |= dict(zip(names, (field.text, field.present, field.kind)))
         fields[column] = C.RawField(*map(F.col, names))
+    unreadable = F.col("_record").isNull()
     return _judge(
-        parsed.withColumns(plain), fields, F.col(value), keep, strict, F.col("_record").isNull()
+        parsed.withColumns(plain), fields, F.col(value), (*keep, *numbers), strict, unreadable
     )
 
 

@@ -124,8 +124,8 @@ def validate_json(
 
     ``numbers`` names further keys of a record to keep as whole numbers.
 
-    The map form of a record keeps values as written (``5.0`` stays ``5.0``)
-    and tells absent keys from nulls; the variant form tells strings from
+    The map form of a record keeps numbers as text (``5.0`` stays ``5.0``) and
+    tells absent keys from nulls; the variant form tells strings from
     numbers, booleans and nested values.
     """
     parsed = df.withColumns(

@@ -8,6 +8,7 @@ no Python runs per record.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
@@ -31,6 +32,16 @@ SCORE_RANGE = (1.0, 5.0)
 STRING, NUMBER, BOOLEAN, NAN, NESTED = "STRING", "NUMBER", "BOOLEAN", "NAN", "NESTED"
 
 
+def split_code(value: Column, test: Callable[[Column], Column]) -> Column:
+    """``test(value)``, behind a lambda.
+
+    Spark compiles a projection with a lambda by itself, in many small methods.
+    Within whole-stage code all rules would be one method, too large for the JVM
+    to turn into machine code.
+    """
+    return F.exists(F.array(value), test)
+
+
 @dataclass(frozen=True)
 class RawField:
     """``text``: the value as text; ``present``: the key exists; ``kind``: how it was written."""
@@ -84,18 +95,18 @@ class Priority:
     """One of four levels. Blank becomes Medium when the key is there; an absent key stays null."""
 
     def value(self, field: RawField) -> Column:
-        level = strip(field.text)
+        level = F.coalesce(F.nullif(strip(field.text), F.lit("")), F.lit(DEFAULT_PRIORITY))
         return (
             F.when(~field.present, F.lit(None).cast("string"))
             .when(field.is_kind(NAN), "nan")
-            .when(field.text.isNull() | (level == ""), DEFAULT_PRIORITY)
             .otherwise(level)
         )
 
     def error(self, field: RawField, value: Column) -> Column:
         before, after = BAD_PRIORITY.split("{}")
         message = F.concat(F.lit(before), value, F.lit(after))
-        return F.when(~value.isin(*PRIORITIES), message)
+        known = split_code(value, lambda level: level.isin(*PRIORITIES))
+        return F.when(~known, message)
 
 
 class Hours:
@@ -118,11 +129,12 @@ class Score:
 
     def value(self, field: RawField) -> Column:
         number = F.coalesce(field.truth, to_number(field.text))
-        return F.when(number.between(*SCORE_RANGE), number)
+        low, high = SCORE_RANGE
+        return F.when((number >= low) & (number <= high), number)
 
     def error(self, field: RawField, value: Column) -> Column:
         none = field.text.isNull() | (field.text == "") | is_nan_text(field.text) | field.is_kind(NAN)
-        return F.when(~none & value.isNull(), F.concat(F.lit(BAD_SCORE), field.text))
+        return F.when(value.isNull() & ~none, F.concat(F.lit(BAD_SCORE), field.text))
 
 
 RULES = {column: OptionalText() for column in OPTIONAL_TEXT}

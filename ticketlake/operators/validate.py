@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ticketlake.functions import contract as C
-from ticketlake.schema import COLUMNS, QUARANTINED, TICKET_FIELDS
+from ticketlake.schema import COLUMNS, NUMERIC, QUARANTINED, REQUIRED, TICKET_FIELDS
 
 REASON = "rejection_reason"
 RAW = "raw_record"
@@ -27,76 +27,35 @@ def rename_to_contract(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.toDF(*at.values()).select(*columns)
 
 
-def table_fields(df: DataFrame, nan_compat: bool = False) -> dict[str, C.RawField]:
-    """Fields of a table or CSV. A column that does not exist counts as an absent key.
-
-    ``nan_compat`` treats an empty cell as a floating-point NaN, the way a data
-    frame library hands it on: then empty text cells are rejected.
-    """
-    fields = {}
-    for column in COLUMNS:
-        if column not in df.columns:
-            fields[column] = C.RawField.absent()
-            continue
-        text = F.col(column)
-        kind = F.when(text.isNull(), C.NAN).otherwise(C.STRING) if nan_compat else F.lit(C.STRING)
-        fields[column] = C.RawField(text, F.lit(True), kind)
-    return fields
-
-
-def _json_field(column: str, name: str, nan_compat: bool) -> C.RawField:
-    here = F.map_contains_key("_record", column)
-
-    def pick(read) -> Column:
-        return F.when(here, read(column)).otherwise(read(name))
-
-    raw = pick(lambda key: F.col("_record").getItem(key))
-    written = pick(
-        lambda key: F.schema_of_variant(F.variant_get("_variant", f"$.{key}", "variant"))
-    )
-    # a bare NaN is no JSON: the variant is null and the reader keeps it quoted
-    bare_nan = F.col("_variant").isNull() & (raw == '"NaN"')
-    kind = (
-        F.when(bare_nan, C.NAN if nan_compat else C.STRING)
-        .when(written == "BOOLEAN", C.BOOLEAN)
-        .when(written.rlike("^(OBJECT|ARRAY)"), C.NESTED)
-        .when(written.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), C.NUMBER)
-        .otherwise(C.STRING)
-    )
-    text = F.when(bare_nan, F.lit("nan" if nan_compat else None).cast("string")).otherwise(raw)
-    present = F.coalesce(here | F.map_contains_key("_record", name), F.lit(False))
-    return C.RawField(text, present, kind)
+# columns whose value a table's text does not already hold
+COMPUTED = [*REQUIRED, "Priority_Level", *NUMERIC]
+STRICT = ["Customer_Email", "Issue_Category", "Submission_Date"]
 
 
-def _judge(
-    df: DataFrame,
-    fields: dict[str, C.RawField],
-    raw: Column,
-    keep: tuple[str, ...],
-    strict: bool,
-    unreadable: Column,
-) -> DataFrame:
-    # values become columns of their own first: the error rules then refer to
-    # them instead of repeating the parsing
-    valued = df.withColumns(
-        {f"_value_{column}": rule.value(fields[column]) for column, rule in C.RULES.items()}
-    )
-    values = {column: F.col(f"_value_{column}") for column in COLUMNS}
+def _judged(
+    fields: dict[str, C.RawField], columns: list[str], strict: bool, unreadable: Column
+) -> Column:
+    """Values and rejection reason of a record as one struct."""
+    values = {c: C.RULES[c].value(fields[c]) for c in columns}
     extra = C.strict_errors(values) if strict else {}
     errors = []
-    for column in COLUMNS:
-        error = C.RULES[column].error(fields[column], values[column])
-        if column in extra:
-            error = F.coalesce(error, extra[column])
-        errors.append(F.concat(F.lit(f"{column}: "), error))
+    for c in columns:
+        error = C.RULES[c].error(fields[c], values[c])
+        error = F.coalesce(error, extra[c]) if c in extra else error
+        errors.append(F.concat(F.lit(f"{c}: "), error))
     # concat_ws skips nulls, so it joins exactly the failing fields in contract order
     joined = F.nullif(F.concat_ws(" | ", *errors), F.lit(""))
-    return valued.select(
-        *keep,
-        *[values[column].alias(column) for column in COLUMNS],
-        raw.alias(RAW),
-        F.when(unreadable, C.NOT_A_RECORD).otherwise(joined).alias(REASON),
-    )
+    reason = F.when(unreadable, C.NOT_A_RECORD).otherwise(joined)
+    return F.struct(*[value.alias(c) for c, value in values.items()], reason.alias(REASON))
+
+
+def _sealed(df: DataFrame) -> DataFrame:
+    """``_judged`` as ``_result``, through an explode of one element.
+
+    Spark does not push filters through it. Without it, a filter on the reason
+    would be moved below the projection and evaluate all rules once more.
+    """
+    return df.withColumn("_result", F.explode(F.array("_judged")))
 
 
 def validate_table(
@@ -105,11 +64,60 @@ def validate_table(
     strict: bool = False,
     nan_compat: bool = False,
 ) -> DataFrame:
-    """Judge a table of raw text tickets. Adds ``raw_record`` and ``rejection_reason``."""
+    """Judge a table of raw text tickets. Adds ``raw_record`` and ``rejection_reason``.
+
+    A column that does not exist counts as an absent key. ``nan_compat`` treats
+    an empty cell as a floating-point NaN, the way a data frame library hands it
+    on: then empty text cells are rejected.
+    """
     named = rename_to_contract(df, keep)
-    present = [c for c in COLUMNS if c in named.columns]
-    raw = F.to_json(F.struct(*present), {"ignoreNullFields": "false"})
-    return _judge(named, table_fields(named, nan_compat), raw, keep, strict, F.lit(False))
+    have = [c for c in COLUMNS if c in named.columns]
+    wanted = COLUMNS if nan_compat else COMPUTED + (STRICT if strict else [])
+    # text columns that no rule looks at stay out, so that unused ones are never read
+    columns = [c for c in COLUMNS if c in wanted]
+
+    def field(column: str) -> C.RawField:
+        if column not in have:
+            return C.RawField.absent()
+        text = F.col(column)
+        kind = F.when(text.isNull(), C.NAN).otherwise(C.STRING) if nan_compat else F.lit(C.STRING)
+        return C.RawField(text, F.lit(True), kind)
+
+    judged = _judged({c: field(c) for c in columns}, columns, strict, F.lit(False))
+    passed = {c: F.col(c) if c in have else F.lit(None).cast("string") for c in COLUMNS}
+    passed |= {c: F.col(f"_result.{c}") for c in columns}
+    raw = F.to_json(F.struct(*have), {"ignoreNullFields": "false"})
+    return _sealed(named.withColumn("_judged", judged)).select(
+        *keep,
+        *[value.alias(c) for c, value in passed.items()],
+        raw.alias(RAW),
+        F.col(f"_result.{REASON}").alias(REASON),
+    )
+
+
+def _json_field(i: int, nan_compat: bool) -> dict[str, Column]:
+    """Text, presence and kind of a field, from its variant and the variant's type.
+
+    An absent key has no variant, a JSON null has one.
+    """
+    variant, written = F.col(f"_variant{i}"), F.col(f"_written{i}")
+    text = variant.cast("string")
+    nan = (written == "DOUBLE") & (text == "NaN")
+    nan_kind, nan_text = (C.NAN, "nan") if nan_compat else (C.STRING, None)
+    # a whole number that fits a bigint is only kept as a decimal when written like 5.0
+    point = written.rlike(r"^DECIMAL\((\d|1[0-8]),0\)")
+    return {
+        f"_text{i}": F.when(written == "STRING", text)
+        .when(nan, F.lit(nan_text).cast("string"))
+        .when(written == "BOOLEAN", F.initcap(text))
+        .when(point, F.concat(text, F.lit(".0")))
+        .otherwise(text),
+        f"_kind{i}": F.when(written.isNull() | written.isin("STRING", "VOID"), C.STRING)
+        .when(nan, nan_kind)
+        .when(written == "BOOLEAN", C.BOOLEAN)
+        .when(written.rlike("^(OBJECT|ARRAY)"), C.NESTED)
+        .otherwise(C.NUMBER),
+    }
 
 
 def validate_json(
@@ -122,26 +130,38 @@ def validate_json(
 ) -> DataFrame:
     """Judge JSON text records. Text that is no JSON object is rejected, never dropped.
 
-    ``numbers`` names further keys of a record to keep as whole numbers.
-
-    The map form of a record keeps numbers as text (``5.0`` stays ``5.0``) and
-    tells absent keys from nulls; the variant form tells strings from
-    numbers, booleans and nested values.
+    ``numbers`` names further keys of a record to keep as whole numbers. The
+    text is parsed once, into a variant per key: that tells absent keys from
+    nulls and strings from numbers, booleans and nested values.
     """
-    parsed = df.withColumns(
-        {"_record": F.from_json(value, "map<string,string>"), "_variant": F.try_parse_json(value)}
-    )
-    # one set of plain columns per field, again so that rules do not repeat the look-ups
-    plain = {name: F.col("_record").getItem(name).try_cast("bigint") for name in numbers}
-    fields = {}
-    for column, name in TICKET_FIELDS:
-        field = _json_field(column, name, nan_compat)
-        names = [f"_{part}_{column}" for part in ("text", "present", "kind")]
-        plain |= dict(zip(names, (field.text, field.present, field.kind)))
-        fields[column] = C.RawField(*map(F.col, names))
-    unreadable = F.col("_record").isNull()
-    return _judge(
-        parsed.withColumns(plain), fields, F.col(value), (*keep, *numbers), strict, unreadable
+    names = [f"`{key}` variant" for pair in TICKET_FIELDS for key in pair]
+    names += [f"`{key}` variant" for key in numbers] + ["_unreadable string"]
+    slots = [f"{side}{i} variant" for i in range(len(TICKET_FIELDS)) for side in "an"]
+    slots += [f"k{i} variant" for i in range(len(numbers))] + ["unreadable string"]
+    # renamed by position: Spark compares names without case, JSON keys differ by it
+    parsed = F.from_json(value, ", ".join(names), {"columnNameOfCorruptRecord": "_unreadable"})
+    parsed = parsed.cast(f"struct<{', '.join(p.replace(' ', ':') for p in slots)}>")
+    places = range(len(COLUMNS))
+    rows = df.select(*dict.fromkeys([*keep, value]), parsed.alias("_parsed"))
+    variants = {f"_variant{i}": F.coalesce(f"_parsed.a{i}", f"_parsed.n{i}") for i in places}
+    rows = rows.withColumns(variants)
+    rows = rows.withColumns({f"_written{i}": F.schema_of_variant(f"_variant{i}") for i in places})
+    texts = {}
+    for i in places:
+        texts |= _json_field(i, nan_compat)
+    texts["_readable"] = C.split_code(F.col("_parsed.unreadable"), lambda text: text.isNull())
+    rows = rows.withColumns(texts)
+    fields = {
+        c: C.RawField(F.col(f"_text{i}"), F.col(f"_variant{i}").isNotNull(), F.col(f"_kind{i}"))
+        for i, c in enumerate(COLUMNS)
+    }
+    judged = _judged(fields, COLUMNS, strict, F.col("_parsed").isNull() | ~F.col("_readable"))
+    return _sealed(rows.withColumn("_judged", judged)).select(
+        *keep,
+        *[F.try_variant_get(f"_parsed.k{i}", "$", "bigint").alias(n) for i, n in enumerate(numbers)],
+        *[F.col(f"_result.{c}").alias(c) for c in COLUMNS],
+        F.col(value).alias(RAW),
+        F.col(f"_result.{REASON}").alias(REASON),
     )
 
 

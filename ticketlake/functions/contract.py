@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
-from ticketlake.functions.text import is_nan_text, strip, to_number
+from ticketlake.functions.text import NOT_SPACE, is_nan_text, strip, to_number
 from ticketlake.schema import CATEGORIES, OPTIONAL_TEXT, PRIORITIES, REQUIRED, TICKET_FIELDS
 
 # --- fixed values: rejection texts -------------------------------------------
@@ -95,11 +95,11 @@ class Priority:
     """One of four levels. Blank becomes Medium when the key is there; an absent key stays null."""
 
     def value(self, field: RawField) -> Column:
-        level = F.coalesce(F.nullif(strip(field.text), F.lit("")), F.lit(DEFAULT_PRIORITY))
         return (
             F.when(~field.present, F.lit(None).cast("string"))
             .when(field.is_kind(NAN), "nan")
-            .otherwise(level)
+            .when(field.text.isNull() | ~field.text.rlike(NOT_SPACE), DEFAULT_PRIORITY)
+            .otherwise(strip(field.text))
         )
 
     def error(self, field: RawField, value: Column) -> Column:

@@ -12,6 +12,7 @@ SPACE_CHARS = (
 )
 # the same set as a pattern; \p{Z} is one look-up where a list of ranges is many
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+NOT_SPACE = r"[^\s\x1c-\x1f\x85\p{Z}]"
 SPACE_RUN = SPACE + "+"
 SPACE_AT_AN_END = rf"^{SPACE}|{SPACE}\z"
 

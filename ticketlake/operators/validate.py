@@ -35,7 +35,7 @@ STRICT = ["Customer_Email", "Issue_Category", "Submission_Date"]
 def _judged(
     fields: dict[str, C.RawField], columns: list[str], strict: bool, unreadable: Column
 ) -> Column:
-    """Values and rejection reason of a record as one struct."""
+    """Values and rejection reason of a record as one struct; no reason is the empty text."""
     values = {c: C.RULES[c].value(fields[c]) for c in columns}
     extra = C.strict_errors(values) if strict else {}
     errors = []
@@ -44,7 +44,7 @@ def _judged(
         error = F.coalesce(error, extra[c]) if c in extra else error
         errors.append(F.concat(F.lit(f"{c}: "), error))
     # concat_ws skips nulls, so it joins exactly the failing fields in contract order
-    joined = F.nullif(F.concat_ws(" | ", *errors), F.lit(""))
+    joined = F.concat_ws(" | ", *errors)
     reason = F.when(unreadable, C.NOT_A_RECORD).otherwise(joined)
     return F.struct(*[value.alias(c) for c, value in values.items()], reason.alias(REASON))
 
@@ -91,7 +91,7 @@ def validate_table(
         *keep,
         *[value.alias(c) for c, value in passed.items()],
         raw.alias(RAW),
-        F.col(f"_result.{REASON}").alias(REASON),
+        F.nullif(f"_result.{REASON}", F.lit("")).alias(REASON),
     )
 
 
@@ -161,7 +161,7 @@ def validate_json(
         *[F.try_variant_get(f"_parsed.k{i}", "$", "bigint").alias(n) for i, n in enumerate(numbers)],
         *[F.col(f"_result.{c}").alias(c) for c in COLUMNS],
         F.col(value).alias(RAW),
-        F.col(f"_result.{REASON}").alias(REASON),
+        F.nullif(f"_result.{REASON}", F.lit("")).alias(REASON),
     )
 
 

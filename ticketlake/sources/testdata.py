@@ -29,15 +29,16 @@ def _nth(values: list[str], index: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (index + 1).cast("int"))
 
 
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"]
+
+
 def tickets(spark: SparkSession, sf_dir: str, description: bool = True) -> DataFrame:
     """Raw tickets, one per order: ``seq`` (arrival order) and the twelve text columns.
 
     ``description=False`` leaves the documents table out for jobs that never
     read the text.
     """
-    orders = table(spark, sf_dir, "orders")
-    if description:
-        orders = spread(orders)
+    orders = spread(table(spark, sf_dir, "orders").select(*ORDER_COLUMNS))
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     base = orders.join(customers, orders.o_custkey == customers.c_custkey)
     k, c = F.col("o_orderkey"), F.col("c_custkey")
@@ -132,7 +133,7 @@ def subject_queries(spark: SparkSession) -> DataFrame:
 
 def contract_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per order whose fields walk through the edge cases of each rule."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     base = orders.join(customers, orders.o_custkey == customers.c_custkey)
     k, name = F.col("o_orderkey"), F.col("c_name")
@@ -175,4 +176,5 @@ def typed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(', "Satisfaction_Score": '), value(13),
         F.lit(', "unknown": 1}'),
     )
-    return table(spark, sf_dir, "orders").select(k.alias("seq"), text.alias("value"))
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
+    return orders.select(k.alias("seq"), text.alias("value"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +32,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return name.getFileSystem(spark._jsc.hadoopConfiguration()).exists(name)
 
 
+@cache
+def _local_base(application: str) -> str:
+    return tempfile.mkdtemp(prefix="ticketlake-")
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, empty folder name under the cluster's shared checkpoint folder.
 
@@ -41,6 +47,5 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="ticketlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/ticketlake/{purpose}-{uuid.uuid4().hex}"

@@ -32,11 +32,15 @@ CARRY = ["id", "ticket_id", "customer_name", "issue_category", "assigned_agent",
 
 
 def with_terms(chunks: DataFrame) -> DataFrame:
-    """Chunks with their words in order, the number of words, and every column of ``CARRY``."""
+    """Chunks with their words in order and the number of words."""
+    return chunks.withColumn("terms", tokens(F.col("text"))).withColumn("n_terms", F.size("terms"))
+
+
+def searchable(chunks: DataFrame) -> DataFrame:
+    """Chunks with their lower-cased text and every column of ``CARRY``."""
     have = set(chunks.columns)
     missing = {c: F.lit(None).cast("string") for c in CARRY if c not in have}
-    listed = chunks.withColumns(missing | {"terms": tokens(F.col("text"))})
-    return listed.withColumn("n_terms", F.size("terms"))
+    return chunks.withColumns(missing | {"lowered": F.lower("text")})
 
 
 def vector_index(chunks: DataFrame, model: Callable | None = None) -> DataFrame:
@@ -60,7 +64,7 @@ def bm25_topk(
     """The k best chunks by BM25; ties and zero scores fill up in document order."""
     index = index or build_index(chunks)
     return topk.search(
-        with_terms(chunks), {"bm25": index.query_weights(queries)}, [index.scorer()], k, CARRY, **limits
+        searchable(chunks), {"bm25": index.query_weights(queries)}, [index.scorer()], k, CARRY, **limits
     )
 
 
@@ -68,7 +72,7 @@ def lexical_topk(chunks: DataFrame, queries: DataFrame, k: int = FUSED_K, **limi
     """The k best chunks by distinct shared words, plus a fixed bias."""
     scorer = topk.TermScorer("lexical", binary=True, bias=LEXICAL_BIAS)
     return topk.search(
-        with_terms(chunks), {"lexical": _query_words(queries)}, [scorer], k, CARRY, **limits
+        searchable(chunks), {"lexical": _query_words(queries)}, [scorer], k, CARRY, **limits
     )
 
 
@@ -95,7 +99,7 @@ def hybrid_ranks(
     index = index or build_index(chunks)
     embed = None if "vector" in chunks.columns else model or hashing_model()
     return topk.search(
-        with_terms(chunks),
+        searchable(chunks),
         {"dense": query_vectors(queries, model), "bm25": index.query_weights(queries)},
         [topk.VectorScorer("dense", embed), index.scorer()],
         k,
@@ -190,7 +194,7 @@ def fill_unanswered(reranked: DataFrame, queries: DataFrame, chunks: DataFrame,
     if unanswered.isEmpty():
         return reranked
     slots = unanswered.select("*", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("rank"))
-    filled = slots.join(first_chunks(with_terms(chunks), k), "rank").select(
+    filled = slots.join(first_chunks(searchable(chunks), k), "rank").select(
         "query_id", "query", "rank", *CARRY, F.lit(None).cast("double").alias("cross_encoder_score")
     )
     return reranked.select(filled.columns).unionByName(filled)

@@ -39,9 +39,23 @@ SCORE_DIGITS = 6
 MERGE_SALTS = 16
 
 
+def _lengths(lists: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+
+
 def _owners(lists: pa.Array) -> np.ndarray:
     """For each element of the flattened lists, the number of its list."""
-    return np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    return np.repeat(np.arange(len(lists)), _lengths(lists))
+
+
+def _with_terms(rows: pa.Table) -> pa.Table:
+    """Add the words of the lower-cased text: Arrow splits a column at once, by the same white space."""
+    if "lowered" not in rows.column_names:
+        return rows
+    bare = pc.utf8_trim_whitespace(rows["lowered"])
+    # a text without words has no list, where a split would give one empty word
+    filled = pc.if_else(pc.equal(bare, ""), pa.scalar(None, pa.string()), bare)
+    return rows.append_column("terms", pc.utf8_split_whitespace(filled))
 
 
 @dataclass(frozen=True)
@@ -59,10 +73,9 @@ class QueryTerms:
 class TermScorer:
     """Scores chunks by the query terms they hold.
 
-    Corpus: ``terms array<string>``, ``n_terms int``. Queries:
-    ``terms array<string>``, ``weights array<double>``. ``binary`` counts each
-    shared term once plus ``bias``; otherwise the term frequency saturates as
-    in Okapi BM25.
+    Corpus: ``lowered``, the lower-cased text. Queries: ``terms array<string>``,
+    ``weights array<double>``. ``binary`` counts each shared term once plus
+    ``bias``; otherwise the term frequency saturates as in Okapi BM25.
     """
 
     name: str
@@ -72,7 +85,7 @@ class TermScorer:
     binary: bool = False
     bias: float = 0.0
 
-    columns = ("terms", "n_terms")
+    columns = ("lowered",)
 
     def prepare(self, queries: pa.Table) -> QueryTerms:
         terms = queries["terms"].combine_chunks()
@@ -100,7 +113,7 @@ class TermScorer:
         if self.binary:
             strength = np.ones(len(row))
         else:
-            length = rows["n_terms"].to_numpy().astype(np.float64)
+            length = _lengths(terms).astype(np.float64)
             norm = self.k1 * (1 - self.b + self.b * length / self.avg_len)
             strength = times * (self.k1 + 1) / (times + norm[row])
         total = np.full(n * q, self.bias)
@@ -127,7 +140,7 @@ class VectorScorer:
     """Scores chunks by nearness: minus the squared Euclidean distance.
 
     Queries: ``vector array<float>`` of one length. Corpus: the same, or, with
-    a ``model`` from word lists to vectors, ``terms``, embedded as they pass.
+    a ``model`` from word lists to vectors, ``lowered``, embedded as it passes.
     """
 
     name: str
@@ -135,7 +148,7 @@ class VectorScorer:
 
     @property
     def columns(self) -> tuple[str, ...]:
-        return ("terms",) if self.model else ("vector",)
+        return ("lowered",) if self.model else ("vector",)
 
     @staticmethod
     def _matrix(lists: pa.Array) -> np.ndarray:
@@ -225,7 +238,8 @@ def _search(
     for rows in batches:
         if rows.num_rows == 0:
             continue
-        ordered = rows.sort_by([(name, "ascending") for name in ORDER]).combine_chunks()
+        ordered = rows.sort_by([(name, "ascending") for name in ORDER])
+        ordered = _with_terms(ordered).combine_chunks()
         for scorer, ids, state, floor in plans:
             found.extend(_score_batch(ordered, scorer, ids, state, floor, k, carry))
         if sum(t.num_rows for t in found) > limit:

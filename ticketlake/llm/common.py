@@ -172,3 +172,22 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: in
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     """A-Z made lower-case, all other bytes kept."""
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+
+
+def lower_utf8(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower case of Latin, basic Greek and basic Cyrillic letters, and where a letter changed.
+
+    Only letters whose lower case is as long in UTF-8 are touched, so positions stay.
+    """
+    ascii_ = (data >= 65) & (data <= 90)
+    out, changed = np.where(ascii_, data + np.uint8(32), data), ascii_
+    lead = np.concatenate((np.zeros(min(1, len(data)), np.uint8), data[:-1]))
+    if (data >= 0xC3).any():
+        near = ((lead == 0xC3) & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)) | ((lead == 0xD0) & (data >= 0x90) & (data <= 0x9F))
+        near |= (lead == 0xCE) & (data >= 0x91) & (data <= 0x9F)
+        far = ((lead == 0xD0) & (data >= 0xA0) & (data <= 0xAF)) | ((lead == 0xCE) & (data >= 0xA0) & (data <= 0xA9))
+        out = np.where(near, data + np.uint8(32), np.where(far, data - np.uint8(32), out))
+        at = np.flatnonzero(far)
+        out[at - 1] += 1
+        changed = changed | near | far
+    return out, changed

@@ -1,8 +1,9 @@
 """Benchmark decontamination by template windows.
 
-Texts and benchmark items are canonicalised alike: punctuation goes, letters A-Z
-become lower case, and words with a digit, unit words behind a number, and
-capitalised words inside a sentence become the placeholders number, unit and name.
+Texts and benchmark items are canonicalised alike: punctuation goes, letters become
+lower case, and words with a digit, unit words behind a number, and capitalised words
+inside a sentence become the placeholders number, unit and name. Items are also kept
+with their names as words, for texts that are all in capitals or all in small letters.
 Runs of ``width`` template words are windows. Windows of the documents are looked
 up by hash among the item windows; a document holds an item if enough of the
 item's windows stand in it along one line, after windows whose slots contradict
@@ -24,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ticketlake.llm.common import column_bytes, gram_hashes, mix, runs_of, span_hashes, word_hashes, word_spans
+from ticketlake.llm.common import column_bytes, gram_hashes, lower_utf8, mix, runs_of, span_hashes, word_hashes, word_spans
 
 # --- fixed values: words that are units behind a number ----------------------------
 UNITS = (
@@ -62,13 +63,13 @@ def canonicalise(data: np.ndarray, bounds: np.ndarray, units: np.ndarray) -> Tem
     """Template words of all texts in a byte array."""
     space = (data == 32) | ((data >= 9) & (data <= 13))
     digit = (data >= 48) & (data <= 57)
-    upper = (data >= 65) & (data <= 90)
-    letter = upper | ((data >= 97) & (data <= 122)) | (data >= 128)
+    lowered, upper = lower_utf8(data)
+    letter = ((lowered >= 97) & (lowered <= 122)) | (data >= 128)
     keep = space | digit | letter
     # a sentence begins after . ! ? : or a line break, with only other characters than words between
     stop = (data == 46) | (data == 33) | (data == 63) | (data == 58) | (data == 10)
     moved = np.concatenate(([0], np.cumsum(keep)))
-    stops, small = np.concatenate(([0], np.cumsum(stop)))[:-1][keep], np.where(upper, data + np.uint8(32), data)[keep]
+    stops, small = np.concatenate(([0], np.cumsum(stop)))[:-1][keep], lowered[keep]
     upper, digit = upper[keep], digit[keep]
     limits = moved[bounds]
     starts, ends, firsts = word_spans(small, limits)
@@ -83,7 +84,10 @@ def canonicalise(data: np.ndarray, bounds: np.ndarray, units: np.ndarray) -> Tem
     fresh = begins.copy()
     fresh[1:] |= stops[starts[1:]] > stops[ends[:-1] - 1]
     kinds = np.zeros(len(starts), np.int8)
-    kinds[upper[starts] & ~fresh & (ends - starts > 1)] = _NAME
+    # a name has one capital, its first letter (of one or two bytes); words all in capitals are words
+    uppers = np.concatenate(([0], np.cumsum(upper)))
+    title = (uppers[ends] - uppers[starts] == 1) & (uppers[np.minimum(starts + 2, ends)] > uppers[starts])
+    kinds[title & (upper[starts] | (small[starts] >= 128)) & ~fresh & (ends - starts > 2)] = _NAME
     kinds[number] = _NUMBER
     after = np.zeros(len(starts), bool)
     after[1:] = number[:-1] & ~begins[1:]
@@ -126,10 +130,16 @@ def build_index(items: list[tuple[int, str]], width: int = WIDTH) -> Index:
         if not size:
             continue
         at, hashes = _windows(t, size)
-        if len(at):
-            rows[size].append((hashes, np.full(len(at), n), at))
-            index.need[n] = (len(at), size)
-            index.words[n] = (t.values, t.kinds)
+        if not len(at):
+            continue
+        index.need[n] = (len(at), size)
+        index.words[n] = (t.values, t.kinds)
+        rows[size].append((hashes, np.full(len(at), n), at))
+        if (t.kinds == _NAME).any():
+            named = np.where(t.kinds == _NAME, 0, t.kinds)
+            also, words = _windows(Template(np.where(t.kinds == _NAME, t.values, t.tokens), t.values, named, t.firsts), size)
+            new = np.isin(also, at) & ~np.isin(words, hashes)
+            rows[size].append((words[new], np.full(new.sum(), n), also[new]))
     for size, parts in rows.items():
         hashes, item, at = (np.concatenate(x) for x in zip(*parts))
         order = np.argsort(hashes, kind="stable")
@@ -152,7 +162,7 @@ def _consistent(lines: list[tuple[int, int]], item: tuple[np.ndarray, np.ndarray
     fine = set()
     for i, j in lines:
         if all(
-            there.get((int(item_kinds[j + o]), int(item_values[j + o]))) == int(values[i + o])
+            there.get((int(item_kinds[j + o]), int(item_values[j + o]))) == int(values[i + o]) if kinds[i + o] else item_values[j + o] == values[i + o]
             for o in range(size) if item_kinds[j + o]
         ):
             fine.add(j)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,17 +26,29 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table_ = spark.read.schema(df.schema).parquet(path)
+    table_._scratch = path
+    return table_
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete scratch tables that no later step reads."""
+    for table_ in tables:
+        spark = table_.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table_._scratch)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished phases.
 
-    Its cleaner acts when the driver's objects are collected, which on an idle
-    driver may be long after the last use.
+    Its cleaner acts when the driver's objects are collected, which on an idle driver
+    may be long after the last use. The first round frees what Python still held.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def fold(doc_id: Column, parts: int) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ticketlake.llm.common import release, written
+from ticketlake.llm.common import discard, release, written
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -30,7 +30,9 @@ def connected(links: DataFrame) -> DataFrame:
         open_ = parents.where("n > 1").select("u").unionByName(small.join(parents.select(F.col("u").alias("v")), "v", "left_semi").select("u"))
         if open_.isEmpty():
             break
+        discard(edges, large)
         edges = small
         release(edges.sparkSession)
+    discard(edges, large)
     roots = small.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return small.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

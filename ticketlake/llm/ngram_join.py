@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ticketlake.llm.common import column_bytes, gram_hashes, lower_ascii, mix, release, runs_of, word_hashes, word_spans, written
+from ticketlake.llm.common import column_bytes, discard, gram_hashes, lower_ascii, mix, release, runs_of, word_hashes, word_spans, written
 from ticketlake.llm.components import connected
 
 _RUN = 1 << 20
@@ -300,7 +300,9 @@ def _links(rows: DataFrame, people: DataFrame, pairs: DataFrame, shingle: int, p
     texts = written(rows.join(asked, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "texts")
     right, left = (texts.select(F.col("key").alias(f"key_{x}"), F.col("text").alias(f"text_{x}")) for x in "ba")
     full = sized.join(right, "key_b").join(left, "key_a").select("a", "b", "text_a", "text_b")
-    return written(full.mapInArrow(_verify(shingle, percent), "a long, b long"), "similar")
+    linked = written(full.mapInArrow(_verify(shingle, percent), "a long, b long"), "similar")
+    discard(sized, texts)
+    return linked
 
 
 def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -333,6 +335,7 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     signs = rows.mapInArrow(_signatures(shingle, seed, bands), "k long, cls long, domain int")
     signs = signs.repartition("k").sortWithinPartitions("k", "cls")
     buckets = written(signs.mapInArrow(_shared, "k long, cls long, domain int, lead long"), "buckets")
+    del signs
     release(spark)
 
     stars = buckets.where("cls <> lead").select(F.least("lead", "cls").alias("a"), F.greatest("lead", "cls").alias("b"))
@@ -350,7 +353,9 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     open_ = marked.join(mixed, "k").join(drawn, "cls").select("k", "cls", "domain", "label", "n", mine.alias("sketch"))
     open_ = open_.repartition("k").sortWithinPartitions("k")
     late = written(open_.mapInArrow(_between(bands), "a long, b long").distinct(), "between")
+    discard(buckets, marked)
     links = near.unionByName(_links(rows, people, late.join(stars, ["a", "b"], "left_anti"), shingle, percent))
+    discard(people, stars, late)
     release(spark)
     groups = connected(links)
 

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ticketlake.llm.common import byte_values, column_bytes, gram_hashes, release, runs_of, word_hashes, word_spans, written
+from ticketlake.llm.common import byte_values, column_bytes, discard, gram_hashes, release, runs_of, word_hashes, word_spans, written
 
 #: Rows of one hash that go to one task.
 HOT = 4096
@@ -297,6 +297,8 @@ def repeated_windows(docs: DataFrame, symbols: Symbols, depth: int, gram: int, s
     again = found.join(often, "h").select(F.struct("h", salt.alias("salt"), (parts > 1).alias("split"), "start", "n").alias("row"), "key")
     # equal documents have equal rows, each of which is wanted once here and once for each copy below
     again = written(again.groupBy("key").agg(F.collect_set("row").alias("rows")), "repeated-anchors")
+    del often
+    discard(found)
     release(spark)
 
     pieces = rows.join(again, "key").select("key", "text", "rows").mapInArrow(
@@ -304,6 +306,8 @@ def repeated_windows(docs: DataFrame, symbols: Symbols, depth: int, gram: int, s
     )
     pieces = pieces.repartition("h", "salt").sortWithinPartitions("h", "salt")
     hits = written(pieces.mapInArrow(_blocks(symbols, depth, solver), _HITS), "windows")
+    del pieces
+    discard(again)
     release(spark)
 
     elsewhere = hits.where("w1 is not null").groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("tasks")).where("tasks > 1")

@@ -19,12 +19,15 @@ def connected(links: DataFrame) -> DataFrame:
     edges = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # written, so that both sides of the join are plain shuffles and Spark splits a hub's rows
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = written(large, "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        discard(least)
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         small = written(small.select("e.u", "e.v").where("u <> v").distinct(), "small-star")
+        discard(least)
         # done when no node is both a child and a parent and every child has one parent
         parents = small.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
         open_ = parents.where("n > 1").select("u").unionByName(small.join(parents.select(F.col("u").alias("v")), "v", "left_semi").select("u"))

@@ -348,22 +348,25 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     marked = buckets.select("k", "cls", "domain").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     marked = written(marked.select("k", "cls", "domain", F.coalesce("component", "cls").alias("label")), "marked")
     mixed = marked.groupBy("k").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("k")
+    mixed = written(mixed, "mixed")
     drawn = sets.where("n > 0").groupBy("cls").agg(*[F.first(c).alias(c) for c in ("n", "own", "below")], F.first("domain").alias("opens"))
     mine = F.when(F.col("domain") == F.col("opens"), F.col("own")).otherwise(F.col("below"))
     open_ = marked.join(mixed, "k").join(drawn, "cls").select("k", "cls", "domain", "label", "n", mine.alias("sketch"))
     open_ = open_.repartition("k").sortWithinPartitions("k")
     late = written(open_.mapInArrow(_between(bands), "a long, b long").distinct(), "between")
-    discard(buckets, marked)
+    discard(buckets, marked, mixed)
     links = near.unionByName(_links(rows, people, late.join(stars, ["a", "b"], "left_anti"), shingle, percent))
     discard(people, stars, late)
     release(spark)
-    groups = connected(links)
+    groups = written(connected(links), "groups")
 
     # classes to documents: a component's smallest id, over all its copies
     counts = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count(F.lit(1)).alias("n_links"))
     found = sets.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(groups.withColumnRenamed("node", "cls"), "cls", "left").join(counts, "cls", "left")
     found = found.withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "cls")))
-    lowest = found.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("lowest"))
+    found = written(found, "found")
+    discard(sets, groups)
+    lowest = written(found.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("lowest")), "lowest")
     return found.join(lowest, "component", "left").select(
         F.col("doc_id").alias(doc_id), "n_shingles", F.coalesce("lowest", "doc_id").alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

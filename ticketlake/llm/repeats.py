@@ -291,14 +291,14 @@ def repeated_windows(docs: DataFrame, symbols: Symbols, depth: int, gram: int, s
     rows = docs.select(row_key(doc_id, text).alias("key"), F.col(f"`{text}`").cast("string").alias("text")).where("text is not null")
     found = written(rows.mapInArrow(_anchor_rows(symbols, gram, depth), "h long, key long, start long, n int"), "anchors")
 
-    often = found.groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    # written, so that both sides of the join are plain shuffles and Spark splits hot hashes
+    often = written(found.groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "often")
     parts = F.ceil(F.col("times") / HOT)
     salt = F.pmod(F.xxhash64("key", "start"), parts).cast("int")
     again = found.join(often, "h").select(F.struct("h", salt.alias("salt"), (parts > 1).alias("split"), "start", "n").alias("row"), "key")
     # equal documents have equal rows, each of which is wanted once here and once for each copy below
     again = written(again.groupBy("key").agg(F.collect_set("row").alias("rows")), "repeated-anchors")
-    del often
-    discard(found)
+    discard(found, often)
     release(spark)
 
     pieces = rows.join(again, "key").select("key", "text", "rows").mapInArrow(
@@ -311,6 +311,7 @@ def repeated_windows(docs: DataFrame, symbols: Symbols, depth: int, gram: int, s
     release(spark)
 
     elsewhere = hits.where("w1 is not null").groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("tasks")).where("tasks > 1")
+    # every window not found twice is one row for each task, so a hot one is few rows here
     late = hits.where("w1 is not null and not twice").join(elsewhere, ["w1", "w2"]).select("key", "start", "stop")
     every = hits.where("w1 is null").select("key", "start", "stop").unionByName(late)
     return every.groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("windows"))

@@ -11,10 +11,11 @@ p / 100 and sizes a, b leave at most (100 - p) (a + b) / (100 + p) such shingles
   dealt by hash to t + 1 parts. Linked documents agree in at least one part's parity
   sketch, whose linear (XOR) hash is the join key.
 - Buckets are not paired up. Each bucket's first document is compared with the others
-  (a star); what is linked becomes components. Only where a bucket still holds more than
-  one component are members of different components compared, by the parity sketches of
-  the whole documents first, then by their texts. So every link between components is
-  found, and no group emits all its pairs.
+  (a star) by parity sketches of the whole documents; of those that a document may be
+  linked with the first is compared by text, and what is linked becomes components. Only
+  where a bucket still holds more than one component are members of different components
+  compared, by sketches and then by texts. So every link between components is found,
+  and no group emits all its pairs.
 
 Sets are known by a 64-bit hash, which is checked against a second one; if two different
 sets collide the hash is salted anew.
@@ -209,6 +210,21 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(out, ["k", "cls", "domain", "lead"])
 
 
+def _allowed(bands: Bands):
+    """Pairs with sizes and sketches -> the pairs whose sizes and sketches let them be linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n, m = (batch.column(i).to_numpy() for i in range(4))
+            (left, bounds), (right, _) = column_bytes(batch.column(4)), column_bytes(batch.column(5))
+            sums = np.concatenate(([0], np.cumsum(np.bitwise_count(left ^ right), dtype=np.int64)))
+            far = sums[bounds[1:]] - sums[bounds[:-1]]
+            fine = (100 * np.minimum(n, m) >= bands.percent * np.maximum(n, m)) & (far <= bands.differing(n, m))
+            yield pa.RecordBatch.from_arrays([pa.array(a[fine]), pa.array(b[fine])], ["a", "b"])
+
+    return run
+
+
 def _verify(shingle: int, percent: int):
     """Pairs with their texts -> the pairs that are linked."""
 
@@ -338,9 +354,16 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     del signs
     release(spark)
 
-    stars = buckets.where("cls <> lead").select(F.least("lead", "cls").alias("a"), F.greatest("lead", "cls").alias("b"))
-    stars = written(stars.distinct(), "stars")
-    near = _links(rows, people, stars, shingle, percent)
+    drawn = sets.where("n > 0").groupBy("cls").agg(*[F.first(c).alias(c) for c in ("n", "own", "below")], F.first("domain").alias("opens"))
+    drawn = written(drawn, "sketches")
+    mine = F.when(F.col("domain") == F.col("opens"), F.col("own")).otherwise(F.col("below"))
+    stars = buckets.where("cls <> lead").groupBy(F.col("lead").alias("a"), F.col("cls").alias("b")).agg(F.min("domain").alias("domain"))
+    for x in "ab":
+        stars = stars.join(drawn.withColumnRenamed("cls", x), x)
+        stars = stars.withColumn(f"s_{x}", mine).withColumnRenamed("n", f"n_{x}").drop("own", "below", "opens")
+    stars = stars.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_allowed(bands), "a long, b long")
+    first = written(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
+    near = _links(rows, people, first, shingle, percent)
     release(spark)
     labels = connected(near)
 
@@ -349,14 +372,12 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     marked = written(marked.select("k", "cls", "domain", F.coalesce("component", "cls").alias("label")), "marked")
     mixed = marked.groupBy("k").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("k")
     mixed = written(mixed, "mixed")
-    drawn = sets.where("n > 0").groupBy("cls").agg(*[F.first(c).alias(c) for c in ("n", "own", "below")], F.first("domain").alias("opens"))
-    mine = F.when(F.col("domain") == F.col("opens"), F.col("own")).otherwise(F.col("below"))
     open_ = marked.join(mixed, "k").join(drawn, "cls").select("k", "cls", "domain", "label", "n", mine.alias("sketch"))
     open_ = open_.repartition("k").sortWithinPartitions("k")
     late = written(open_.mapInArrow(_between(bands), "a long, b long").distinct(), "between")
     discard(buckets, marked, mixed)
-    links = near.unionByName(_links(rows, people, late.join(stars, ["a", "b"], "left_anti"), shingle, percent))
-    discard(people, stars, late)
+    links = near.unionByName(_links(rows, people, late.join(first, ["a", "b"], "left_anti"), shingle, percent))
+    discard(people, drawn, first, late)
     release(spark)
     groups = written(connected(links), "groups")
 

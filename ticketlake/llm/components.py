@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ticketlake.llm.common import discard, release, written
+from ticketlake.llm.common import discard, written
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -35,7 +35,6 @@ def connected(links: DataFrame) -> DataFrame:
             break
         discard(edges, large)
         edges = small
-        release(edges.sparkSession)
     discard(edges, large)
     roots = small.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return small.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -11,9 +11,8 @@ p / 100 and sizes a, b leave at most (100 - p) (a + b) / (100 + p) such shingles
   dealt by hash to t + 1 parts. Linked documents agree in at least one part's parity
   sketch, whose linear (XOR) hash is the join key.
 - Buckets are not paired up. Each bucket's first document is compared with the others
-  (a star) by parity sketches of the whole documents; of those that a document may be
-  linked with the first is compared by text, and what is linked becomes components. Only
-  where a bucket still holds more than one component are members of different components
+  (a star), by parity sketches of the whole documents and then by their texts, and what
+  is linked becomes components. Only where a bucket still holds more than one component are members of different components
   compared, by sketches and then by texts. So every link between components is found,
   and no group emits all its pairs.
 
@@ -93,8 +92,8 @@ class Bands:
         return self.differing(self.largest(domain), self.largest(domain)) + 1
 
     def bits(self, domain: int) -> int:
-        """Bits of a whole document's sketch in a domain: two for each shingle, whole words."""
-        return -(-2 * self.largest(domain) // 64) * 64
+        """Bits of a whole document's sketch in a domain: eight for each shingle, whole words."""
+        return -(-8 * self.largest(domain) // 64) * 64
 
     def domains(self, size: int) -> list[int]:
         """The domain that a document's band opens, and the one that it closes."""
@@ -248,33 +247,37 @@ def _verify(shingle: int, percent: int):
     return run
 
 
-def _between(bands: Bands, tile: int = 512):
+def _between(bands: Bands, cells: int = 1 << 21):
     """Rows of mixed keys, ordered by key -> pairs of classes in different components that the sketches allow."""
 
     def pairs(rows: dict[str, np.ndarray], drawn: list[bytes], domain: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        cls, label, n = rows["cls"], rows["label"], rows["n"]
+        cls, label, n, opens = rows["cls"], rows["label"], rows["n"], rows["opens"] == domain
         bits = np.frombuffer(b"".join(drawn), np.uint64).reshape(len(cls), -1)
-        values, inverse, counts = np.unique(label, return_inverse=True, return_counts=True)
+        _, inverse, counts = np.unique(label, return_inverse=True, return_counts=True)
         # members of the largest component are compared with all others, never with each other
         small = np.flatnonzero(inverse != counts.argmax())
-        for i in range(0, len(small), tile):
-            left = small[i : i + tile]
-            for j in range(0, len(cls), tile):
-                right = np.arange(j, min(j + tile, len(cls)))
-                far = np.zeros((len(left), len(right)), np.int64)
-                for w in range(bits.shape[1]):
-                    far += np.bitwise_count(bits[left, w][:, None] ^ bits[right, w][None, :])
+        wide = max(1, cells // (bits.shape[1] * min(len(cls), 256)))
+        for i in range(0, len(small), wide):
+            left = small[i : i + wide]
+            for j in range(0, len(cls), 256):
+                right = np.arange(j, min(j + 256, len(cls)))
                 low, high = np.minimum(n[left][:, None], n[right][None, :]), np.maximum(n[left][:, None], n[right][None, :])
-                fine = (label[left][:, None] != label[right][None, :]) & (100 * low >= bands.percent * high) & (far <= bands.differing(low, high))
-                x, y = np.nonzero(fine)
-                yield cls[left[x]], cls[right[y]]
+                fine = (label[left][:, None] != label[right][None, :]) & (100 * low >= bands.percent * high)
+                # two documents of the domain's second band meet in the next domain
+                fine &= opens[left][:, None] | opens[right][None, :]
+                if not fine.any():
+                    continue
+                far = np.bitwise_count(bits[left][:, None, :] ^ bits[right][None, :, :]).sum(axis=2, dtype=np.int64)
+                x, y = np.nonzero(fine & (far <= bands.differing(low, high)))
+                if len(x):
+                    yield cls[left[x]], cls[right[y]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solved(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = pa.Table.from_batches(held)
             k = block.column("k").to_numpy()
             edges = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1], [True])))
-            columns = {c: block.column(c).to_numpy() for c in ("cls", "label", "n")}
+            columns = {c: block.column(c).to_numpy() for c in ("cls", "label", "n", "opens")}
             domain = block.column("domain").to_numpy()
             sketches = block.column("sketch").to_pylist()
             found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -354,16 +357,21 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     del signs
     release(spark)
 
-    drawn = sets.where("n > 0").groupBy("cls").agg(*[F.first(c).alias(c) for c in ("n", "own", "below")], F.first("domain").alias("opens"))
-    drawn = written(drawn, "sketches")
+    # sketches of the classes that share a bucket with another one
+    drawn = sets.select("cls", "key", "n", "own", "below", F.col("domain").alias("opens"))
+    drawn = drawn.join(people.select("key", "cls").join(buckets.select("cls").distinct(), "cls", "left_semi"), ["key", "cls"], "left_semi")
+    drawn = written(drawn.drop("key").dropDuplicates(["cls"]), "sketches")
+    fat, sets = sets, written(sets.select("doc_id", "n", "cls"), "sizes")
+    discard(fat)
+    release(spark)
     mine = F.when(F.col("domain") == F.col("opens"), F.col("own")).otherwise(F.col("below"))
     stars = buckets.where("cls <> lead").groupBy(F.col("lead").alias("a"), F.col("cls").alias("b")).agg(F.min("domain").alias("domain"))
     for x in "ab":
         stars = stars.join(drawn.withColumnRenamed("cls", x), x)
         stars = stars.withColumn(f"s_{x}", mine).withColumnRenamed("n", f"n_{x}").drop("own", "below", "opens")
     stars = stars.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_allowed(bands), "a long, b long")
-    first = written(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
-    near = _links(rows, people, first, shingle, percent)
+    stars = written(stars, "stars")
+    near = _links(rows, people, stars, shingle, percent)
     release(spark)
     labels = connected(near)
 
@@ -372,12 +380,12 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     marked = written(marked.select("k", "cls", "domain", F.coalesce("component", "cls").alias("label")), "marked")
     mixed = marked.groupBy("k").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("k")
     mixed = written(mixed, "mixed")
-    open_ = marked.join(mixed, "k").join(drawn, "cls").select("k", "cls", "domain", "label", "n", mine.alias("sketch"))
+    open_ = marked.join(mixed, "k").join(drawn, "cls").select("k", "cls", "domain", "label", "n", "opens", mine.alias("sketch"))
     open_ = open_.repartition("k").sortWithinPartitions("k")
     late = written(open_.mapInArrow(_between(bands), "a long, b long").distinct(), "between")
     discard(buckets, marked, mixed)
-    links = near.unionByName(_links(rows, people, late.join(first, ["a", "b"], "left_anti"), shingle, percent))
-    discard(people, drawn, first, late)
+    links = near.unionByName(_links(rows, people, late.join(stars, ["a", "b"], "left_anti"), shingle, percent))
+    discard(people, drawn, stars, late)
     release(spark)
     groups = written(connected(links), "groups")
 

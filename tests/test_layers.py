@@ -115,7 +115,7 @@ def test_pipeline_runs_and_runs_again(spark, folder):
     assert summary_frame(spark, first).first().documents_count == 180
     # the same tickets again: upserted, not added
     second = run_pipeline(spark, folder, tickets=tickets)
-    assert second["validate"]["total_processed"] == 400
+    assert second["validate"]["total_processed"] == 400 and second["bronze"]["bronze_count"] == 180
     assert second["silver"]["silver_count"] == 180
     log = lineage.LineageLog(spark, folder + "/lineage").read()
     assert lineage.run_status(log).groupBy("status").count().collect() == [("COMPLETE", 14)]

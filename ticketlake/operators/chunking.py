@@ -49,17 +49,12 @@ def _first_filled(df: DataFrame, field: str) -> Column:
     return F.coalesce(*found) if found else F.lit(None).cast("string")
 
 
-def ticket_text(
-    tickets: DataFrame, order: str = "Ticket_ID", row_number: str | None = None, max_docs: int | None = None
-) -> DataFrame:
+def ticket_text(tickets: DataFrame, order: str = "Ticket_ID", row_number: str | None = None) -> DataFrame:
     """One row per ticket: ``doc_order``, the metadata fields and ``full_text``.
 
     ``order`` gives the document order that breaks ties. ``row_number`` names a
-    column for the id of tickets without one. ``max_docs`` keeps the first
-    tickets in document order; by default every ticket is used.
+    column for the id of tickets without one.
     """
-    if max_docs is not None:
-        tickets = tickets.orderBy(order).limit(max_docs)
     number = F.col(row_number).cast("string") if row_number else F.lit("0")
     fields = {field: _first_filled(tickets, field) for field in SPELLINGS}
     fields["ticket_id"] = F.coalesce(fields["ticket_id"], F.concat(F.lit("TKT-"), number))

@@ -43,13 +43,25 @@ def merge_upsert(
 ) -> DataFrame:
     """Matched rows take the source's values, new keys are added, the rest stays.
 
-    Null keys match nothing: target rows stay and source rows are added. They
-    are kept out of the join, so a mass of null keys never meets in one task.
+    Null keys match nothing: target rows stay and source rows are added.
     """
-    incoming = _single_per_key(source, key, order, on_duplicate)
-    # only the key column is read for the join, and repeats are folded before the shuffle;
-    # Spark broadcasts the keys when it finds them small, else both sides shuffle
-    keys = source.select(key).where(F.col(key).isNotNull()).distinct()
-    keyed = target.where(F.col(key).isNotNull()).join(keys, key, "left_anti")
-    unkeyed = target.where(F.col(key).isNull())
-    return keyed.select(target.columns).unionByName(unkeyed).unionByName(incoming)
+    incoming = folded(source, key, order, on_duplicate)
+    return untouched(target, incoming, key).unionByName(incoming)
+
+
+def folded(source: DataFrame, key: str, order: str | None = None, on_duplicate: str = "keep_last") -> DataFrame:
+    """The source of an upsert with one row per key; rows without a key all stay."""
+    return _single_per_key(source, key, order, on_duplicate)
+
+
+def untouched(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+    """Target rows whose key the source does not hold, from one scan of the target.
+
+    Only the keys are read for the join; Spark broadcasts them when it finds them
+    small. A null key joins on a text of its own place, so that a mass of them is
+    spread over the tasks.
+    """
+    keys = incoming.where(F.col(key).isNotNull()).select(F.struct(F.col(key).alias("k"), F.lit(None).cast("long").alias("i")).alias("_key"))
+    place = F.when(F.col(key).isNull(), F.xxhash64(*[c for c, kind in target.dtypes if not kind.startswith("map")]))
+    marked = target.withColumn("_key", F.struct(F.col(key).alias("k"), place.alias("i")))
+    return marked.join(keys, "_key", "left_anti").select(target.columns)

@@ -76,9 +76,18 @@ def lexical_topk(chunks: DataFrame, queries: DataFrame, k: int = FUSED_K, **limi
     )
 
 
+def _measurable(vector: str) -> Column:
+    odd = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.col(vector).isNotNull() & ~odd
+
+
 def dense_topk(vectors: DataFrame, queries: DataFrame, k: int = FUSED_K, carry: list[str] | None = None, **limits) -> DataFrame:
-    """The k nearest vectors by squared Euclidean distance, returned as ``distance``."""
+    """The k nearest vectors by squared Euclidean distance, returned as ``distance``.
+
+    Vectors and queries that are null or hold null, NaN or infinite places take no part.
+    """
     carry = CARRY if carry is None else carry
+    vectors, queries = (df.where(_measurable("vector")) for df in (vectors, queries))
     found = topk.search(vectors, {"dense": queries}, [topk.VectorScorer("dense")], k, carry, **limits)
     return found.withColumn("distance", -F.col("score")).drop("score")
 
@@ -151,25 +160,21 @@ def rerank_overlap(candidates: DataFrame, queries: DataFrame, k: int = TOP_K) ->
     return _best(scored, "cross_encoder_score", k)
 
 
-def word_coverage(queries: pd.Series, texts: pd.Series) -> pd.Series:
-    """The built-in pair model: the share of the query's distinct words found in the text."""
-    pairs = zip(queries, texts)
-    shares = [
-        len(asked & set(text.lower().split())) / len(asked) if asked else 0.0
-        for asked, text in ((set(q.lower().split()), t) for q, t in pairs)
-    ]
-    return pd.Series(shares, dtype="float64")
+def word_coverage(query: Column, text: Column) -> Column:
+    """The built-in pair score: the share of the query's distinct words found in the text."""
+    asked = F.size(words(query))
+    return F.when(asked == 0, 0.0).otherwise(shared_words(query, text) / asked)
 
 
 def rerank_model(
     candidates: DataFrame,
     queries: DataFrame,
-    model: Callable[[pd.Series, pd.Series], pd.Series] = word_coverage,
+    model: Callable[[pd.Series, pd.Series], pd.Series] | None = None,
     k: int = TOP_K,
 ) -> DataFrame:
     """Rerank with a pair model that maps query texts and chunk texts to scores.
 
-    It sees the few fused candidates of each query only, in Arrow batches.
+    Without one the share of shared words is the score, as a column expression. A model sees the few fused candidates of each query only, in Arrow batches.
     """
 
     @F.pandas_udf("double")
@@ -177,7 +182,8 @@ def rerank_model(
         return model(query, text)
 
     scored = candidates.drop("rank").join(queries, "query_id")
-    scored = scored.withColumn("cross_encoder_score", predict("query", "text"))
+    score = word_coverage(F.col("query"), F.col("text")) if model is None else predict("query", "text")
+    scored = scored.withColumn("cross_encoder_score", score)
     return _best(scored, "cross_encoder_score", k)
 
 

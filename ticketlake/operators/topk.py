@@ -177,7 +177,9 @@ def _best_cells(scores: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarr
     cells are left out, and the floor rises with what this block holds.
     """
     n = scores.shape[0]
-    keep = scores >= floor
+    # what is not a number has no place and takes none
+    scores = np.where(np.isnan(scores), -np.inf, scores)
+    keep = (scores >= floor) & (scores > -np.inf)
     if n > k:
         bound = np.partition(scores, n - k, axis=0)[n - k]
         above = scores > bound

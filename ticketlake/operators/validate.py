@@ -11,10 +11,14 @@ REASON = "rejection_reason"
 RAW = "raw_record"
 
 
-def rename_to_contract(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Accept either spelling of each column and drop columns the contract does not know.
+UNKNOWN = "_unknown"
 
-    Where both spellings exist the capitalised one wins and the other fills its gaps.
+
+def rename_to_contract(df: DataFrame, keep: tuple[str, ...] = (), unknown: bool = False) -> DataFrame:
+    """Accept either spelling of each column; columns the contract does not know go.
+
+    Where both spellings exist the capitalised one counts, also where it is null,
+    as in JSON records. ``unknown`` keeps the other columns as one struct.
     """
     # positional names: Spark compares column names without case, so both
     # spellings side by side could not be told apart
@@ -23,7 +27,11 @@ def rename_to_contract(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     for pair in TICKET_FIELDS:
         found = [F.col(at[name]).cast("string") for name in pair if name in at]
         if found:
-            columns.append(F.coalesce(*found).alias(pair[0]))
+            columns.append(found[0].alias(pair[0]))
+    known = {name for pair in TICKET_FIELDS for name in pair} | set(keep)
+    others = [F.col(at[name]).alias(name) for name in df.columns if name not in known]
+    if unknown and others:
+        columns.append(F.struct(*others).alias(UNKNOWN))
     return df.toDF(*at.values()).select(*columns)
 
 
@@ -70,7 +78,7 @@ def validate_table(
     an empty cell as a floating-point NaN, the way a data frame library hands it
     on: then empty text cells are rejected.
     """
-    named = rename_to_contract(df, keep)
+    named = rename_to_contract(df, keep, unknown=True)
     have = [c for c in COLUMNS if c in named.columns]
     wanted = COLUMNS if nan_compat else COMPUTED + (STRICT if strict else [])
     # text columns that no rule looks at stay out, so that unused ones are never read
@@ -86,7 +94,9 @@ def validate_table(
     judged = _judged({c: field(c) for c in columns}, columns, strict, F.lit(False))
     passed = {c: F.col(c) if c in have else F.lit(None).cast("string") for c in COLUMNS}
     passed |= {c: F.col(f"_result.{c}") for c in columns}
-    raw = F.to_json(F.struct(*have), {"ignoreNullFields": "false"})
+    # the whole record, columns outside the contract last
+    others = [f"{UNKNOWN}.*"] if UNKNOWN in named.columns else []
+    raw = F.to_json(F.struct(*have, *others), {"ignoreNullFields": "false"})
     return _sealed(named.withColumn("_judged", judged)).select(
         *keep,
         *[value.alias(c) for c, value in passed.items()],

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 
-from ticketlake.operators.lineage import STAGES
 from ticketlake.schema import AGENTS, CATEGORIES, CHANNELS, SUBJECTS
 from ticketlake.sources import testdata
 
@@ -96,7 +95,6 @@ RAW_COLUMNS = (
     '"Issue_Category", "Priority_Level", "Ticket_Channel", "Submission_Date", '
     '"Resolution_Time_Hours", "Assigned_Agent", "Satisfaction_Score"'
 )
-NO_TEXT = RAW_COLUMNS.replace('"Ticket_Description", ', "")
 ENVELOPE = "json_object(" + ", ".join(f"'{c[1:-1]}', {c}" for c in RAW_COLUMNS.split(", ")) + ")::VARCHAR"
 MESSAGE = ENVELOPE.replace(")::VARCHAR", ", '_seq', seq)::VARCHAR")
 
@@ -143,6 +141,10 @@ TYPED = """seq, "Ticket_ID", "Customer_Name", "Customer_Email", "Ticket_Subject"
   "Ticket_Channel", "Submission_Date", CAST("Resolution_Time_Hours" AS DOUBLE) AS "Resolution_Time_Hours",
   "Assigned_Agent", CAST("Satisfaction_Score" AS DOUBLE) AS "Satisfaction_Score\""""
 PARTS["valid"] = f"SELECT {TYPED} FROM judged WHERE rejection_reason IS NULL"
+# in the second of two runs a faulty score is null, so it is no reason
+PARTS["judged_again"] = f"""SELECT *, {TICKET_REASON} AS rejection_reason
+FROM (SELECT * REPLACE (CASE WHEN "Satisfaction_Score" BETWEEN '1' AND '5' THEN "Satisfaction_Score" END AS "Satisfaction_Score")
+  FROM tickets WHERE seq % 2 = 0)"""
 PARTS["silver"] = (
     'SELECT * FROM valid QUALIFY row_number() OVER (PARTITION BY "Ticket_ID" ORDER BY seq DESC) = 1'
 )
@@ -184,15 +186,22 @@ FROM (
   FROM (SELECT 'unvalidated' AS dataset, * FROM unvalidated UNION ALL SELECT 'silver', * FROM silver)
   GROUP BY dataset)"""
 
-PARTS["stage_names"] = "SELECT * FROM (VALUES " + ", ".join(
-    f"({i}, {text(name)}, {text(','.join(ins))}, {text(','.join(outs))})"
-    for i, (name, (ins, outs)) in enumerate(STAGES.items())
-) + ") AS s(i, stage, ins, outs)"
+# --- fixed values: the seven stages with what they read and write
+PARTS["stage_names"] = """
+SELECT * FROM (VALUES
+  (0, 'produce', 'raw_crm_dataset', 'support-tickets-raw'),
+  (1, 'consume_validate', 'support-tickets-raw', 'support-tickets-valid,support-tickets-dlq,quarantine_jsonl'),
+  (2, 'bronze', 'support-tickets-valid', 'delta_bronze'),
+  (3, 'silver', 'delta_bronze', 'delta_silver'),
+  (4, 'quality_gate', 'delta_silver', 'quality_audit_metrics'),
+  (5, 'gold', 'delta_silver', 'delta_gold_category,delta_gold_agent,delta_gold_sla'),
+  (6, 'rag', 'delta_silver', 'chroma_vector_db,bm25_index,rag_answer')
+) AS s(i, stage, ins, outs)"""
 PARTS["runs"] = f"""
 SELECT CAST(event_id AS VARCHAR) AS run_id, stage, ins, outs,
   strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS happened,
   CASE event_type WHEN 'error' THEN 'FAIL' WHEN 'view' THEN 'OTHER' ELSE 'COMPLETE' END AS ended
-FROM events JOIN stage_names ON i = event_id % {len(STAGES)}"""
+FROM events JOIN stage_names ON i = event_id % 7"""
 PARTS["run_events"] = """
 SELECT 'START' AS event_type, * FROM runs UNION ALL SELECT ended, * FROM runs"""
 
@@ -359,12 +368,44 @@ SELECT raw_record, CASE WHEN seq % 211 = 0 THEN 'Record is not a JSON object' EL
 FROM (SELECT seq, rejection_reason, CASE WHEN seq % 211 = 0 THEN left(m, length(m) // 2) ELSE m END AS raw_record
       FROM (SELECT *, {MESSAGE} AS m FROM judged))
 WHERE rejection_reason IS NOT NULL OR seq % 211 = 0""",
-        "synth_fault_counts": """
-SELECT count(*) AS n_rows, CAST(floor(count(*) * 0.05) AS BIGINT) AS n_faulty,
-  CAST(floor(count(*) * 0.05) AS BIGINT) AS n_rejected, count(*) AS n_distinct FROM orders""",
+        "scan_csv_malformed": """
+SELECT CASE WHEN seq % 10 = 3 THEN line || ',EXTRA' WHEN seq % 10 = 7 THEN regexp_replace(line, ',[^,]*$', '') END AS malformed,
+  CASE WHEN seq % 10 NOT IN (3, 7) THEN seq END AS seq,
+  CASE WHEN seq % 10 NOT IN (3, 7) THEN "Ticket_ID" END AS "Ticket_ID",
+  CASE WHEN seq % 10 NOT IN (3, 7) THEN "Issue_Category" END AS "Issue_Category",
+  CASE WHEN seq % 10 NOT IN (3, 7) THEN nullif("Priority_Level", '') END AS "Priority_Level"
+FROM (SELECT *, seq || ',' || coalesce("Ticket_ID", '') || ',' || "Issue_Category" || ',' || "Priority_Level" AS line FROM tickets)""",
+        "ingest_fallback_runs": "SELECT * FROM valid",
+        "inject_faults": f"""
+WITH drawn AS (SELECT *, md5(seq || ':42') AS m FROM tickets),
+spoilt AS (SELECT *, CASE WHEN ('0x' || m[1:8])::BIGINT % 10000 < 500 THEN
+  CASE ('0x' || m[9:16])::BIGINT % 4 WHEN 0 THEN 'missing_id' WHEN 1 THEN 'missing_name' WHEN 2 THEN 'bad_score'
+    ELSE 'invalid_priority' END END AS fault FROM drawn)
+SELECT seq, fault, {RAW_COLUMNS} FROM (SELECT * REPLACE (
+  CASE WHEN fault = 'missing_id' THEN NULL ELSE "Ticket_ID" END AS "Ticket_ID",
+  CASE WHEN fault = 'missing_name' THEN NULL ELSE "Customer_Name" END AS "Customer_Name",
+  CASE WHEN fault = 'bad_score' THEN '99' ELSE "Satisfaction_Score" END AS "Satisfaction_Score",
+  CASE WHEN fault = 'invalid_priority' THEN 'Urgent_NonStandard' ELSE "Priority_Level" END AS "Priority_Level") FROM spoilt)""",
+        "pipeline_rerun": f"""
+WITH late AS (SELECT * REPLACE (seq - 1000000000 AS seq, 6 - "Satisfaction_Score" AS "Satisfaction_Score")
+  FROM (SELECT {TYPED} FROM judged_again WHERE rejection_reason IS NULL)
+  QUALIFY row_number() OVER (PARTITION BY "Ticket_ID" ORDER BY seq DESC) = 1)
+SELECT *, {STAMP} AS _ingestion_time, 'kaggle_crm_customer_tickets' AS _data_source, {STAMP} AS _processed_time
+FROM (SELECT * FROM silver WHERE "Ticket_ID" NOT IN (SELECT "Ticket_ID" FROM late) UNION ALL SELECT * FROM late)""",
+        "validate_dlq_extra_columns": f"""
+SELECT seq, {MESSAGE.replace("'_seq', seq", "'note', 'n' || (seq % 7), 'size', seq % 5")} AS raw_record, rejection_reason, 'QUARANTINED' AS status
+FROM judged WHERE rejection_reason IS NOT NULL""",
+        "dense_topk_gaps": """
+WITH parts AS (
+  SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS place FROM embeddings),
+far AS (
+  SELECT q.vec_id AS query_id, c.vec_id, round(sum((c.x - q.x) * (c.x - q.x)), 6) AS distance
+  FROM parts q JOIN parts c USING (place)
+  WHERE q.vec_id % 100 = 1 AND c.vec_id % 17 <> 0 AND c.vec_id % 19 <> 0 AND c.vec_id % 23 <> 0 GROUP BY ALL)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank,
+  vec_id, distance FROM far QUALIFY rank <= 10""",
         "contract_rename": f"""
-SELECT seq, coalesce("Ticket_ID", 'ALT-' || seq) AS "Ticket_ID", {NO_TEXT.replace('"Ticket_ID", ', '')}
-FROM tickets""",
+SELECT seq, {RAW_COLUMNS} FROM tickets""",
         "contract_required": f"""
 SELECT seq, {strip('"Ticket_ID"')} AS value, {required_error('"Ticket_ID"', 'ticket_id')} AS error FROM cases""",
         "contract_priority": f"""
@@ -417,11 +458,11 @@ FROM judged WHERE rejection_reason IS NOT NULL ORDER BY seq LIMIT 5""",
         "bronze_load": f"""
 SELECT *, {STAMP} AS _ingestion_time, 'kaggle_crm_customer_tickets' AS _data_source FROM valid""",
         "silver_bootstrap": f"""
-SELECT seq, {NO_TEXT}, {STAMP} AS _ingestion_time, 'kaggle_crm_customer_tickets' AS _data_source,
+SELECT seq, {RAW_COLUMNS}, {STAMP} AS _ingestion_time, 'kaggle_crm_customer_tickets' AS _data_source,
   {STAMP} AS _processed_time FROM silver""",
         "silver_merge": f"""
-WITH target AS (SELECT seq, {NO_TEXT} FROM unvalidated WHERE "Submission_Date" < '1998-01-01'),
-late AS (SELECT seq, {NO_TEXT} FROM (SELECT * REPLACE (6 - "Satisfaction_Score" AS "Satisfaction_Score")
+WITH target AS (SELECT seq, {RAW_COLUMNS} FROM unvalidated WHERE "Submission_Date" < '1998-01-01'),
+late AS (SELECT seq, {RAW_COLUMNS} FROM (SELECT * REPLACE (6 - "Satisfaction_Score" AS "Satisfaction_Score")
   FROM unvalidated) WHERE "Submission_Date" >= '1996-01-01'),
 source AS (SELECT * FROM late QUALIFY "Ticket_ID" IS NULL
   OR row_number() OVER (PARTITION BY "Ticket_ID" ORDER BY seq DESC) = 1)
@@ -572,6 +613,9 @@ SELECT (SELECT count(*) FROM tickets) AS produced, (SELECT count(*) FROM tickets
     return {name: (sql, None) for name, sql in plain_sql.items()} | searches
 
 
+SHARED = {"words", "raw_idf", "judged", "tickets"}
+
+
 def _needed(sql: str, parts: dict[str, str], found: dict[str, None]) -> None:
     """Collect the parts a statement names, each after the parts it builds on."""
     for name in parts:
@@ -588,7 +632,8 @@ def queries() -> dict[str, str]:
             parts |= retrieval_parts(*corpus) | RETRIEVAL_EXTRA
         found: dict[str, None] = {}
         _needed(sql, parts, found)
-        heads = [f"{part} AS ({parts[part]})" for part in found]
+        # what several parts build on is computed once
+        heads = [f"{part} AS {'MATERIALIZED ' if part in SHARED else ''}({parts[part]})" for part in found]
         sql = sql.strip()
         if sql.startswith("WITH "):
             heads.append(sql[len("WITH "):])

@@ -14,9 +14,8 @@ from ticketlake.operators.merge import dedup_keep_last
 from ticketlake.plans.pipeline import run_pipeline, summary_frame
 from ticketlake.schema import COLUMNS, NUMERIC
 from ticketlake.session import scratch_dir
-from ticketlake.sources import testdata
+from ticketlake.sources import synthetic, testdata
 from ticketlake.sources.csv import read_tickets_csv, write_tickets_csv
-from ticketlake.sources.synthetic import generate_tickets
 from ticketlake.sources.tables import SchemaMismatchError, VersionedTable
 from ticketlake.sources.topics import Topic, as_messages, produce
 from ticketlake.streaming import ingest
@@ -90,30 +89,43 @@ def stream_validate_dlq(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.read_quarantine_lines(spark, _ingested(spark, sf))
 
 
-def synth_tickets(spark: SparkSession, sf: str) -> DataFrame:
-    return generate_tickets(spark, testdata.table(spark, sf, "orders").count(), FAULT_FRACTION)
+def scan_csv_malformed(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with a surplus or a missing cell among sound ones: they come back whole, the others parsed."""
+    path = scratch_dir(spark, "csv")
+    cells = ["seq", "Ticket_ID", "Issue_Category", "Priority_Level"]
+    rows = testdata.tickets(spark, sf, description=False).select(*cells)
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cells])
+    short = F.regexp_replace(line, ",[^,]*$", "")
+    bent = F.when(F.col("seq") % 10 == 3, F.concat(line, F.lit(",EXTRA"))).when(F.col("seq") % 10 == 7, short).otherwise(line)
+    # one file each time, headed by the names
+    header = spark.createDataFrame([(-1, ",".join(cells))], "seq bigint, line string")
+    rows.select("seq", bent.alias("line")).unionByName(header).coalesce(1).sortWithinPartitions("seq").select("line").write.text(path)
+    read = read_tickets_csv(spark, path, extra="seq bigint", multi_line=False, malformed="malformed")
+    sound = F.col("malformed").isNull()
+    return read.select("malformed", *[F.when(sound, F.col(c)).alias(c) for c in cells])
+
+
+def ingest_fallback_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs without a topic and one with it: every third of the tickets arrives once."""
+    root = scratch_dir(spark, "runs")
+    topic, paths = Topic(f"{root}/raw"), ingest.IngestPaths.under(root)
+    thirds = [as_messages(testdata.tickets(spark, sf).where(F.col("seq") % 3 == i), "seq") for i in range(3)]
+    ingest.ingest_or_fallback(spark, topic, thirds[0], paths)
+    ingest.ingest_or_fallback(spark, topic, thirds[1], paths)
+    produce(thirds[2], topic)
+    ingest.ingest_or_fallback(spark, topic, thirds[0], paths)
+    return ingest.read_valid(spark, paths).withColumnRenamed("_seq", "seq")
 
 
-def synth_fault_counts(spark: SparkSession, sf: str) -> DataFrame:
-    made = synth_tickets(spark, sf)
-    counted = validate.validate_table(made, keep=("fault",)).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count("fault").alias("n_faulty"),
-        F.count(validate.REASON).alias("n_rejected"),
-        F.count_distinct(KEY).alias("n_ids"),
-        F.count_if(F.col(KEY).isNull()).alias("n_without_id"),
-    )
-    # a missing id is one of the four faults, so the ids that are left differ
-    return counted.select(
-        "n_rows", "n_faulty", "n_rejected", (F.col("n_ids") + F.col("n_without_id")).alias("n_distinct")
-    )
+def inject_faults(spark: SparkSession, sf: str) -> DataFrame:
+    return synthetic.inject_faults(testdata.tickets(spark, sf), FAULT_FRACTION)
 
 
 # --- contract ----------------------------------------------------------------
 
 
 def contract_rename(spark: SparkSession, sf: str) -> DataFrame:
-    raw = testdata.tickets(spark, sf, description=False).drop("Ticket_Description")
+    raw = testdata.tickets(spark, sf)
     mixed = raw.select(
         "seq",
         F.col("Ticket_ID").alias("id_as_column"),
@@ -162,6 +174,12 @@ def validate_dlq(spark: SparkSession, sf: str) -> DataFrame:
     return validate.quarantine(judged(spark, sf, description=True), keep=("seq",))
 
 
+def validate_dlq_extra_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected records with two columns that the contract does not know."""
+    tickets = testdata.tickets(spark, sf).withColumns({"note": F.concat(F.lit("n"), F.col("seq") % 7), "size": F.col("seq") % 5})
+    return validate.quarantine(validate.validate_table(tickets, keep=("seq",)), keep=("seq",))
+
+
 def validate_summary(spark: SparkSession, sf: str) -> DataFrame:
     return validate.summary(judged(spark, sf))
 
@@ -185,14 +203,14 @@ def bronze_load(spark: SparkSession, sf: str) -> DataFrame:
 
 def silver_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
     table = VersionedTable(spark, scratch_dir(spark, "silver"))
-    rows = layers.bronze(validate.valid_tickets(judged(spark, sf)), NOW)
-    made = layers.merge_silver(table, rows, "seq", NOW).drop("Ticket_Description")
+    rows = layers.bronze(validate.valid_tickets(judged(spark, sf, description=True)), NOW)
+    made = layers.merge_silver(table, rows, "seq", NOW)
     return _as_text(made, "_ingestion_time", "_processed_time")
 
 
 def silver_merge(spark: SparkSession, sf: str) -> DataFrame:
     table = VersionedTable(spark, scratch_dir(spark, "silver"))
-    rows = unvalidated(spark, sf).drop("Ticket_Description")
+    rows = unvalidated(spark, sf, description=True)
     table.overwrite(rows.where(F.col("Submission_Date") < TARGET_BEFORE))
     late = rows.where(F.col("Submission_Date") >= SOURCE_FROM)
     return table.merge(late.withColumn("Satisfaction_Score", 6 - F.col("Satisfaction_Score")), KEY, "seq")
@@ -202,9 +220,24 @@ def dedup(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_keep_last(testdata.tickets(spark, sf), KEY, "seq")
 
 
+def pipeline_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver after two runs; the second sends every other ticket again, changed, under smaller arrival numbers."""
+    root = scratch_dir(spark, "rerun")
+    topic, paths = Topic(f"{root}/raw"), ingest.IngestPaths.under(root)
+    table = VersionedTable(spark, f"{root}/silver")
+    tickets = testdata.tickets(spark, sf)
+    score = F.when(F.col("Satisfaction_Score").between("1", "5"), (6 - F.col("Satisfaction_Score").cast("int")).cast("string"))
+    changed = tickets.where(F.col("seq") % 2 == 0).withColumns({"Satisfaction_Score": score, "seq": F.col("seq") - 10**9})
+    for sent in (tickets, changed):
+        produce(as_messages(sent, "seq"), topic)
+        run = ingest.ingest_or_fallback(spark, topic, None, paths)
+        layers.merge_silver(table, layers.bronze(ingest.last_valid(spark, paths, run), NOW), ingest.SEQ, NOW)
+    return _as_text(table.read().withColumnRenamed("_seq", "seq"), "_ingestion_time", "_processed_time")
+
+
 def schema_enforcement(spark: SparkSession, sf: str) -> DataFrame:
     table = VersionedTable(spark, scratch_dir(spark, "enforced"))
-    rows = table.overwrite(silver(spark, sf).drop("Ticket_Description"))
+    rows = table.overwrite(silver(spark, sf, description=True))
     attempts = {
         "extra_column": rows.withColumn("unexpected_extra_column", F.lit(1)),
         "changed_type": rows.withColumn("Satisfaction_Score", F.col("Satisfaction_Score").cast("string")),
@@ -241,7 +274,7 @@ def gold_category_ranked(spark: SparkSession, sf: str) -> DataFrame:
 def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(spark, "layers")
     table = {n: VersionedTable(spark, f"{root}/{n}") for n in ("bronze", "silver", *layers.GOLD)}
-    judged_rows = judged(spark, sf)
+    judged_rows = judged(spark, sf, description=True)
     bronze = table["bronze"].overwrite(layers.bronze(validate.valid_tickets(judged_rows), NOW))
     made = layers.merge_silver(table["silver"], bronze, "seq", NOW)
     for name, build in layers.GOLD.items():
@@ -393,6 +426,17 @@ def dense_topk(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("doc_order").alias("vec_id"), "distance")
 
 
+def dense_topk_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Some vectors are null, hold a null or are not numbers; the ten best of the others are found."""
+    place, rows = F.col("vec_id"), testdata.table(spark, sf, "embeddings")
+    odd = F.when(place % 17 == 0, F.lit(None)).when(place % 19 == 0, F.transform("embedding", lambda x: x * float("nan")))
+    odd = odd.when(place % 23 == 0, F.transform("embedding", lambda x, i: F.when(i > 0, x))).otherwise(F.col("embedding"))
+    corpus = rows.select(place.alias("doc_order"), F.lit(0).alias("chunk_offset"), odd.alias("vector"))
+    queries = rows.where(place % 100 == 1).select(place.alias("query_id"), F.col("embedding").alias("vector"))
+    found = retrieval.dense_topk(corpus, queries, carry=[])
+    return found.select("query_id", "rank", F.col("doc_order").alias("vec_id"), "distance")
+
+
 def _fused(spark: SparkSession, sf: str) -> DataFrame:
     chunks, queries = document_chunks(spark, sf), testdata.benchmark_queries(spark, sf)
     return retrieval.fuse(retrieval.hybrid_ranks(chunks, queries))
@@ -464,7 +508,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     run.__name__: run
     for run in (
         scan_csv_roundtrip, produce_counts, stream_validate_valid, stream_validate_dlq,
-        synth_tickets, synth_fault_counts,
+        scan_csv_malformed, ingest_fallback_runs, inject_faults, pipeline_rerun,
+        validate_dlq_extra_columns, dense_topk_gaps,
         contract_rename, contract_types, contract_reasons,
         validate_valid, validate_dlq, validate_summary, dlq_sample,
         bronze_load, silver_bootstrap, silver_merge, schema_enforcement,

@@ -16,13 +16,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of a few unsplittable files, spread over the cores for heavy per-row work.
-
-    The test tables are single files with one row group, hence one task. Where
-    there are at least as many files as cores nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+    """Rows spread over the cores: a test table is one file with one row group, hence one task."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _nth(values: list[str], index: Column) -> Column:

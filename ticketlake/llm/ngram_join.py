@@ -8,8 +8,10 @@ p / 100 and sizes a, b leave at most (100 - p) (a + b) / (100 + p) such shingles
 - Size bands: sizes grow by 100 / p from band to band, and linked documents are in the
   same or in neighbouring bands. A domain is two neighbouring bands; every document is in two.
 - Pigeonhole: in a domain whose largest sizes allow t differing shingles, shingles are
-  dealt by hash to t + 1 parts. Linked documents agree in at least one part's parity
-  sketch, whose linear (XOR) hash is the join key.
+  dealt by hash to t + 1 + e parts. Linked documents agree in at least 1 + e parts' parity
+  sketches, whose linear (XOR) hashes are the join keys. A document with at most e empty
+  parts leaves those out: one of the others agrees as well. (Two documents that both have
+  more empty parts both keep them.) So parts that say nothing rarely become keys.
 - Buckets are not paired up. Each bucket's first document is compared with the others
   (a star), by parity sketches of the whole documents and then by their texts, and what
   is linked becomes components. Only where a bucket still holds more than one component are members of different components
@@ -27,12 +29,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ticketlake.llm.common import column_bytes, discard, gram_hashes, lower_ascii, mix, release, runs_of, word_hashes, word_spans, written
 from ticketlake.llm.components import connected
 
 _RUN = 1 << 20
+#: Members of a bucket whose pairs are listed before their sketches are looked at.
+FEW = 64
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, shingle: int, seed: int = 0) -> list[np.ndarray]:
@@ -88,8 +92,12 @@ class Bands:
     def differing(self, a, b):
         return (100 - self.percent) * (a + b) // (100 + self.percent)
 
+    def spare(self, domain: int) -> int:
+        """Parts beyond those that the pigeonhole needs."""
+        return 1 + self.differing(self.largest(domain), self.largest(domain)) // 25
+
     def parts(self, domain: int) -> int:
-        return self.differing(self.largest(domain), self.largest(domain)) + 1
+        return self.differing(self.largest(domain), self.largest(domain)) + 1 + self.spare(domain)
 
     def bits(self, domain: int) -> int:
         """Bits of a whole document's sketch in a domain: eight for each shingle, whole words."""
@@ -108,15 +116,17 @@ def sketch(shingles: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8), bitorder="little")
 
 
-def part_keys(shingles: np.ndarray, domain: int, parts: int) -> np.ndarray:
-    """Join key of each part: the XOR hash of its parity sketch, with domain and part."""
+def part_keys(shingles: np.ndarray, domain: int, parts: int, spare: int) -> np.ndarray:
+    """Join key of each part: the XOR hash of its parity sketch, with domain and part; up to ``spare`` empty parts are left out."""
     spread = mix(shingles ^ np.uint64(0x9FB21C651E98DF25))
     part = (spread % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     sums = np.concatenate((np.zeros(1, np.uint64), np.bitwise_xor.accumulate(mix(spread)[order])))
     edges = np.searchsorted(part[order], np.arange(parts + 1))
     parity = sums[edges[1:]] ^ sums[edges[:-1]]
-    return mix(parity + mix(np.uint64(domain << 32) + np.arange(parts, dtype=np.uint64)))
+    keys = mix(parity + mix(np.uint64(domain << 32) + np.arange(parts, dtype=np.uint64)))
+    filled = edges[1:] > edges[:-1]
+    return keys[filled] if parts - filled.sum() <= spare else keys
 
 
 # --- the steps ---------------------------------------------------------------------
@@ -161,7 +171,7 @@ def _signatures(shingle: int, seed: int, bands: Bands):
                     continue
                 cls = _class_of(s)
                 for domain in bands.domains(len(s)):
-                    got = part_keys(s, domain, bands.parts(domain))
+                    got = part_keys(s, domain, bands.parts(domain), bands.spare(domain))
                     keys.append(got)
                     owners.append((cls, domain, len(got)))
                     held += len(got)
@@ -309,6 +319,19 @@ def _between(bands: Bands, cells: int = 1 << 21):
     return run
 
 
+def _own() -> Column:
+    """A document's sketch in the row's domain."""
+    return F.when(F.col("domain") == F.col("opens"), F.col("own")).otherwise(F.col("below"))
+
+
+def _sketched(pairs: DataFrame, drawn: DataFrame, bands: Bands) -> DataFrame:
+    """Of pairs ``a``, ``b`` of a ``domain`` those whose sketches let them be linked."""
+    for x in "ab":
+        pairs = pairs.join(drawn.withColumnRenamed("cls", x), x)
+        pairs = pairs.withColumn(f"s_{x}", _own()).withColumnRenamed("n", f"n_{x}").drop("own", "below", "opens")
+    return pairs.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_allowed(bands), "a long, b long")
+
+
 def _links(rows: DataFrame, people: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Of pairs of classes those whose sets are similar enough, by their texts."""
     a, b = (people.select(F.col("cls").alias(x), F.col("key").alias(f"key_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
@@ -364,13 +387,8 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     fat, sets = sets, written(sets.select("doc_id", "n", "cls"), "sizes")
     discard(fat)
     release(spark)
-    mine = F.when(F.col("domain") == F.col("opens"), F.col("own")).otherwise(F.col("below"))
     stars = buckets.where("cls <> lead").groupBy(F.col("lead").alias("a"), F.col("cls").alias("b")).agg(F.min("domain").alias("domain"))
-    for x in "ab":
-        stars = stars.join(drawn.withColumnRenamed("cls", x), x)
-        stars = stars.withColumn(f"s_{x}", mine).withColumnRenamed("n", f"n_{x}").drop("own", "below", "opens")
-    stars = stars.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_allowed(bands), "a long, b long")
-    stars = written(stars, "stars")
+    stars = written(_sketched(stars, drawn, bands), "stars")
     near = _links(rows, people, stars, shingle, percent)
     release(spark)
     labels = connected(near)
@@ -378,12 +396,24 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     # keys that still hold several components
     marked = buckets.select("k", "cls", "domain").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     marked = written(marked.select("k", "cls", "domain", F.coalesce("component", "cls").alias("label")), "marked")
-    mixed = marked.groupBy("k").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("k")
-    mixed = written(mixed, "mixed")
-    open_ = marked.join(mixed, "k").join(drawn, "cls").select("k", "cls", "domain", "label", "n", "opens", mine.alias("sketch"))
+    mixed = marked.groupBy("k").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members")).where("low <> high")
+    mixed = written(mixed.select("k", (F.col("members") > FEW).alias("many")), "mixed")
+    # small buckets: the same two documents may meet in very many of them, so their pairs come first and their sketches once
+    sized = drawn.select("cls", "n", "opens")
+    few = marked.join(mixed.where("not many"), "k").join(sized, "cls").drop("many")
+    left, right = (few.select([F.col(c).alias(c if c == "k" else f"{c}_{x}") for c in few.columns]) for x in "ab")
+    low, high = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    apart = (F.col("cls_a") < F.col("cls_b")) & (F.col("label_a") != F.col("label_b")) & (100 * low >= percent * high)
+    # two documents of a domain's second band meet in the next domain
+    apart &= (F.col("opens_a") == F.col("domain_a")) | (F.col("opens_b") == F.col("domain_a"))
+    close = left.join(right, "k").where(apart).groupBy(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).agg(F.min("domain_a").alias("domain"))
+    close = written(_sketched(close, drawn, bands), "close")
+    # large buckets: members of different components are compared where they meet
+    open_ = marked.join(mixed.where("many"), "k").join(drawn, "cls").select("k", "cls", "domain", "label", "n", "opens", _own().alias("sketch"))
     open_ = open_.repartition("k").sortWithinPartitions("k")
-    late = written(open_.mapInArrow(_between(bands), "a long, b long").distinct(), "between")
-    discard(buckets, marked, mixed)
+    late = open_.mapInArrow(_between(bands), "a long, b long").unionByName(close)
+    late = written(late.distinct(), "between")
+    discard(buckets, marked, mixed, close)
     links = near.unionByName(_links(rows, people, late.join(stars, ["a", "b"], "left_anti"), shingle, percent))
     discard(people, drawn, stars, late)
     release(spark)

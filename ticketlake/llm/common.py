@@ -21,11 +21,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows as a table in the shared scratch folder: computed once, and lineage ends there."""
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, purpose: str, batch: int = 2000) -> DataFrame:
+    """The rows as a table in the shared scratch folder: computed once, and lineage ends there.
+
+    ``batch`` rows go to Python at once while it is written, fewer where rows are wide.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(batch))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
     table_ = spark.read.schema(df.schema).parquet(path)
     table_._scratch = path
     return table_

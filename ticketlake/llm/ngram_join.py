@@ -35,6 +35,8 @@ from ticketlake.llm.common import column_bytes, discard, gram_hashes, lower_asci
 from ticketlake.llm.components import connected
 
 _RUN = 1 << 20
+#: Rows with two texts or sketches that go to Python at once.
+WIDE = 250
 #: Members of a bucket whose pairs are listed before their sketches are looked at.
 FEW = 64
 
@@ -226,8 +228,11 @@ def _allowed(bands: Bands):
         for batch in batches:
             a, b, n, m = (batch.column(i).to_numpy() for i in range(4))
             (left, bounds), (right, _) = column_bytes(batch.column(4)), column_bytes(batch.column(5))
-            sums = np.concatenate(([0], np.cumsum(np.bitwise_count(left ^ right), dtype=np.int64)))
-            far = sums[bounds[1:]] - sums[bounds[:-1]]
+            far = np.zeros(len(a), np.int64)
+            for i, j in runs_of(bounds, _RUN):
+                some = slice(bounds[i], bounds[j])
+                sums = np.concatenate(([0], np.cumsum(np.bitwise_count(left[some] ^ right[some]), dtype=np.int64)))
+                far[i:j] = np.diff(sums[bounds[i : j + 1] - bounds[i]])
             fine = (100 * np.minimum(n, m) >= bands.percent * np.maximum(n, m)) & (far <= bands.differing(n, m))
             yield pa.RecordBatch.from_arrays([pa.array(a[fine]), pa.array(b[fine])], ["a", "b"])
 
@@ -304,7 +309,7 @@ def _between(bands: Bands, cells: int = 1 << 21):
                 continue
             k = batch.column("k").to_numpy()
             cut = 0
-            if sum(x.num_rows for x in held) + len(k) > 20_000:
+            if sum(x.num_rows for x in held) + len(k) > 5_000:
                 change = np.flatnonzero(k[1:] != k[:-1]) + 1
                 if held and held[-1].column("k")[-1].as_py() != k[0]:
                     change = np.append(0, change)
@@ -342,7 +347,7 @@ def _links(rows: DataFrame, people: DataFrame, pairs: DataFrame, shingle: int, p
     texts = written(rows.join(asked, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "texts")
     right, left = (texts.select(F.col("key").alias(f"key_{x}"), F.col("text").alias(f"text_{x}")) for x in "ba")
     full = sized.join(right, "key_b").join(left, "key_a").select("a", "b", "text_a", "text_b")
-    linked = written(full.mapInArrow(_verify(shingle, percent), "a long, b long"), "similar")
+    linked = written(full.mapInArrow(_verify(shingle, percent), "a long, b long"), "similar", WIDE)
     discard(sized, texts)
     return linked
 
@@ -388,7 +393,7 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     discard(fat)
     release(spark)
     stars = buckets.where("cls <> lead").groupBy(F.col("lead").alias("a"), F.col("cls").alias("b")).agg(F.min("domain").alias("domain"))
-    stars = written(_sketched(stars, drawn, bands), "stars")
+    stars = written(_sketched(stars, drawn, bands), "stars", WIDE)
     near = _links(rows, people, stars, shingle, percent)
     release(spark)
     labels = connected(near)
@@ -407,12 +412,12 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     # two documents of a domain's second band meet in the next domain
     apart &= (F.col("opens_a") == F.col("domain_a")) | (F.col("opens_b") == F.col("domain_a"))
     close = left.join(right, "k").where(apart).groupBy(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).agg(F.min("domain_a").alias("domain"))
-    close = written(_sketched(close, drawn, bands), "close")
+    close = written(_sketched(close, drawn, bands), "close", WIDE)
     # large buckets: members of different components are compared where they meet
     open_ = marked.join(mixed.where("many"), "k").join(drawn, "cls").select("k", "cls", "domain", "label", "n", "opens", _own().alias("sketch"))
     open_ = open_.repartition("k").sortWithinPartitions("k")
     late = open_.mapInArrow(_between(bands), "a long, b long").unionByName(close)
-    late = written(late.distinct(), "between")
+    late = written(late.distinct(), "between", WIDE)
     discard(buckets, marked, mixed, close)
     links = near.unionByName(_links(rows, people, late.join(stars, ["a", "b"], "left_anti"), shingle, percent))
     discard(people, drawn, stars, late)

@@ -102,8 +102,8 @@ class Bands:
         return self.differing(self.largest(domain), self.largest(domain)) + 1 + self.spare(domain)
 
     def bits(self, domain: int) -> int:
-        """Bits of a whole document's sketch in a domain: eight for each shingle, whole words."""
-        return -(-8 * self.largest(domain) // 64) * 64
+        """Bits of a whole document's sketch in a domain: eight for each shingle, in eight slices of whole words."""
+        return -(-8 * self.largest(domain) // 512) * 512
 
     def domains(self, size: int) -> list[int]:
         """The domain that a document's band opens, and the one that it closes."""
@@ -118,6 +118,11 @@ def sketch(shingles: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8), bitorder="little")
 
 
+def folded(drawn: bytes) -> bytes:
+    """A sketch of an eighth of the bits: the parity of each bit's eight places."""
+    return np.bitwise_xor.reduce(np.frombuffer(drawn, np.uint8).reshape(8, -1), axis=0).tobytes()
+
+
 def part_keys(shingles: np.ndarray, domain: int, parts: int, spare: int) -> np.ndarray:
     """Join key of each part: the XOR hash of its parity sketch, with domain and part; up to ``spare`` empty parts are left out."""
     spread = mix(shingles ^ np.uint64(0x9FB21C651E98DF25))
@@ -138,7 +143,7 @@ def _class_of(s: np.ndarray) -> int:
     return int(mix(np.bitwise_xor.reduce(mix(s), keepdims=True) + np.uint64(len(s))).view(np.int64)[0])
 
 
-_SETS = "key long, doc_id long, n long, cls long, check long, domain int, own binary, below binary"
+_SETS = "key long, doc_id long, n long, cls long, check long, domain int, own binary, below binary, own_small binary, below_small binary"
 
 
 def _sets(shingle: int, seed: int, bands: Bands):
@@ -149,13 +154,15 @@ def _sets(shingle: int, seed: int, bands: Bands):
             out: list[tuple] = []
             for _, s in _each(batch, shingle, seed):
                 if not len(s):
-                    out.append((0, 0, 0, 0, None, None))
+                    out.append((0, 0, 0, 0, None, None, None, None))
                     continue
                 check = int(mix(np.add.reduce(mix(s ^ np.uint64(0xA5A5)), keepdims=True) + np.uint64(len(s))).view(np.int64)[0])
                 drawn = [sketch(s, bands.bits(d)).tobytes() for d in bands.domains(len(s))]
-                out.append((len(s), _class_of(s), check, bands.band(len(s)), drawn[0], drawn[1] if len(drawn) > 1 else None))
-            columns = zip(*out) if out else [[]] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+                drawn = [*drawn, None][:2]
+                small = [x if x is None else folded(x) for x in drawn]
+                out.append((len(s), _class_of(s), check, bands.band(len(s)), *drawn, *small))
+            columns = zip(*out) if out else [[]] * 8
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 4)
             rest = [pa.array(c, t) for c, t in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *rest], [x.split()[0] for x in _SETS.split(", ")])
 
@@ -226,15 +233,15 @@ def _allowed(bands: Bands):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, n, m = (batch.column(i).to_numpy() for i in range(4))
-            (left, bounds), (right, _) = column_bytes(batch.column(4)), column_bytes(batch.column(5))
+            a, b, domain, n, m = (batch.column(i).to_numpy() for i in range(5))
+            (left, bounds), (right, _) = column_bytes(batch.column(5)), column_bytes(batch.column(6))
             far = np.zeros(len(a), np.int64)
             for i, j in runs_of(bounds, _RUN):
                 some = slice(bounds[i], bounds[j])
                 sums = np.concatenate(([0], np.cumsum(np.bitwise_count(left[some] ^ right[some]), dtype=np.int64)))
                 far[i:j] = np.diff(sums[bounds[i : j + 1] - bounds[i]])
             fine = (100 * np.minimum(n, m) >= bands.percent * np.maximum(n, m)) & (far <= bands.differing(n, m))
-            yield pa.RecordBatch.from_arrays([pa.array(a[fine]), pa.array(b[fine])], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[fine]) for x in (a, b, domain)], ["a", "b", "domain"])
 
     return run
 
@@ -324,17 +331,27 @@ def _between(bands: Bands, cells: int = 1 << 21):
     return run
 
 
-def _own() -> Column:
+SKETCHES = ["own", "below", "own_small", "below_small"]
+
+
+def _own(size: str = "") -> Column:
     """A document's sketch in the row's domain."""
-    return F.when(F.col("domain") == F.col("opens"), F.col("own")).otherwise(F.col("below"))
+    return F.when(F.col("domain") == F.col("opens"), F.col(f"own{size}")).otherwise(F.col(f"below{size}"))
 
 
 def _sketched(pairs: DataFrame, drawn: DataFrame, bands: Bands) -> DataFrame:
-    """Of pairs ``a``, ``b`` of a ``domain`` those whose sketches let them be linked."""
-    for x in "ab":
-        pairs = pairs.join(drawn.withColumnRenamed("cls", x), x)
-        pairs = pairs.withColumn(f"s_{x}", _own()).withColumnRenamed("n", f"n_{x}").drop("own", "below", "opens")
-    return pairs.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_allowed(bands), "a long, b long")
+    """Of pairs ``a``, ``b`` of a ``domain`` those whose sketches let them be linked: small ones first, then whole ones."""
+    steps = []
+    for size in ("_small", ""):
+        for x in "ab":
+            one = drawn.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), "opens", f"own{size}", f"below{size}")
+            pairs = pairs.join(one, x).withColumn(f"s_{x}", _own(size)).drop("opens", f"own{size}", f"below{size}")
+        pairs = pairs.select("a", "b", "domain", "n_a", "n_b", "s_a", "s_b").mapInArrow(_allowed(bands), "a long, b long, domain int")
+        pairs = written(pairs, "sketched", WIDE)
+        steps.append(pairs)
+    discard(steps[0])
+    release(drawn.sparkSession)
+    return pairs.select("a", "b")
 
 
 def _links(rows: DataFrame, people: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -386,14 +403,14 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     release(spark)
 
     # sketches of the classes that share a bucket with another one
-    drawn = sets.select("cls", "key", "n", "own", "below", F.col("domain").alias("opens"))
+    drawn = sets.select("cls", "key", "n", *SKETCHES, F.col("domain").alias("opens"))
     drawn = drawn.join(people.select("key", "cls").join(buckets.select("cls").distinct(), "cls", "left_semi"), ["key", "cls"], "left_semi")
     drawn = written(drawn.drop("key").dropDuplicates(["cls"]), "sketches")
     fat, sets = sets, written(sets.select("doc_id", "n", "cls"), "sizes")
     discard(fat)
     release(spark)
     stars = buckets.where("cls <> lead").groupBy(F.col("lead").alias("a"), F.col("cls").alias("b")).agg(F.min("domain").alias("domain"))
-    stars = written(_sketched(stars, drawn, bands), "stars", WIDE)
+    stars = _sketched(stars, drawn, bands)
     near = _links(rows, people, stars, shingle, percent)
     release(spark)
     labels = connected(near)
@@ -403,6 +420,7 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     marked = written(marked.select("k", "cls", "domain", F.coalesce("component", "cls").alias("label")), "marked")
     mixed = marked.groupBy("k").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members")).where("low <> high")
     mixed = written(mixed.select("k", (F.col("members") > FEW).alias("many")), "mixed")
+    release(spark)
     # small buckets: the same two documents may meet in very many of them, so their pairs come first and their sketches once
     sized = drawn.select("cls", "n", "opens")
     few = marked.join(mixed.where("not many"), "k").join(sized, "cls").drop("many")
@@ -412,15 +430,17 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     # two documents of a domain's second band meet in the next domain
     apart &= (F.col("opens_a") == F.col("domain_a")) | (F.col("opens_b") == F.col("domain_a"))
     close = left.join(right, "k").where(apart).groupBy(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).agg(F.min("domain_a").alias("domain"))
-    close = written(_sketched(close, drawn, bands), "close", WIDE)
+    close = written(close, "close")
+    release(spark)
+    close = _sketched(close, drawn, bands)
     # large buckets: members of different components are compared where they meet
     open_ = marked.join(mixed.where("many"), "k").join(drawn, "cls").select("k", "cls", "domain", "label", "n", "opens", _own().alias("sketch"))
     open_ = open_.repartition("k").sortWithinPartitions("k")
     late = open_.mapInArrow(_between(bands), "a long, b long").unionByName(close)
     late = written(late.distinct(), "between", WIDE)
-    discard(buckets, marked, mixed, close)
+    discard(buckets, marked, mixed)
     links = near.unionByName(_links(rows, people, late.join(stars, ["a", "b"], "left_anti"), shingle, percent))
-    discard(people, drawn, stars, late)
+    discard(people, drawn, late)
     release(spark)
     groups = written(connected(links), "groups")
 

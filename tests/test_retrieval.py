@@ -65,7 +65,7 @@ def found(df):
     return result
 
 
-PATHS = [{}, {"max_queries": 2, "block_rows": 40}]
+PATHS = [{}, {"max_queries": 2}]
 
 
 @pytest.mark.parametrize("limits", PATHS)
@@ -112,10 +112,16 @@ def test_many_batches_and_trims(spark, corpus, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
-def test_long_queries_count_as_large(spark, corpus, monkeypatch):
+def test_long_queries_fill_a_block(spark, corpus):
     whole = found(retrieval.bm25_topk(chunks_of(spark, corpus), queries_of(spark, *QUESTIONS), 3))
-    monkeypatch.setattr(topk, "MAX_QUERY_CELLS", 5)
-    assert found(retrieval.bm25_topk(chunks_of(spark, corpus), queries_of(spark, *QUESTIONS), 3)) == whole
+    assert found(retrieval.bm25_topk(chunks_of(spark, corpus), queries_of(spark, *QUESTIONS), 3, block_bytes=40)) == whole
+
+
+def test_blocks_of_two_scorers_share_scans(spark, corpus):
+    chunks, queries = chunks_of(spark, corpus), queries_of(spark, *QUESTIONS)
+    whole = retrieval.hybrid_ranks(chunks, queries).orderBy("method", "query_id", "rank").collect()
+    blocks = retrieval.hybrid_ranks(chunks, queries, max_queries=2).orderBy("method", "query_id", "rank").collect()
+    assert blocks == whole
 
 
 def test_empty_corpus_and_empty_queries(spark):

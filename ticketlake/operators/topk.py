@@ -4,11 +4,9 @@ Every task scores its share of the corpus against all queries and keeps its own
 best k per query, so what is shuffled is k rows per query and task, not one row
 per query and chunk. Several scorers share the scan.
 
-Queries travel to the tasks as a small table of at most ``MAX_QUERIES`` rows and
-``MAX_QUERY_CELLS`` terms or vector places, which is counted first. Larger query
-tables take the block path: queries and corpus are hashed into blocks of bounded
-size and every pair of blocks is one task. Both paths are exact and give the
-same rows.
+Queries travel to the tasks in blocks of at most ``MAX_QUERIES`` rows and about
+``BLOCK_BYTES`` bytes. A query table of several blocks costs one scan for each; the
+corpus is never shuffled or copied, whatever the number of queries.
 """
 
 from __future__ import annotations
@@ -16,21 +14,23 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ticketlake.session import scratch_dir
 
 # workers get this module with the task, so they need no installed package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# rows and bytes of one block of queries
 MAX_QUERIES = 2048
-MAX_QUERY_CELLS = 4_000_000
-BLOCK_ROWS = 20_000
+BLOCK_BYTES = 32 << 20
 # cells of a score matrix held at once, and kept rows per query before a trim
 SCORE_CELLS = 8_000_000
 TRIM_FACTOR = 16
@@ -279,7 +279,7 @@ def search(
     k: int,
     carry: list[str],
     max_queries: int = MAX_QUERIES,
-    block_rows: int = BLOCK_ROWS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The best ``k`` chunks per scorer and query: ``method, query_id, score, rank`` and ``carry``.
 
@@ -289,80 +289,57 @@ def search(
     needed = dict.fromkeys([*ORDER, *[c for s in scorers for c in s.columns], *carry])
     corpus = corpus.select(*needed)
     schema = _result_schema(corpus, carry)
-
-    # written once: the size check and the search both read them
-    queries = {name: _written(table) for name, table in queries.items()}
-    sizes = [_query_size(table) for table in queries.values()]
-    if any(rows > max_queries or cells > MAX_QUERY_CELLS for rows, cells in sizes):
-        found = _search_blocks(corpus, queries, scorers, k, carry, schema, max_queries, block_rows)
-        return _keep_best(found, k)
-    small = {name: table.toArrow() for name, table in queries.items()}
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _search((pa.Table.from_batches([b]) for b in batches), scorers, small, k, carry)
-        if best is not None:
-            yield from best.to_batches()
-
-    return _keep_best(corpus.mapInArrow(task, schema), k)
-
-
-def _written(queries: DataFrame) -> DataFrame:
-    path = scratch_dir(queries.sparkSession, "queries")
-    queries.write.parquet(path)
-    return queries.sparkSession.read.schema(queries.schema).parquet(path)
-
-
-def _query_size(queries: DataFrame) -> tuple[int, int]:
-    """Rows and array cells of a query table."""
-    arrays = [F.size(f.name) for f in queries.schema if isinstance(f.dataType, T.ArrayType)]
-    cells = F.coalesce(F.sum(sum(arrays, F.lit(0).cast("bigint"))), F.lit(0))
-    rows, total = queries.agg(F.count(F.lit(1)), cells).collect()[0]
-    return rows, total
-
-
-def _search_blocks(corpus, queries, scorers, k, carry, schema, max_queries, block_rows) -> DataFrame:
-    """Every pair of a corpus block and a query block as one bounded task."""
-    found = []
-    n_rows = corpus.count()
-    row_blocks = max(1, -(-n_rows // block_rows))
-    spread = F.pmod(F.xxhash64(*ORDER), F.lit(row_blocks)).cast("int")
-    for scorer in scorers:
-        table = queries[scorer.name]
-        rows, cells = _query_size(table)
-        query_blocks = max(1, -(-rows // max_queries), -(-cells // MAX_QUERY_CELLS))
-        block = F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int")
-
-        left = corpus.select(
-            *ORDER,
-            *dict.fromkeys([*scorer.columns, *carry]),
-            spread.alias("_rows"),
-            F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("_queries"),
-        )
-        right = table.select(
-            "*",
-            block.alias("_queries"),
-            F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("_rows"),
-        )
-        empty = pa.schema(_arrow_fields(schema))
-
-        cells = left.groupBy("_rows", "_queries").cogroup(right.groupBy("_rows", "_queries"))
-        found.append(cells.applyInArrow(_cell_task(scorer, k, carry, empty), schema))
-    result = found[0]
-    for more in found[1:]:
-        result = result.unionByName(more)
-    return result
-
-
-def _cell_task(scorer, k: int, carry: list[str], empty: pa.Schema):
-    def cell(rows: pa.Table, queries: pa.Table) -> pa.Table:
-        if rows.num_rows == 0 or queries.num_rows == 0:
-            return empty.empty_table()
-        return _search([rows], [scorer], {scorer.name: queries}, k, carry)
-
-    return cell
-
-
-def _arrow_fields(schema: T.StructType) -> list[pa.Field]:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return list(to_arrow_schema(schema))
+    # the scorers' blocks go together, so that they share a scan
+    blocks = zip_longest(*[_query_blocks(queries[s.name], max_queries, block_bytes) for s in scorers])
+
+    def scan(block: tuple[pa.Table | None, ...]) -> DataFrame:
+        asked = [(scorer, table) for scorer, table in zip(scorers, block) if table is not None]
+        small = {scorer.name: table for scorer, table in asked}
+
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best = _search((pa.Table.from_batches([b]) for b in batches), [s for s, _ in asked], small, k, carry)
+            if best is not None:
+                yield from best.to_batches()
+
+        return _keep_best(corpus.mapInArrow(task, schema), k)
+
+    block = next(blocks, None)
+    if block is None:
+        return corpus.sparkSession.createDataFrame([], schema.add("rank", T.IntegerType()))
+    following = next(blocks, None)
+    if following is None:
+        return scan(block)
+    # more than one block: each one's lists are written, so that no two blocks are held at once
+    found = _written(scan(block), "found")
+    while following is not None:
+        found = found.unionByName(_written(scan(following), "found"))
+        following = next(blocks, None)
+    return found
+
+
+def _written(rows: DataFrame, purpose: str) -> DataFrame:
+    path = scratch_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _weight(value) -> int:
+    """Bytes that a query's cell takes, about."""
+    if isinstance(value, (list, tuple)):
+        return sum(map(_weight, value))
+    return len(value) * 4 if isinstance(value, str) else 8
+
+
+def _query_blocks(queries: DataFrame, max_queries: int, block_bytes: int) -> Iterator[pa.Table]:
+    """The queries in blocks of bounded rows and bytes, one of them on the driver at a time."""
+    schema = to_arrow_schema(queries.schema)
+    # written once: reading partition by partition must not repeat the work behind them
+    held, size = [], 0
+    for row in _written(queries, "queries").toLocalIterator():
+        held.append(row.asDict())
+        size += _weight(row)
+        if len(held) >= max_queries or size >= block_bytes:
+            yield pa.Table.from_pylist(held, schema)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_pylist(held, schema)

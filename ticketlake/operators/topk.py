@@ -309,7 +309,7 @@ def search(
     following = next(blocks, None)
     if following is None:
         return scan(block)
-    # more than one block: each one's lists are written, so that no two blocks are held at once
+    # more than one block: each one's lists are written, so that the driver holds two blocks at most
     found = _written(scan(block), "found")
     while following is not None:
         found = found.unionByName(_written(scan(following), "found"))
@@ -331,7 +331,7 @@ def _weight(value) -> int:
 
 
 def _query_blocks(queries: DataFrame, max_queries: int, block_bytes: int) -> Iterator[pa.Table]:
-    """The queries in blocks of bounded rows and bytes, one of them on the driver at a time."""
+    """The queries in blocks of bounded rows and bytes, read one by one."""
     schema = to_arrow_schema(queries.schema)
     # written once: reading partition by partition must not repeat the work behind them
     held, size = [], 0

@@ -1,6 +1,7 @@
 """Exact top-k search by tiled matrix products.
 
-Queries are cut into blocks of bounded bytes. For a block every task multiplies its
+Queries are cut into blocks of bounded bytes, each scanned by a job of its own whose lists
+are written, so that the driver never holds more than two of them. For a block every task multiplies its
 shard of the vectors, tile by tile, with the block's matrix, keeps the k best
 candidates per query and tile (partial selection), and folds tiles into one list.
 The lists of all tasks are merged in a tree: first into a bounded number of lists
@@ -18,6 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ticketlake.llm.common import written
+
 #: Bytes of one query block, which travels to every task.
 BLOCK_BYTES = 16 << 20
 TILE_ROWS = 4096
@@ -102,7 +105,7 @@ def _scan(blocks: dict[int, tuple[np.ndarray, np.ndarray]], k: int, scale: float
 
 
 def _query_blocks(queries: DataFrame, scale: float) -> Iterator[dict[int, tuple[np.ndarray, np.ndarray]]]:
-    """Blocks of queries by length of vector, each bounded in bytes; one block is on the driver at a time."""
+    """Blocks of queries by length of vector, each bounded in bytes; at most one is on the driver besides the one being filled."""
     ids: dict[int, list[int]] = {}
     rows: dict[int, list[np.ndarray]] = {}
     held = 0
@@ -141,7 +144,7 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int, scale: float = 25
     wanted = pick(queries).dropDuplicates(["vec_id"])
     lists = None
     for block in _query_blocks(wanted, scale):
-        part = pick(vectors).mapInArrow(_scan(block, k, scale), _SCHEMA)
+        part = written(pick(vectors).mapInArrow(_scan(block, k, scale), _SCHEMA), "lists")
         lists = part if lists is None else lists.unionByName(part)
     if lists is None:
         lists = spark.createDataFrame([], _SCHEMA)

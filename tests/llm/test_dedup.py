@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from ticketlake.llm import ngram_join, repeats, rlz_dedup, suffix_dedup
@@ -181,3 +182,21 @@ def test_one_of_each_group_stays(spark):
     rows = [r for r in near(4) if r[0] is not None]
     kept = {r.doc_id for r in ngram_join.keep_first(frame(spark, rows), 5, 80).collect()}
     assert kept == {component for _, _, component in graph(rows, 5, 80)}
+
+
+def test_linked_sets_share_enough_keys():
+    rng = np.random.default_rng(7)
+    for percent in (50, 80, 85, 100):
+        bands = ngram_join.Bands(percent)
+        for size in [1, 2, 3, 5, 8, 13, 20, 30, 40, 60, 90, 140, 300] * 6:
+            x = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+            gone = int(rng.integers(0, size + 1))
+            y = np.unique(np.concatenate((x[gone:], rng.integers(0, 2**63, int(rng.integers(0, size + 1))).astype(np.uint64))))
+            both = len(np.intersect1d(x, y))
+            if not len(y) or 100 * both < percent * (len(x) + len(y) - both):
+                y = x[: max(1, -(-size * percent // 100))]  # as few as are linked
+            domains = set(bands.domains(len(x))) & set(bands.domains(len(y)))
+            assert domains
+            for d in domains:
+                sides = [(ngram_join.part_keys(s, d, bands.parts(d), bands.spare(d)), ngram_join.keys_shared(s, bands.parts(d), bands.spare(d))) for s in (x, y)]
+                assert len(np.intersect1d(sides[0][0], sides[1][0])) >= min(sides[0][1], sides[1][1])

@@ -3,6 +3,8 @@
 import math
 from collections import Counter
 
+import numpy as np
+
 from ticketlake.llm import exact_search, license_scan, mixing
 
 VECTORS = "vec_id long, embedding array<float>, score double, rank string"
@@ -92,3 +94,13 @@ def test_native_plans(spark, sf):
     for df in (license_scan.scan_licenses(docs), mixing.mix_sources(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def test_search_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, [float(v) for v in rng.random(4)]) for i in range(300)], "vec_id long, embedding array<double>")
+    asked = df.where("vec_id % 20 = 0")
+    whole = sorted(map(tuple, exact_search.exact_topk(df, asked, 4).collect()))
+    monkeypatch.setattr(exact_search, "BLOCK_BYTES", 300)  # three queries each
+    assert sorted(map(tuple, exact_search.exact_topk(df, asked, 4).collect())) == whole
+    assert len(whole) == 15 * 4

@@ -12,6 +12,7 @@ p / 100 and sizes a, b leave at most (100 - p) (a + b) / (100 + p) such shingles
   sketches, whose linear (XOR) hashes are the join keys. A document with at most e empty
   parts leaves those out: one of the others agrees as well. (Two documents that both have
   more empty parts both keep them.) So parts that say nothing rarely become keys.
+  Where pairs are listed, they must share as many keys as the parts left out allow for.
 - Buckets are not paired up. Each bucket's first document is compared with the others
   (a star), by parity sketches of the whole documents and then by their texts, and what
   is linked becomes components. Only where a bucket still holds more than one component are members of different components
@@ -123,10 +124,21 @@ def folded(drawn: bytes) -> bytes:
     return np.bitwise_xor.reduce(np.frombuffer(drawn, np.uint8).reshape(8, -1), axis=0).tobytes()
 
 
+def _dealt(shingles: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each shingle, and its part."""
+    spread = mix(shingles ^ np.uint64(0x9FB21C651E98DF25))
+    return spread, (spread % np.uint64(parts)).astype(np.int64)
+
+
+def keys_shared(shingles: np.ndarray, parts: int, spare: int) -> int:
+    """How many keys a document shares at least with one that it is linked with and that leaves out no more parts."""
+    empty = parts - np.count_nonzero(np.bincount(_dealt(shingles, parts)[1], minlength=parts))
+    return 1 + spare - (int(empty) if empty <= spare else 0)
+
+
 def part_keys(shingles: np.ndarray, domain: int, parts: int, spare: int) -> np.ndarray:
     """Join key of each part: the XOR hash of its parity sketch, with domain and part; up to ``spare`` empty parts are left out."""
-    spread = mix(shingles ^ np.uint64(0x9FB21C651E98DF25))
-    part = (spread % np.uint64(parts)).astype(np.int64)
+    spread, part = _dealt(shingles, parts)
     order = np.argsort(part, kind="stable")
     sums = np.concatenate((np.zeros(1, np.uint64), np.bitwise_xor.accumulate(mix(spread)[order])))
     edges = np.searchsorted(part[order], np.arange(parts + 1))
@@ -143,26 +155,27 @@ def _class_of(s: np.ndarray) -> int:
     return int(mix(np.bitwise_xor.reduce(mix(s), keepdims=True) + np.uint64(len(s))).view(np.int64)[0])
 
 
-_SETS = "key long, doc_id long, n long, cls long, check long, domain int, own binary, below binary, own_small binary, below_small binary"
+_SETS = "key long, doc_id long, n long, cls long, check long, domain int, own binary, below binary, own_small binary, below_small binary, own_shared int, below_shared int"
 
 
 def _sets(shingle: int, seed: int, bands: Bands):
-    """Of each row: its size, two hashes of the set, the domain its band opens and its sketches in that and the one before."""
+    """Of each row: its size, two hashes of the set, the domain its band opens, and its sketches and least shared keys in that and the one before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             for _, s in _each(batch, shingle, seed):
                 if not len(s):
-                    out.append((0, 0, 0, 0, None, None, None, None))
+                    out.append((0, 0, 0, 0, *[None] * 6))
                     continue
                 check = int(mix(np.add.reduce(mix(s ^ np.uint64(0xA5A5)), keepdims=True) + np.uint64(len(s))).view(np.int64)[0])
                 drawn = [sketch(s, bands.bits(d)).tobytes() for d in bands.domains(len(s))]
                 drawn = [*drawn, None][:2]
                 small = [x if x is None else folded(x) for x in drawn]
-                out.append((len(s), _class_of(s), check, bands.band(len(s)), *drawn, *small))
-            columns = zip(*out) if out else [[]] * 8
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 4)
+                shared = [keys_shared(s, bands.parts(d), bands.spare(d)) for d in bands.domains(len(s))]
+                out.append((len(s), _class_of(s), check, bands.band(len(s)), *drawn, *small, *[*shared, None][:2]))
+            columns = zip(*out) if out else [[]] * 10
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 4, *[pa.int32()] * 2)
             rest = [pa.array(c, t) for c, t in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *rest], [x.split()[0] for x in _SETS.split(", ")])
 
@@ -331,11 +344,11 @@ def _between(bands: Bands, cells: int = 1 << 21):
     return run
 
 
-SKETCHES = ["own", "below", "own_small", "below_small"]
+DRAWN = ["own", "below", "own_small", "below_small", "own_shared", "below_shared"]
 
 
 def _own(size: str = "") -> Column:
-    """A document's sketch in the row's domain."""
+    """A document's sketch (or what ``size`` names) in the row's domain."""
     return F.when(F.col("domain") == F.col("opens"), F.col(f"own{size}")).otherwise(F.col(f"below{size}"))
 
 
@@ -403,7 +416,7 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     release(spark)
 
     # sketches of the classes that share a bucket with another one
-    drawn = sets.select("cls", "key", "n", *SKETCHES, F.col("domain").alias("opens"))
+    drawn = sets.select("cls", "key", "n", *DRAWN, F.col("domain").alias("opens"))
     drawn = drawn.join(people.select("key", "cls").join(buckets.select("cls").distinct(), "cls", "left_semi"), ["key", "cls"], "left_semi")
     drawn = written(drawn.drop("key").dropDuplicates(["cls"]), "sketches")
     fat, sets = sets, written(sets.select("doc_id", "n", "cls"), "sizes")
@@ -422,15 +435,17 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     mixed = written(mixed.select("k", (F.col("members") > FEW).alias("many")), "mixed")
     release(spark)
     # small buckets: the same two documents may meet in very many of them, so their pairs come first and their sketches once
-    sized = drawn.select("cls", "n", "opens")
-    few = marked.join(mixed.where("not many"), "k").join(sized, "cls").drop("many")
+    sized = drawn.select("cls", "n", "opens", "own_shared", "below_shared")
+    few = marked.join(mixed.where("not many"), "k").join(sized, "cls").withColumn("shared", _own("_shared")).drop("many", "own_shared", "below_shared")
     left, right = (few.select([F.col(c).alias(c if c == "k" else f"{c}_{x}") for c in few.columns]) for x in "ab")
     low, high = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     apart = (F.col("cls_a") < F.col("cls_b")) & (F.col("label_a") != F.col("label_b")) & (100 * low >= percent * high)
     # two documents of a domain's second band meet in the next domain
     apart &= (F.col("opens_a") == F.col("domain_a")) | (F.col("opens_b") == F.col("domain_a"))
-    close = left.join(right, "k").where(apart).groupBy(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).agg(F.min("domain_a").alias("domain"))
-    close = written(close, "close")
+    close = left.join(right, "k").where(apart).groupBy(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"))
+    # linked documents share several keys; those that miss some of them here share a large bucket, and are compared there
+    close = close.agg(F.min("domain_a").alias("domain"), F.count(F.lit(1)).alias("met"), F.min(F.least("shared_a", "shared_b")).alias("shared"))
+    close = written(close.where("met >= shared").drop("met", "shared"), "close")
     release(spark)
     close = _sketched(close, drawn, bands)
     # large buckets: members of different components are compared where they meet

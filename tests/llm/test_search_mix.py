@@ -88,6 +88,100 @@ def test_licenses(spark):
     assert license_scan.scan_licenses(spark.createDataFrame([], DOCS)).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Jo Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD_2 = """Copyright (c) 2020, Jo Doe
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_3 = BSD_2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+BSD_END = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+APACHE = """Copyright 2020 Jo Doe
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL_3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+GPL_2 = GPL_3.replace("software: you", "software; you").replace("Foundation, either version 3", "Foundation; either version 2")
+
+
+def test_whole_wrapped_licenses(spark):
+    cases = {
+        MIT: "MIT", BSD_2 + BSD_END: "BSD-2-Clause", BSD_3 + BSD_END: "BSD-3-Clause", APACHE: "Apache-2.0", GPL_3: "GPL-3.0-or-later", GPL_2: "GPL-2.0-or-later",
+        "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0.": "MPL-2.0", "Just\nwrapped text. No notice": "",
+    }
+    texts = {style(t): name for t, name in cases.items() for style in (str, lambda t: t.replace("\n", "\r\n"), lambda t: "# " + t.rstrip().replace("\n", "\n# "))}
+    rows = [(i, t, "s", "c", "clash") for i, t in enumerate(texts)] + [(-1, None, "s", "c", "clash"), (-2, " \n\n\t", "s", "c", "clash")]
+    got = license_scan.scan_licenses(spark.createDataFrame(rows, DOCS), wrapped=True)
+    assert not any(word in got._jdf.queryExecution().executedPlan().toString() for word in ("Python", "Arrow", "Pandas"))
+    for r in got.collect():
+        assert r.licenses == texts.get(r.text, ""), r.text
+        assert r.doc_id >= 0 or (r.n_sentences, r.sentence_ids, r.n_unmatched) == (0, "", 0)
+    parts = {r.licenses: r.sentence_ids for r in got.collect()}
+    assert parts["Apache-2.0"] == "apache-grant,apache-compliance,apache-copy" and parts["MIT"].endswith("mit-permission,mit-notice,as-is")
+
+
 def test_native_plans(spark, sf):
     """No Python on the main path."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")

@@ -8,6 +8,10 @@ where its identifiers follow one another. Longer rules are tried first and use
 up what they match, so the three-clause text is not also reported as the
 two-clause one.
 
+The rules of the query (and its SQL) end a sentence at every line break and know one-line
+notices. ``wrapped`` scans whole licence texts: wrapped lines are joined, and the catalogue
+has their sentences in full.
+
 Everything is column expressions on one row: no join, no shuffle, no Python. The
 catalogue is a literal map that does not grow with the data.
 """
@@ -69,6 +73,26 @@ SENTENCE_END = r"[.!?;:]+([ \t\r\n]|$)|[\r\n]"
 #: Only sentences with one of these can be in the catalogue; the others are not normalised.
 HINT = "licen|permission|copyright|software|rights|redistribution|version"
 
+# --- fixed values: sentences and rules of whole texts, as they stand with wrapped lines joined ---
+TEXT_SENTENCES: dict[str, str] = SENTENCES | {
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-permission",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "as-is",
+    "this program is free software": "gpl-free",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl-terms",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl3-terms-later",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "gpl2-terms-later",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl2-grant",
+}
+TEXT_RULES: list[tuple[str, tuple[str, ...]]] = [
+    ("GPL-3.0-or-later", ("gpl-free", "gpl-terms", "gpl3-later")),
+    ("GPL-2.0-or-later", ("gpl-free", "gpl-terms", "gpl2-later")),
+    ("GPL-3.0-or-later", ("gpl-free", "gpl3-terms-later")),
+    ("GPL-2.0-or-later", ("gpl-free", "gpl2-terms-later")),
+    *RULES,
+]
+#: With wrapped lines joined a sentence ends at a blank line (one with a comment mark only is blank) or at . ! ? ; or : before white space or the end.
+TEXT_SENTENCE_END = r"[.!?;:]+(?=[ \t\r\n]|$)|\n[ \t\r]*[*#/;-]*[ \t\r]*(?=\n)"
+
 
 def _normal(sentence: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
@@ -78,18 +102,23 @@ def _slug(text: Column) -> Column:
     return F.concat(F.lit("<"), text, F.lit(">"))
 
 
-def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, text: str = "text", wrapped: bool = False) -> DataFrame:
     """The documents with ``n_sentences``, ``sentence_ids``, ``licenses`` and ``n_unmatched``.
 
     ``sentence_ids`` are the known sentences in order, ``licenses`` the rules that
     matched, each once, in alphabetical order, and ``n_unmatched`` counts known
     sentences that no rule used. Lists are comma-joined. A null or empty text has
     no sentences: 0, "", "", 0. Input columns with these names are replaced, all
-    others pass through, and equal rows stay as many rows.
+    others pass through, and equal rows stay as many rows. ``wrapped`` joins wrapped
+    lines and knows the sentences of whole licence texts.
     """
-    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
+    sentences, rules = (TEXT_SENTENCES, TEXT_RULES) if wrapped else (SENTENCES, RULES)
+    known = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    parts = F.filter(F.split(F.regexp_replace(body, SENTENCE_END, "\n"), "\n"), lambda s: F.btrim(s) != "")
+    if wrapped:
+        parts = F.filter(F.split(body, TEXT_SENTENCE_END), lambda s: s.rlike("[^ \\t\\r\\n]"))
+    else:
+        parts = F.filter(F.split(F.regexp_replace(body, SENTENCE_END, "\n"), "\n"), lambda s: F.btrim(s) != "")
     parts = F.when(body == "", F.array().cast("array<string>")).otherwise(parts)
     likely = F.filter(F.col("_parts"), lambda s: F.lower(s).rlike(HINT))
     ids = F.filter(F.transform(likely, lambda s: F.element_at(known, _normal(s))), lambda i: i.isNotNull())
@@ -98,7 +127,7 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     left = F.array_join(F.transform(F.col("_ids"), _slug), "")
     found: list[Column] = []
     steps = steps.withColumn("_left0", left)
-    for i, (name, sequence) in enumerate(RULES):
+    for i, (name, sequence) in enumerate(rules):
         pattern = "".join(f"<{s}>" for s in sequence)
         here = F.col(f"_left{i}")
         found.append(F.when(F.contains(here, F.lit(pattern)), F.lit(name)))
@@ -108,7 +137,7 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_sentences": F.size("_parts").cast("long"),
         "sentence_ids": F.array_join("_ids", ","),
         "licenses": F.array_join(names, ","),
-        "n_unmatched": F.regexp_count(F.col(f"_left{len(RULES)}"), F.lit("<")).cast("long"),
+        "n_unmatched": F.regexp_count(F.col(f"_left{len(rules)}"), F.lit("<")).cast("long"),
     }
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in result]
     return steps.select(*kept, *[c.alias(n) for n, c in result.items()])

@@ -190,6 +190,24 @@ def test_leaks(spark):
     assert decontamination.contamination(frame(spark, rows).limit(0), items).count() == 0
 
 
+def test_short_and_slotted_copies_inside_sentences(spark):
+    copies = {
+        1: "Which planet is known as the red planet", 2: "Who wrote the first novel", 3: "Name two oceans", 4: "12 + 7 = 19",
+        5: "Anna, Boris, Carla, Dana, Egon and Frida", 6: "3 5 8 13 21 34 55", 7: "Which city did Anna visit before 1999 with Boris", 8: "Add 3 and 4 and 5 and 6 and 7 and 8 and 9",
+    }
+    items = spark.createDataFrame(list(copies.items()), "item_id long, text string")
+    rows = []
+    for i, t in copies.items():
+        rows += [(10 * i, f"he said, {t}, and left", "en"), (10 * i + 1, f'the quiz has "{t}" in it', "en"), (10 * i + 2, t.replace(" ", "\n"), "en"), (10 * i + 3, f"so {t.upper()} it is", "en")]
+    rows += [(200, "so 12 + 7 = 18 holds", "en"), (201, "and Anna, Boris, Carla, Erik, Gerd and Hanna", "en"), (202, "ask, Where planet is known as the red planet", "en"), (203, "the 3 5 8 13 21 34 56", "en")]
+    rows += [(204, "they ask, Which city did Clara visit before 2001 with David", "en")]
+    found = {(r.doc_id, r.item_id): (r.share, r.equal) for r in decontamination.leaks(frame(spark, rows), items).collect()}
+    for i in copies:
+        assert all(found[10 * i + n, i] == (1.0, True) for n in range(4)), i
+    assert found.pop((204, 7)) == (1.0, False)
+    assert not any(doc >= 200 for doc, _ in found)
+
+
 def test_leaks_like_brute_force(spark):
     """Items whose words stand in a document in order are found, and no others."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()

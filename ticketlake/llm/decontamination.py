@@ -2,8 +2,10 @@
 
 Texts and benchmark items are canonicalised alike: punctuation goes, letters become
 lower case, and words with a digit, unit words behind a number, and capitalised words
-inside a sentence become the placeholders number, unit and name. Items are also kept
-with their names as words, for texts that are all in capitals or all in small letters.
+inside a sentence become the placeholders number, unit and name. Whether a word begins a
+sentence, and whether a text is all in capitals or all in small letters, may differ between
+an item and its copy; so windows of both also stand with names as words, with capitalised
+words at the start of a sentence as names, and as plain words.
 Runs of ``width`` template words are windows. Windows of the documents are looked
 up by hash among the item windows; a document holds an item if enough of the
 item's windows stand in it along one line, after windows whose slots contradict
@@ -37,7 +39,7 @@ UNITS = (
 
 WIDTH = 5
 SHARE = 0.8
-#: Item windows in one block.
+#: Item windows in one block, each in up to four forms.
 BLOCK_WINDOWS = 1_000_000
 #: Words a line may be shifted by inserted or missing words.
 SLACK = 3
@@ -56,6 +58,7 @@ class Template:
     tokens: np.ndarray  # hash of the template word
     values: np.ndarray  # hash of the word itself
     kinds: np.ndarray  # 0 or the slot's kind
+    names: np.ndarray  # the kind if a sentence began nowhere
     firsts: np.ndarray  # of each text, the index of its first word
 
 
@@ -75,7 +78,7 @@ def canonicalise(data: np.ndarray, bounds: np.ndarray, units: np.ndarray) -> Tem
     starts, ends, firsts = word_spans(small, limits)
     if not len(starts):
         nothing = np.zeros(0, np.uint64)
-        return Template(nothing, nothing, np.zeros(0, np.int8), firsts)
+        return Template(nothing, nothing, np.zeros(0, np.int8), np.zeros(0, np.int8), firsts)
     values = word_hashes(small, starts, ends)
     digits = np.concatenate(([0], np.cumsum(digit)))
     number = digits[ends] > digits[starts]
@@ -87,7 +90,7 @@ def canonicalise(data: np.ndarray, bounds: np.ndarray, units: np.ndarray) -> Tem
     # a name has one capital, its first letter (of one or two bytes); words all in capitals are words
     uppers = np.concatenate(([0], np.cumsum(upper)))
     title = (uppers[ends] - uppers[starts] == 1) & (uppers[np.minimum(starts + 2, ends)] > uppers[starts])
-    kinds[title & (upper[starts] | (small[starts] >= 128)) & ~fresh & (ends - starts > 2)] = _NAME
+    kinds[title & (upper[starts] | (small[starts] >= 128)) & (ends - starts > 2)] = _NAME
     kinds[number] = _NUMBER
     after = np.zeros(len(starts), bool)
     after[1:] = number[:-1] & ~begins[1:]
@@ -95,21 +98,34 @@ def canonicalise(data: np.ndarray, bounds: np.ndarray, units: np.ndarray) -> Tem
         at = np.flatnonzero(after & ~number)
         place = np.minimum(np.searchsorted(units, values[at]), len(units) - 1)
         kinds[at[units[place] == values[at]]] = _UNIT
-    return Template(np.where(kinds > 0, _SLOT[kinds], values), values, kinds, firsts)
+    names, kinds = kinds, np.where(fresh & (kinds == _NAME), 0, kinds).astype(np.int8)
+    return Template(np.where(kinds > 0, _SLOT[kinds], values), values, kinds, names, firsts)
 
 
-def _windows(t: Template, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Start of each window inside one text with two literal words (all literal if shorter), and its hash."""
-    hashes = gram_hashes(t.tokens, width)
-    ok = np.zeros(len(hashes), bool)
-    for a, b in zip(t.firsts[:-1], t.firsts[1:]):
-        ok[a : max(a, b - width + 1)] = True
-    literal = np.concatenate(([0], np.cumsum(t.kinds == 0)))
+def _windows(t: Template, width: int, kinds: np.ndarray | None = None, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Start of each window inside one text with two literal words (all literal if shorter), and its hash.
+
+    ``kinds`` are used in place of the template's; then only windows in which they differ from ``known`` count.
+    """
+    hashes = gram_hashes(t.tokens if kinds is None else np.where(kinds > 0, _SLOT[kinds], t.values), width)
+    ok = (np.repeat(t.firsts[1:], np.diff(t.firsts)) - np.arange(len(t.tokens)) >= width)[: len(hashes)]
+    literal = np.concatenate(([0], np.cumsum((t.kinds if kinds is None else kinds) == 0)))
     ok &= (literal[width:] - literal[:-width])[: len(ok)] >= min(2, width)
+    if kinds is not None:
+        other = np.concatenate(([0], np.cumsum(kinds != known)))
+        ok &= (other[width:] > other[:-width])[: len(ok)]
     at = np.flatnonzero(ok)
     return at, hashes[at]
 
 
+def _all_windows(t: Template, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of the template, with names as words, with names also where sentences begin, and of plain words; each once."""
+    named = np.where(t.kinds == _NAME, 0, t.kinds)
+    forms = [_windows(t, width), _windows(t, width, named, t.kinds), _windows(t, width, t.names, t.kinds), _windows(t, width, np.zeros_like(t.kinds), named)]
+    at, hashes = (np.concatenate(x) for x in zip(*forms))
+    return at, hashes
+
+
 @dataclass
 class Index:
     """Windows of some items: sorted hashes per width, and where each stands."""
@@ -129,17 +145,18 @@ def build_index(items: list[tuple[int, str]], width: int = WIDTH) -> Index:
         size = min(width, len(t.tokens))
         if not size:
             continue
-        at, hashes = _windows(t, size)
-        if not len(at):
-            continue
+        at, _ = _windows(t, size)
+        every, hashes = _all_windows(t, size)
+        if len(at):
+            counted = np.isin(every, at)
+            every, hashes = every[counted], hashes[counted]
+        else:
+            # too few words besides slots: only an exact copy is one, with all its plain words
+            at = np.arange(len(t.tokens) - size + 1)
+            every, hashes = at, gram_hashes(t.values, size)
         index.need[n] = (len(at), size)
         index.words[n] = (t.values, t.kinds)
-        rows[size].append((hashes, np.full(len(at), n), at))
-        if (t.kinds == _NAME).any():
-            named = np.where(t.kinds == _NAME, 0, t.kinds)
-            also, words = _windows(Template(np.where(t.kinds == _NAME, t.values, t.tokens), t.values, named, t.firsts), size)
-            new = np.isin(also, at) & ~np.isin(words, hashes)
-            rows[size].append((words[new], np.full(new.sum(), n), also[new]))
+        rows[size].append((hashes, np.full(len(every), n), every))
     for size, parts in rows.items():
         hashes, item, at = (np.concatenate(x) for x in zip(*parts))
         order = np.argsort(hashes, kind="stable")
@@ -162,11 +179,14 @@ def _consistent(lines: list[tuple[int, int]], item: tuple[np.ndarray, np.ndarray
     fine = set()
     for i, j in lines:
         if all(
-            there.get((int(item_kinds[j + o]), int(item_values[j + o]))) == int(values[i + o]) if kinds[i + o] else item_values[j + o] == values[i + o]
-            for o in range(size) if item_kinds[j + o]
+            there.get((int(item_kinds[j + o]), int(item_values[j + o]))) == int(values[i + o]) if item_kinds[j + o] and kinds[i + o] else item_values[j + o] == values[i + o]
+            for o in range(size)
         ):
             fine.add(j)
-    return len(fine), all(a == b for (_, a), b in there.items())
+    # a copy is one whatever the votes say
+    i, j = (np.array(x)[:, None] + np.arange(size) for x in zip(*lines))
+    same = len({int(x) for x in j[(item_values[j] == values[i]).all(axis=1), 0]})
+    return max((len(fine), all(a == b for (_, a), b in there.items())), (same, True))
 
 
 def _find(index: Index, ids: np.ndarray, width: int, share: float):
@@ -177,7 +197,7 @@ def _find(index: Index, ids: np.ndarray, width: int, share: float):
         for size, (keys, items, spots) in index.tables.items():
             if len(t.tokens) < size:
                 continue
-            at, hashes = _windows(t, size)
+            at, hashes = _all_windows(t, size)
             first = np.searchsorted(keys, hashes)
             hit = first < len(keys)
             hit[hit] = keys[first[hit]] == hashes[hit]
@@ -207,7 +227,7 @@ def _find(index: Index, ids: np.ndarray, width: int, share: float):
                     near = np.abs(i - j - d) <= SLACK
                     if len(np.unique(j[near])) < share * need:
                         continue
-                    fine, equal = _consistent(list(zip(i[near].tolist(), j[near].tolist())), index.words[item], t.values, t.kinds, size)
+                    fine, equal = _consistent(list(zip(i[near].tolist(), j[near].tolist())), index.words[item], t.values, t.names, size)
                     best = max(best, (fine / need, equal))
                     if best == (1.0, True):
                         break
@@ -247,10 +267,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     """One row for each document and item it holds: ``doc_id``, ``item_id``, ``n_windows``, ``share``, ``equal``.
 
     ``share`` of the item's windows agree; ``equal`` means that all slots have the
-    item's values. Items shorter than ``width`` words are one window. Null or empty
-    texts and items, and items without a window of two literal words (one, if the
-    item is one word), are in no row, nor are rows without an id. Equal document rows
-    give equal result rows.
+    item's values. Items shorter than ``width`` words are one window. Of items without a
+    window of two literal words (one, if the item is one word) the windows of plain words
+    count, so that copies are found. Null or empty texts and items are in no row, nor are
+    rows without an id. Equal document rows give equal result rows.
     """
     found = None
     for block in _blocks(benchmark, item_id, item_text):

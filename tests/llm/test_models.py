@@ -208,6 +208,16 @@ def test_short_and_slotted_copies_inside_sentences(spark):
     assert not any(doc >= 200 for doc, _ in found)
 
 
+def test_copy_behind_many_look_alikes(spark):
+    item = "Add 12 to 30 then take 12 from the sum and add 30 once more before you write 12 down"
+    alike = [f"Add {i} to {i + 1} then take {i + 2} from the sum and add {i + 3} once more before you write {i + 4} down" for i in range(1000, 1200, 2)]
+    copy = item.replace("12 down", "12 neatly down")
+    rows = [(1, "\n".join(alike), "en"), (2, "\n".join([*alike, copy]), "en"), (3, "\n".join([*alike[:70], item, *alike[70:]]), "en")]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = {r.doc_id: r.equal for r in decontamination.leaks(frame(spark, rows), items).collect()}
+    assert found == {2: True, 3: True}
+
+
 def test_leaks_like_brute_force(spark):
     """Items whose words stand in a document in order are found, and no others."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()

@@ -220,14 +220,18 @@ def _find(index: Index, ids: np.ndarray, width: int, share: float):
                 if len(mine) < share * need:
                     continue
                 i, j = where[mine], spots[row[mine]]
+                by_shift = np.argsort(i - j, kind="stable")
+                i, j = i[by_shift], j[by_shift]
+                shift = i - j
+                lines = np.unique(shift)
+                # each stretch of lines with enough hits is tried: a text may hold an item more than once
+                near = np.stack((np.searchsorted(shift, lines - SLACK), np.searchsorted(shift, lines + SLACK, "right")), axis=1)
+                near = np.unique(near[near[:, 1] - near[:, 0] >= share * need], axis=0)
                 best = 0.0, False
-                # each line of enough hits is tried: a text may hold an item more than once
-                shift, count = np.unique(i - j, return_counts=True)
-                for d in shift[np.argsort(-count, kind="stable")][:64]:
-                    near = np.abs(i - j - d) <= SLACK
-                    if len(np.unique(j[near])) < share * need:
+                for low, high in near[np.argsort(near[:, 0] - near[:, 1], kind="stable")].tolist():
+                    if len(np.unique(j[low:high])) < share * need:
                         continue
-                    fine, equal = _consistent(list(zip(i[near].tolist(), j[near].tolist())), index.words[item], t.values, t.names, size)
+                    fine, equal = _consistent(list(zip(i[low:high].tolist(), j[low:high].tolist())), index.words[item], t.values, t.names, size)
                     best = max(best, (fine / need, equal))
                     if best == (1.0, True):
                         break

@@ -184,6 +184,21 @@ def test_one_of_each_group_stays(spark):
     assert kept == {component for _, _, component in graph(rows, 5, 80)}
 
 
+def test_one_row_of_each_group_stays(spark):
+    one, other, third = ("".join(f"{w}{i} " for i in range(40)) for w in "abc")
+    rows = [(1, one)] * 50 + [(2, one)] * 3 + [(3, one + "end")]  # the leading row repeats
+    rows += [(4, one + "too"), (4, other), (5, other)]  # one id, two texts: a copy and a leader
+    rows += [(6, third), (6, third + "x"), (7, third)]  # one id leads with two texts
+    rows += [(8, "")] * 2 + [(9, None), (None, other), (10, "quite alone")]
+    kept = ngram_join.keep_first(frame(spark, rows), 5, 80)
+    assert kept.columns == frame(spark, []).columns
+    kept = [(r.doc_id, r.text) for r in kept.collect()]
+    sixes = [t for i, t in kept if i == 6]
+    assert len(sixes) == 1 and sixes[0] in (third, third + "x")
+    rest = [r for r in kept if r[0] != 6]
+    assert sorted(rest, key=str) == sorted([(1, one), (4, other), (8, ""), (8, ""), (9, None), (None, other), (10, "quite alone")], key=str)
+
+
 def test_linked_sets_share_enough_keys():
     rng = np.random.default_rng(7)
     for percent in (50, 80, 85, 100):

@@ -30,7 +30,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import AtomicType
 
 from ticketlake.llm.common import column_bytes, discard, gram_hashes, lower_ascii, mix, release, runs_of, word_hashes, word_spans, written
 from ticketlake.llm.components import connected
@@ -382,6 +383,13 @@ def _links(rows: DataFrame, people: DataFrame, pairs: DataFrame, shingle: int, p
     return linked
 
 
+def _row(doc_id: str, text: str) -> tuple[Column, Column, Column]:
+    """A row's key (hash of id and text), text and id."""
+    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    number = F.col(f"`{doc_id}`").cast("long")
+    return F.xxhash64(number, body), body, number
+
+
 def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``n_links``.
 
@@ -394,11 +402,20 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     a null id counts as larger than any other. Without documents the result is empty.
     Further columns are ignored.
     """
+    found = _grouped(docs, shingle, percent, doc_id, text)
+    lowest = written(found.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("lowest")), "lowest")
+    return found.join(lowest, "component", "left").select(
+        F.col("doc_id").alias(doc_id), "n_shingles", F.coalesce("lowest", "doc_id").alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    )
+
+
+def _grouped(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str) -> DataFrame:
+    """One row per document: ``key``, ``doc_id``, ``n_shingles``, ``component`` (null without words) and ``n_links``."""
     spark = docs.sparkSession
     bands = Bands(percent)
-    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    number = F.col(f"`{doc_id}`").cast("long")
-    rows = docs.select(F.xxhash64(number, body).alias("key"), body.alias("text"), number.alias("doc_id"))
+    key, body, number = _row(doc_id, text)
+    rows = docs.select(key.alias("key"), body.alias("text"), number.alias("doc_id"))
     seed = 0
     while True:
         sets = written(rows.mapInArrow(_sets(shingle, seed, bands), _SETS), "sets")
@@ -419,7 +436,7 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     drawn = sets.select("cls", "key", "n", *DRAWN, F.col("domain").alias("opens"))
     drawn = drawn.join(people.select("key", "cls").join(buckets.select("cls").distinct(), "cls", "left_semi"), ["key", "cls"], "left_semi")
     drawn = written(drawn.drop("key").dropDuplicates(["cls"]), "sketches")
-    fat, sets = sets, written(sets.select("doc_id", "n", "cls"), "sizes")
+    fat, sets = sets, written(sets.select("key", "doc_id", "n", "cls"), "sizes")
     discard(fat)
     release(spark)
     stars = buckets.where("cls <> lead").groupBy(F.col("lead").alias("a"), F.col("cls").alias("b")).agg(F.min("domain").alias("domain"))
@@ -461,26 +478,37 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
 
     # classes to documents: a component's smallest id, over all its copies
     counts = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count(F.lit(1)).alias("n_links"))
-    found = sets.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(groups.withColumnRenamed("node", "cls"), "cls", "left").join(counts, "cls", "left")
+    found = sets.select("key", "doc_id", F.col("n").alias("n_shingles"), "cls").join(groups.withColumnRenamed("node", "cls"), "cls", "left").join(counts, "cls", "left")
     found = found.withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "cls")))
     found = written(found, "found")
     discard(sets, groups)
-    lowest = written(found.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("lowest")), "lowest")
-    return found.join(lowest, "component", "left").select(
-        F.col("doc_id").alias(doc_id), "n_shingles", F.coalesce("lowest", "doc_id").alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-    )
+    return found
 
 
 def keep_first(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without near copies: of each component the one with the smallest id.
+    """The documents without near copies: of each component one row.
 
-    Of rows with one id the first by text stays, if that id leads its component. Rows
-    with a null id stay.
+    It is the one with the smallest id, of rows with that id the first by a hash of the
+    text, of rows with that text too the first by the other columns. Rows with a null id,
+    which lead nothing, stay, and so do rows without words.
     """
-    groups = components(docs, shingle, percent, doc_id, text)
-    gone = groups.where(f"`{doc_id}` <> component_id").select(F.col(doc_id).alias("_gone")).distinct()
-    return docs.join(gone, F.col(f"`{doc_id}`") == F.col("_gone"), "left_anti")
+    found = _grouped(docs, shingle, percent, doc_id, text).where("component is not null and doc_id is not null")
+    # rows of one id and text count as one here
+    keys = found.groupBy("component", F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    keys = written(keys, "keys")
+    first = written(keys.groupBy("component").agg(F.min(F.struct("_id", "_key")).alias("first")), "first")
+    marked = keys.join(first, "component").withColumn("_leads", F.col("first") == F.struct("_id", "_key"))
+    marked = written(marked.where("not _leads or _n > 1").select("_id", "_key", "_leads"), "copies")
+    discard(keys, first)
+    key, _, number = _row(doc_id, text)
+    rows = docs.withColumns({"_id": number, "_key": key})
+    single = rows.join(marked, ["_id", "_key"], "left_anti")
+    # one of the rows that repeat the leading one; each task cuts its own to one before they are dealt by the struct
+    repeated = rows.join(marked.where("_leads"), ["_id", "_key"], "left_semi").withColumn("_both", F.struct("_id", "_key"))
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if isinstance(f.dataType, AtomicType)]
+    repeated = repeated.withColumn("_rank", F.row_number().over(Window.partitionBy("_both").orderBy(*plain))).where("_rank = 1")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return single.select(*names).unionByName(repeated.select(*names))
 
 
 def oracle(shingle: int = 4, percent: int = 85) -> str:

@@ -199,6 +199,32 @@ def test_one_row_of_each_group_stays(spark):
     assert sorted(rest, key=str) == sorted([(1, one), (4, other), (8, ""), (8, ""), (9, None), (None, other), (10, "quite alone")], key=str)
 
 
+def test_large_buckets_go_to_bounded_blocks(spark):
+    """A bucket of one component and a few strangers: no pair of blocks is large, and each pair meets once."""
+    n, strangers = 4000, 3
+    labels = [7] * (n - strangers) + [1000 + i for i in range(strangers)]
+    rows = [(5, i, labels[i], bytes(64), n, 7, n - strangers) for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, cls long, label long, sketch binary, members long, top long, topped long")
+    dealt = ngram_join._blocks(df, 256 << 10).drop("sketch").collect()
+    groups = {}
+    for r in dealt:
+        groups.setdefault((r.p, r.q), []).append((r.cls, r.side))
+    assert len(groups) > 10 and max(map(len, groups.values())) < 400  # all 4,000 in one before
+    assert len(dealt) < n + strangers * (len(groups) + 1)
+    met = [(a, b) for g in groups.values() for a, s in g if s & 1 for b, t in g if t & 2 and a != b]
+    assert len(met) == len(set(met)) and set(met) == {(a, b) for a in range(n - strangers, n) for b in range(n) if a != b}
+
+
+@pytest.mark.parametrize("block", [1 << 10, 5 << 10, 4 << 20])
+def test_components_from_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "FEW", 1)
+    monkeypatch.setattr(ngram_join, "BLOCK_BYTES", block)
+    monkeypatch.setattr(ngram_join, "_HELD_ROWS", 3)
+    rows = near(2)
+    got = ngram_join.components(frame(spark, rows), 5, 80).collect()
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got], key=str) == sorted(graph(rows, 5, 80), key=str)
+
+
 def test_linked_sets_share_enough_keys():
     rng = np.random.default_rng(7)
     for percent in (50, 80, 85, 100):

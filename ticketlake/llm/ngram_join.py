@@ -17,7 +17,8 @@ p / 100 and sizes a, b leave at most (100 - p) (a + b) / (100 + p) such shingles
   (a star), by parity sketches of the whole documents and then by their texts, and what
   is linked becomes components. Only where a bucket still holds more than one component are members of different components
   compared, by sketches and then by texts. So every link between components is found,
-  and no group emits all its pairs.
+  and no group emits all its pairs. A large bucket is dealt to blocks of bounded bytes, and
+  only its members outside its largest component go to all of them.
 
 Sets are known by a 64-bit hash, which is checked against a second one; if two different
 sets collide the hash is salted anew.
@@ -41,6 +42,11 @@ _RUN = 1 << 20
 WIDE = 250
 #: Members of a bucket whose pairs are listed before their sketches are looked at.
 FEW = 64
+#: Bytes of sketches in one block of a larger bucket (a row counts as 1 KB at least), and rows and bytes that a task holds before it compares.
+BLOCK_BYTES = 4 << 20
+_HELD_ROWS, _HELD_BYTES = 5_000, 8 << 20
+#: A row's sides in a comparison: it is compared with the others, they are compared with it, it is outside the bucket's largest component.
+_ASKS, _ANSWERS, _OUTSIDE = 1, 2, 4
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, shingle: int, seed: int = 0) -> list[np.ndarray]:
@@ -283,24 +289,50 @@ def _verify(shingle: int, percent: int):
     return run
 
 
+def _blocks(members: DataFrame, block_bytes: int) -> DataFrame:
+    """Members of mixed keys (``k``, ``cls``, ``label``, ``sketch`` and more) dealt to pairs of blocks of bounded size.
+
+    ``members`` counts the rows of the key, ``top`` is its largest component and ``topped``
+    the rows of that. Only rows outside it are compared with all rows, so only they go to
+    every block; the block of a row is drawn by its class. ``side`` says what a row does in a
+    pair of blocks. A key with one block has each row once.
+    """
+    size = F.greatest(F.length("sketch").cast("long"), F.lit(1024))
+    asking = F.ceil((F.col("members") - F.col("topped")) * size / block_bytes).cast("int")
+    answering = F.ceil(F.col("members") * size / block_bytes).cast("int")
+    outside = F.col("label") != F.col("top")
+    rest = [F.col(c) for c in members.columns if c not in ("members", "top", "topped")]
+    rows = members.withColumns({"_asking": asking, "_answering": answering, "_outside": outside, "_drawn": F.xxhash64("cls", "k")})
+    place = F.when(F.col("_answering") == 1, F.array(F.struct(F.lit(0).alias("p"), F.lit(0).alias("q"), F.when(F.col("_outside"), _ASKS | _ANSWERS | _OUTSIDE).otherwise(_ANSWERS).alias("side"))))
+    mine_p, mine_q = (F.pmod("_drawn", c).cast("int") for c in ("_asking", "_answering"))
+    answers = F.transform(
+        F.sequence(F.lit(0), F.col("_asking") - 1),
+        lambda p: F.struct(p.alias("p"), mine_q.alias("q"), F.when(F.col("_outside"), _ANSWERS | _OUTSIDE).otherwise(_ANSWERS).alias("side")),
+    )
+    asks = F.transform(F.sequence(F.lit(0), F.col("_answering") - 1), lambda q: F.struct(mine_p.alias("p"), q.alias("q"), F.lit(_ASKS | _OUTSIDE).alias("side")))
+    place = place.when(F.col("_outside"), F.concat(answers, asks)).otherwise(answers)
+    return rows.select(*rest, F.explode(place).alias("_place")).select(*rest, "_place.p", "_place.q", "_place.side")
+
+
 def _between(bands: Bands, cells: int = 1 << 21):
-    """Rows of mixed keys, ordered by key -> pairs of classes in different components that the sketches allow."""
-
-    def pairs(rows: dict[str, np.ndarray], drawn: list[bytes], domain: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        cls, label, n, opens = rows["cls"], rows["label"], rows["n"], rows["opens"] == domain
-        bits = np.frombuffer(b"".join(drawn), np.uint64).reshape(len(cls), -1)
-        _, inverse, counts = np.unique(label, return_inverse=True, return_counts=True)
-        # members of the largest component are compared with all others, never with each other
-        small = np.flatnonzero(inverse != counts.argmax())
-        wide = max(1, cells // (bits.shape[1] * min(len(cls), 256)))
-        for i in range(0, len(small), wide):
-            left = small[i : i + wide]
-            for j in range(0, len(cls), 256):
-                right = np.arange(j, min(j + 256, len(cls)))
+    """Rows of mixed keys, ordered by key and pair of blocks -> pairs of classes in different components that the sketches allow."""
+
+    def pairs(rows: dict[str, np.ndarray], bits: np.ndarray, domain: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        cls, label, n, side, opens = rows["cls"], rows["label"], rows["n"], rows["side"], rows["opens"] == domain
+        bits = bits.view(np.uint64).reshape(len(cls), -1)
+        asking, answering = np.flatnonzero(side & _ASKS), np.flatnonzero(side & _ANSWERS)
+        high_step = max(1, min(256, cells // bits.shape[1]))
+        wide = max(1, cells // (bits.shape[1] * min(max(1, len(answering)), high_step)))
+        for i in range(0, len(asking), wide):
+            left = asking[i : i + wide]
+            for j in range(0, len(answering), high_step):
+                right = answering[j : j + high_step]
                 low, high = np.minimum(n[left][:, None], n[right][None, :]), np.maximum(n[left][:, None], n[right][None, :])
                 fine = (label[left][:, None] != label[right][None, :]) & (100 * low >= bands.percent * high)
                 # two documents of the domain's second band meet in the next domain
                 fine &= opens[left][:, None] | opens[right][None, :]
+                # two outside the largest component are asked from both sides
+                fine &= ((side[right] & _OUTSIDE) == 0)[None, :] | (cls[left][:, None] < cls[right][None, :])
                 if not fine.any():
                     continue
                 far = np.bitwise_count(bits[left][:, None, :] ^ bits[right][None, :, :]).sum(axis=2, dtype=np.int64)
@@ -311,14 +343,13 @@ def _between(bands: Bands, cells: int = 1 << 21):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solved(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = pa.Table.from_batches(held)
-            k = block.column("k").to_numpy()
-            edges = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1], [True])))
-            columns = {c: block.column(c).to_numpy() for c in ("cls", "label", "n", "opens")}
+            edges = np.append(_changes(block), block.num_rows)
+            columns = {c: block.column(c).to_numpy() for c in ("cls", "label", "n", "opens", "side")}
             domain = block.column("domain").to_numpy()
-            sketches = block.column("sketch").to_pylist()
+            data, bounds = column_bytes(block.column("sketch"))
             found: list[tuple[np.ndarray, np.ndarray]] = []
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                found += pairs({c: v[a:b] for c, v in columns.items()}, sketches[a:b], int(domain[a]))
+                found += pairs({c: v[a:b] for c, v in columns.items()}, data[bounds[a] : bounds[b]], int(domain[a]))
             if found:
                 x, y = (np.concatenate(z) for z in zip(*found))
                 both = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y))), axis=1)
@@ -328,12 +359,11 @@ def _between(bands: Bands, cells: int = 1 << 21):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            k = batch.column("k").to_numpy()
             cut = 0
-            if sum(x.num_rows for x in held) + len(k) > 5_000:
-                change = np.flatnonzero(k[1:] != k[:-1]) + 1
-                if held and held[-1].column("k")[-1].as_py() != k[0]:
-                    change = np.append(0, change)
+            if sum(x.num_rows for x in held) + batch.num_rows > _HELD_ROWS or sum(x.nbytes for x in held) + batch.nbytes > _HELD_BYTES:
+                change = _changes(batch)
+                if not held or all(held[-1].column(c)[-1].as_py() == batch.column(c)[0].as_py() for c in ("k", "p", "q")):
+                    change = change[1:]
                 if len(change):
                     cut = int(change[-1])
                     yield from solved([*held, batch.slice(0, cut)] if cut else held)
@@ -345,6 +375,16 @@ def _between(bands: Bands, cells: int = 1 << 21):
     return run
 
 
+def _changes(rows: pa.RecordBatch | pa.Table) -> np.ndarray:
+    """Rows at which a key or pair of blocks begins."""
+    new = np.ones(rows.num_rows, bool)
+    new[1:] = False
+    for c in ("k", "p", "q"):
+        v = rows.column(c).to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return np.flatnonzero(new)
+
+
 DRAWN = ["own", "below", "own_small", "below_small", "own_shared", "below_shared"]
 
 
@@ -466,11 +506,14 @@ def _grouped(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str
     release(spark)
     close = _sketched(close, drawn, bands)
     # large buckets: members of different components are compared where they meet
-    open_ = marked.join(mixed.where("many"), "k").join(drawn, "cls").select("k", "cls", "domain", "label", "n", "opens", _own().alias("sketch"))
-    open_ = open_.repartition("k").sortWithinPartitions("k")
+    many = marked.join(mixed.where("many").select("k"), "k")
+    tops = many.groupBy("k", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("k").agg(F.sum("c").alias("members"), F.max(F.struct("c", "label")).alias("t"))
+    tops = written(tops.select("k", "members", F.col("t.label").alias("top"), F.col("t.c").alias("topped")), "tops")
+    open_ = many.join(tops, "k").join(drawn, "cls").select("k", "cls", "domain", "label", "n", "opens", _own().alias("sketch"), "members", "top", "topped")
+    open_ = _blocks(open_, BLOCK_BYTES).repartition("k", "p", "q").sortWithinPartitions("k", "p", "q")
     late = open_.mapInArrow(_between(bands), "a long, b long").unionByName(close)
     late = written(late.distinct(), "between", WIDE)
-    discard(buckets, marked, mixed)
+    discard(buckets, marked, mixed, tops)
     links = near.unionByName(_links(rows, people, late.join(stars, ["a", "b"], "left_anti"), shingle, percent))
     discard(people, drawn, late)
     release(spark)

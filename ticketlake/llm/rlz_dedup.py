@@ -6,6 +6,9 @@ stretch is factored against the block from left to right: a factor is the longes
 at most a window long, with any other place of the block. A factor of a window's length
 is a repeat; windows that begin inside a factor cross its boundary, and each of them is
 looked up in the index as well, since a greedy parse may cut a repeat in two.
+
+So the index alone decides: every window has its longest match there, and the factors
+only say which windows are looked up as factors and which as crossing a boundary.
 """
 
 from __future__ import annotations

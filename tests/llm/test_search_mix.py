@@ -39,6 +39,14 @@ def test_large_components_stay_exact(spark):
     assert [(r.vec_id, r.score) for r in got if r.vec_id != 3] == [(2, 2**50 + 65536), (1, 2**50)]
 
 
+def test_components_are_not_cut(spark):
+    rows = [(0, [2.0**20, 3.0]), (1, [2.0**21, 1.0]), (2, [-(2.0**21), 1.0]), (3, [1e300, 1e300]), (4, [-1e308, 0.0]), (5, [2.0**30, -(2.0**50)]), (6, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.score for r in exact_search.exact_topk(df, df.where("vec_id = 0"), 9).collect()}
+    most = 2**63 - 1
+    assert got == {1: 2**57 + 3 * 2**16, 2: -(2**57) + 3 * 2**16, 3: most, 4: -most, 5: -most, 6: 0}
+
+
 DOCS = "doc_id long, text string, source string, copy string, licenses string"
 
 

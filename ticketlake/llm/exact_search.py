@@ -8,7 +8,8 @@ The lists of all tasks are merged in a tree: first into a bounded number of list
 per query, then into one. What is shuffled is k rows per query and task.
 
 Scores are inner products of whole numbers, exact in float64 as long as they stay
-below 2**53; larger ones are multiplied as 64-bit integers.
+below 2**53; larger ones are multiplied as 64-bit integers, and the few rows that could
+leave those as Python's integers. A score beyond 64 bits is the largest or smallest of them.
 """
 
 from __future__ import annotations
@@ -24,8 +25,6 @@ from ticketlake.llm.common import written
 #: Bytes of one query block, which travels to every task.
 BLOCK_BYTES = 16 << 20
 TILE_ROWS = 4096
-#: Components beyond this are cut to it, so that no product of up to 2,048 of them leaves 64 bits.
-LIMIT = 2.0**26
 FANIN = 64
 
 _SCHEMA = "query_id long, vec_id long, score long"
@@ -37,6 +36,12 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & ~bad
 
 
+def _quantised(vectors: np.ndarray, scale: float) -> np.ndarray:
+    # a component that becomes infinite is the largest number instead
+    with np.errstate(over="ignore"):
+        return np.nan_to_num(np.floor(vectors * scale))
+
+
 def _matrices(batch: pa.RecordBatch, scale: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Ids and quantised rows, one pair for each length of vector."""
     ids, vectors = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
@@ -46,14 +51,21 @@ def _matrices(batch: pa.RecordBatch, scale: float) -> Iterator[tuple[np.ndarray,
     for size in np.unique(sizes):
         at = np.flatnonzero(sizes == size)
         rows = flat[starts[at][:, None] + np.arange(size)]
-        yield ids[at].astype(np.int64), np.clip(np.floor(rows * scale), -LIMIT, LIMIT)
+        yield ids[at].astype(np.int64), _quantised(rows, scale)
 
 
 def _products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    large = queries.shape[1] * (np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0)) >= 2.0**53
-    if large:
-        return queries.astype(np.int64) @ rows.astype(np.int64).T
-    return (queries @ rows.T).astype(np.int64)
+    with np.errstate(over="ignore", invalid="ignore"):
+        reach = queries.shape[1] * (np.abs(queries).max(initial=0) * np.abs(rows).max(axis=1, initial=0))
+        if reach.max(initial=0) < 2.0**53:
+            return (queries @ rows.T).astype(np.int64)
+        far = reach >= 2.0**62
+        out = np.empty((len(queries), len(rows)), np.int64)
+        out[:, ~far] = queries.astype(np.int64) @ rows[~far].astype(np.int64).T
+    if far.any():
+        whole = np.frompyfunc(int, 1, 1)
+        out[:, far] = np.clip(whole(queries) @ whole(rows[far]).T, _NONE + 1, -(_NONE + 1)).astype(np.int64)
+    return out
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,7 +126,7 @@ def _query_blocks(queries: DataFrame, scale: float) -> Iterator[dict[int, tuple[
         return {size: (np.array(ids[size], np.int64), np.stack(rows[size])) for size in rows}
 
     for row in queries.toLocalIterator():
-        vector = np.clip(np.floor(np.asarray(row[1], np.float64) * scale), -LIMIT, LIMIT)
+        vector = _quantised(np.asarray(row[1], np.float64), scale)
         ids.setdefault(len(vector), []).append(row[0])
         rows.setdefault(len(vector), []).append(vector)
         held += vector.nbytes + 64
@@ -128,7 +140,8 @@ def _query_blocks(queries: DataFrame, scale: float) -> Iterator[dict[int, tuple[
 def exact_topk(vectors: DataFrame, queries: DataFrame, k: int, scale: float = 256.0, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: each query's k best vectors but itself.
 
-    Components become floor(scale * x). Vectors that are null or hold null, NaN or
+    Components become floor(scale * x); a score beyond 64 bits is the nearest number of
+    them, so that such ones tie. Vectors that are null or hold null, NaN or
     infinite components, and rows without an id, take no part; neither do vectors of
     another length than the query's. Ties go to the smaller id. Rows with a repeated
     id are candidates of their own and all are skipped for the query with that id.

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ticketlake.functions.contract import RULES, RawField
@@ -89,6 +90,15 @@ def stream_validate_dlq(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.read_quarantine_lines(spark, _ingested(spark, sf))
 
 
+def _headed(names: str):
+    def run(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([names])], ["line"])
+        # with the header's schema, in which a line may be null
+        yield from (pa.RecordBatch.from_arrays(batch.columns, ["line"]) for batch in batches)
+
+    return run
+
+
 def scan_csv_malformed(spark: SparkSession, sf: str) -> DataFrame:
     """Lines with a surplus or a missing cell among sound ones: they come back whole, the others parsed."""
     path = scratch_dir(spark, "csv")
@@ -97,9 +107,8 @@ def scan_csv_malformed(spark: SparkSession, sf: str) -> DataFrame:
     line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cells])
     short = F.regexp_replace(line, ",[^,]*$", "")
     bent = F.when(F.col("seq") % 10 == 3, F.concat(line, F.lit(",EXTRA"))).when(F.col("seq") % 10 == 7, short).otherwise(line)
-    # one file each time, headed by the names
-    header = spark.createDataFrame([(-1, ",".join(cells))], "seq bigint, line string")
-    rows.select("seq", bent.alias("line")).unionByName(header).coalesce(1).sortWithinPartitions("seq").select("line").write.text(path)
+    # one file for each task, headed by the names
+    rows.select(bent.alias("line")).mapInArrow(_headed(",".join(cells)), "line string").write.text(path)
     read = read_tickets_csv(spark, path, extra="seq bigint", multi_line=False, malformed="malformed")
     sound = F.col("malformed").isNull()
     return read.select("malformed", *[F.when(sound, F.col(c)).alias(c) for c in cells])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ticketlake.llm import decontamination, exact_search, language_id, license_scan, mixing, ngram_join, pii, rlz_dedup, suffix_dedup, toxicity
+from ticketlake.llm import decontamination, exact_search, language_id, license_scan, mixing, ngram_join, periodic_runs, pii, rlz_dedup, suffix_dedup, toxicity
 from ticketlake.llm.common import fold, table
 
 
@@ -61,11 +61,17 @@ def op10_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.components(table(spark, sf, "documents"), shingle=4, percent=85).drop("n_links")
 
 
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(table(spark, sf, "documents"))
+    return periodic_runs.digests(periodic_runs.collapse_runs(docs, shortest=24, times=3))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_rlz_dedup, op3_exact_topk, op4_poisson_mix, op5_toxicity,
         op6_pii, op7_language_id, op8_suffix_dedup, op9_decontamination, op10_ngram_join,
+        op11_periodic_runs,
     )
 }
 
@@ -77,4 +83,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_exact_topk": exact_search.oracle(),
         "op4_poisson_mix": mixing.oracle(),
         "op10_ngram_join": ngram_join.oracle(),
+        "op11_periodic_runs": periodic_runs.oracle(),
     }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ticketlake.llm import decontamination, exact_search, language_id, license_scan, mixing, ngram_join, periodic_runs, pii, rlz_dedup, suffix_dedup, toxicity
+from ticketlake.llm import decontamination, exact_search, language_id, license_scan, mixing, ngram_join, periodic_runs, pii, prefix_trie, rlz_dedup, suffix_dedup, toxicity
 from ticketlake.llm.common import fold, table
 
 
@@ -66,12 +66,17 @@ def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.collapse_runs(docs, shortest=24, times=3))
 
 
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    talks = prefix_trie.rebuilt(prefix_trie.sequences(table(spark, sf, "conversations")))
+    return prefix_trie.digests(*prefix_trie.trie(talks))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_rlz_dedup, op3_exact_topk, op4_poisson_mix, op5_toxicity,
         op6_pii, op7_language_id, op8_suffix_dedup, op9_decontamination, op10_ngram_join,
-        op11_periodic_runs,
+        op11_periodic_runs, op13_prefix_trie,
     )
 }
 
@@ -84,4 +89,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_poisson_mix": mixing.oracle(),
         "op10_ngram_join": ngram_join.oracle(),
         "op11_periodic_runs": periodic_runs.oracle(),
+        "op13_prefix_trie": prefix_trie.oracle(),
     }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ticketlake.llm import decontamination, exact_search, language_id, license_scan, mixing, ngram_join, periodic_runs, pii, prefix_trie, rlz_dedup, suffix_dedup, toxicity
+from ticketlake.llm import decontamination, exact_search, language_id, license_scan, mixing, ngram_join, periodic_runs, pii, pivot_join, prefix_trie, rlz_dedup, suffix_dedup, toxicity
 from ticketlake.llm.common import fold, table
 
 
@@ -66,6 +66,10 @@ def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.collapse_runs(docs, shortest=24, times=3))
 
 
+def op12_pivot_join(spark: SparkSession, sf: str) -> DataFrame:
+    return pivot_join.near_duplicates(table(spark, sf, "embeddings"), cosine=0.9)
+
+
 def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
     talks = prefix_trie.rebuilt(prefix_trie.sequences(table(spark, sf, "conversations")))
     return prefix_trie.digests(*prefix_trie.trie(talks))
@@ -76,7 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_license_scan, op2_rlz_dedup, op3_exact_topk, op4_poisson_mix, op5_toxicity,
         op6_pii, op7_language_id, op8_suffix_dedup, op9_decontamination, op10_ngram_join,
-        op11_periodic_runs, op13_prefix_trie,
+        op11_periodic_runs, op12_pivot_join, op13_prefix_trie,
     )
 }
 
@@ -89,5 +93,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_poisson_mix": mixing.oracle(),
         "op10_ngram_join": ngram_join.oracle(),
         "op11_periodic_runs": periodic_runs.oracle(),
+        "op12_pivot_join": pivot_join.oracle(),
         "op13_prefix_trie": prefix_trie.oracle(),
     }

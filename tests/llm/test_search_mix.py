@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from ticketlake.llm import exact_search, license_scan, mixing
 
@@ -60,8 +61,6 @@ def test_mixing(spark):
     # three sources, 2,000 wanted of each; one null document is a source of its own
     assert abs(number["big"] - 2000) < 250 and abs(number["small"] - 2000) < 250 and abs(number[None] - 2000) < 250
     assert got.columns == ["doc_id", "text", "source", "licenses", "copy", "shuffle_key"]
-    copies = got.where("doc_id = 5").groupBy("text").count().collect()
-    assert len({r["count"] for r in copies}) <= 1
     some = mixing.mix_sources(df, {"small": 1.0}, total=400)
     assert {r.source for r in some.select("source").distinct().collect()} == {"small"} and abs(some.count() - 400) < 100
     assert mixing.mix_sources(df.limit(0)).count() == 0
@@ -76,6 +75,36 @@ def test_rates_are_poisson(spark):
         assert abs(seen[k] - expected) < 5 * math.sqrt(expected)
 
 
+@pytest.mark.parametrize("kind", ["no id", "one id", "equal rows"])
+def test_rows_without_own_ids_draw_apart(spark, kind):
+    """30,000 rows without an id, with one id, and with one text too are as many Poisson numbers, whatever the tasks."""
+    rows = [(None if kind == "no id" else 7, "t" if kind == "equal rows" else f"t{i // 2}", "s", "c", str(i)) for i in range(30_000)]
+    df = spark.createDataFrame(rows, DOCS)
+    one = mixing.mix_sources(df.repartition(8), total=30_000)
+    seen = {r[0]: r[1] for r in one.groupBy("licenses").count().groupBy("count").count().collect()}
+    for k in range(1, 5):
+        expected = 30_000 * math.exp(-1) / math.factorial(k)
+        assert abs(seen[k] - expected) < 5 * math.sqrt(expected)
+    assert one.select("shuffle_key").distinct().count() == one.count()
+    two = mixing.mix_sources(df.repartition(3), total=30_000)
+    pairs = [sorted(map(tuple, x.groupBy("doc_id", "text", "copy").count().collect()), key=str) for x in (one, two)]
+    assert pairs[0] == pairs[1]
+
+
+def test_null_and_empty_sources_are_two(spark):
+    rows = [(i, "t", None if i % 2 else "", "c", "l") for i in range(2000)]
+    df = spark.createDataFrame(rows, DOCS)
+    assert {r.source for r in mixing.mix_sources(df, {None: 1.0}).select("source").distinct().collect()} == {None}
+    assert {r.source for r in mixing.mix_sources(df, {"": 1.0}).select("source").distinct().collect()} == {""}
+
+
+def test_mixing_moves_the_corpus_once(spark, monkeypatch):
+    """The rates are broadcast, however the corpus is dealt: no exchange by source."""
+    rows = [(i, f"t{i}", f"s{i % 3}", "c", "l") for i in range(2000)]
+    plan = mixing.mix_sources(spark.createDataFrame(rows, DOCS))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_licenses(spark):
     cases = {
         "": (0, "", "", 0),

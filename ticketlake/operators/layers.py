@@ -32,13 +32,15 @@ def stamp_silver(bronze_rows: DataFrame, now: dt.datetime | None = None) -> Data
 
 
 def merge_silver(
-    silver: VersionedTable, bronze_rows: DataFrame, order: str, now: dt.datetime | None = None
+    silver: VersionedTable, bronze_rows: DataFrame, order: str | Column, now: dt.datetime | None = None, drop: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Create silver from bronze, or upsert bronze into it by ticket id."""
+    """Create silver from bronze, or upsert bronze into it by ticket id; ``drop`` names columns that only ``order`` needs."""
     incoming = stamp_silver(bronze_rows, now)
-    if not silver.exists():
-        return silver.overwrite(dedup_keep_last(incoming, KEY, order))
-    return silver.merge(incoming, KEY, order)
+    if silver.exists():
+        return silver.merge(incoming, KEY, order, drop=drop)
+    if silver.key == KEY:
+        return silver.overwrite(incoming, order, drop)
+    return silver.overwrite(dedup_keep_last(incoming, KEY, order).drop(*drop))
 
 
 def schema_enforced(table: VersionedTable) -> bool:

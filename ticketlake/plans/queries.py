@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ticketlake.functions.contract import RULES, RawField
 from ticketlake.operators import chunking, layers, lineage, quality, retrieval, topk, validate
 from ticketlake.operators.bm25 import build_index
-from ticketlake.operators.merge import dedup_keep_last
+from ticketlake.operators.merge import dedup_keep_last, keep_last_late
 from ticketlake.plans.pipeline import run_pipeline, summary_frame
 from ticketlake.schema import COLUMNS, NUMERIC
 from ticketlake.session import scratch_dir
@@ -42,7 +42,8 @@ def silver(spark: SparkSession, sf: str, description: bool = False) -> DataFrame
 
 def silver_table(spark: SparkSession, sf: str) -> DataFrame:
     """Silver with descriptions as a written table, which retrieval scans more than once."""
-    return VersionedTable(spark, scratch_dir(spark, "silver")).overwrite(silver(spark, sf, True))
+    rows = validate.valid_tickets(judged(spark, sf, True))
+    return VersionedTable(spark, scratch_dir(spark, "silver"), KEY).overwrite(rows, "seq")
 
 
 def unvalidated(spark: SparkSession, sf: str, description: bool = False) -> DataFrame:
@@ -211,14 +212,14 @@ def bronze_load(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
-    table = VersionedTable(spark, scratch_dir(spark, "silver"))
+    table = VersionedTable(spark, scratch_dir(spark, "silver"), KEY)
     rows = layers.bronze(validate.valid_tickets(judged(spark, sf, description=True)), NOW)
     made = layers.merge_silver(table, rows, "seq", NOW)
     return _as_text(made, "_ingestion_time", "_processed_time")
 
 
 def silver_merge(spark: SparkSession, sf: str) -> DataFrame:
-    table = VersionedTable(spark, scratch_dir(spark, "silver"))
+    table = VersionedTable(spark, scratch_dir(spark, "silver"), KEY)
     rows = unvalidated(spark, sf, description=True)
     table.overwrite(rows.where(F.col("Submission_Date") < TARGET_BEFORE))
     late = rows.where(F.col("Submission_Date") >= SOURCE_FROM)
@@ -226,14 +227,14 @@ def silver_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup_keep_last(testdata.tickets(spark, sf), KEY, "seq")
+    return keep_last_late(testdata.tickets(spark, sf), KEY, "seq")
 
 
 def pipeline_rerun(spark: SparkSession, sf: str) -> DataFrame:
     """Silver after two runs; the second sends every other ticket again, changed, under smaller arrival numbers."""
     root = scratch_dir(spark, "rerun")
     topic, paths = Topic(f"{root}/raw"), ingest.IngestPaths.under(root)
-    table = VersionedTable(spark, f"{root}/silver")
+    table = VersionedTable(spark, f"{root}/silver", KEY)
     tickets = testdata.tickets(spark, sf)
     score = F.when(F.col("Satisfaction_Score").between("1", "5"), (6 - F.col("Satisfaction_Score").cast("int")).cast("string"))
     changed = tickets.where(F.col("seq") % 2 == 0).withColumns({"Satisfaction_Score": score, "seq": F.col("seq") - 10**9})

@@ -18,7 +18,9 @@ p / 100 and sizes a, b leave at most (100 - p) (a + b) / (100 + p) such shingles
   is linked becomes components. Only where a bucket still holds more than one component are members of different components
   compared, by sketches and then by texts. So every link between components is found,
   and no group emits all its pairs. A large bucket is dealt to blocks of bounded bytes, and
-  only its members outside its largest component go to all of them.
+  only its members outside its largest component go to all of them. There each first meets
+  the nearest member of another component only; what is linked then is one component, and all
+  pairs that are still allowed between components are compared after that.
 
 Sets are known by a 64-bit hash, which is checked against a second one; if two different
 sets collide the hash is salted anew.
@@ -314,8 +316,11 @@ def _blocks(members: DataFrame, block_bytes: int) -> DataFrame:
     return rows.select(*rest, F.explode(place).alias("_place")).select(*rest, "_place.p", "_place.q", "_place.side")
 
 
-def _between(bands: Bands, cells: int = 1 << 21):
-    """Rows of mixed keys, ordered by key and pair of blocks -> pairs of classes in different components that the sketches allow."""
+def _between(bands: Bands, nearest: bool, cells: int = 1 << 21):
+    """Rows of mixed keys, ordered by key and pair of blocks -> pairs of classes in different components that the sketches allow.
+
+    With ``nearest`` each asking row gives one pair only, with the row that its sketch is nearest to.
+    """
 
     def pairs(rows: dict[str, np.ndarray], bits: np.ndarray, domain: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         cls, label, n, side, opens = rows["cls"], rows["label"], rows["n"], rows["side"], rows["opens"] == domain
@@ -325,6 +330,7 @@ def _between(bands: Bands, cells: int = 1 << 21):
         wide = max(1, cells // (bits.shape[1] * min(max(1, len(answering)), high_step)))
         for i in range(0, len(asking), wide):
             left = asking[i : i + wide]
+            best, mate = np.full(len(left), np.iinfo(np.int64).max), np.full(len(left), -1)
             for j in range(0, len(answering), high_step):
                 right = answering[j : j + high_step]
                 low, high = np.minimum(n[left][:, None], n[right][None, :]), np.maximum(n[left][:, None], n[right][None, :])
@@ -336,24 +342,34 @@ def _between(bands: Bands, cells: int = 1 << 21):
                 if not fine.any():
                     continue
                 far = np.bitwise_count(bits[left][:, None, :] ^ bits[right][None, :, :]).sum(axis=2, dtype=np.int64)
-                x, y = np.nonzero(fine & (far <= bands.differing(low, high)))
+                fine &= far <= bands.differing(low, high)
+                if nearest:
+                    far[~fine] = np.iinfo(np.int64).max
+                    at = far.argmin(axis=1)
+                    least = far[np.arange(len(left)), at]
+                    better = least < best
+                    best[better], mate[better] = least[better], right[at[better]]
+                    continue
+                x, y = np.nonzero(fine)
                 if len(x):
                     yield cls[left[x]], cls[right[y]]
+            if (mate >= 0).any():
+                yield cls[left[mate >= 0]], cls[mate[mate >= 0]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solved(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = pa.Table.from_batches(held)
             edges = np.append(_changes(block), block.num_rows)
             columns = {c: block.column(c).to_numpy() for c in ("cls", "label", "n", "opens", "side")}
-            domain = block.column("domain").to_numpy()
+            k, domain = block.column("k").to_numpy(), block.column("domain").to_numpy()
             data, bounds = column_bytes(block.column("sketch"))
-            found: list[tuple[np.ndarray, np.ndarray]] = []
+            found: list[np.ndarray] = []
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                found += pairs({c: v[a:b] for c, v in columns.items()}, data[bounds[a] : bounds[b]], int(domain[a]))
+                for x, y in pairs({c: v[a:b] for c, v in columns.items()}, data[bounds[a] : bounds[b]], int(domain[a])):
+                    found.append(np.stack((np.full(len(x), domain[a]), np.full(len(x), k[a] if nearest else 0), np.minimum(x, y), np.maximum(x, y))))
             if found:
-                x, y = (np.concatenate(z) for z in zip(*found))
-                both = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y))), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(v)) for v in both], ["a", "b"])
+                domains, keys, x, y = (np.ascontiguousarray(v) for v in np.unique(np.concatenate(found, axis=1), axis=1))
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(domains.astype(np.int32)), pa.array(x), pa.array(y)], ["k", "domain", "a", "b"])
 
         held: list[pa.RecordBatch] = []
         for batch in batches:
@@ -393,21 +409,30 @@ def _own(size: str = "") -> Column:
     return F.when(F.col("domain") == F.col("opens"), F.col(f"own{size}")).otherwise(F.col(f"below{size}"))
 
 
-def _sketched(pairs: DataFrame, drawn: DataFrame, bands: Bands) -> DataFrame:
+def _sketched(pairs: DataFrame, drawn: DataFrame, bands: Bands, sizes: tuple[str, ...] = ("_small", "")) -> DataFrame:
     """Of pairs ``a``, ``b`` of a ``domain`` those whose sketches let them be linked: small ones first, then whole ones."""
     steps = []
-    for size in ("_small", ""):
+    for size in sizes:
         for x in "ab":
             one = drawn.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), "opens", f"own{size}", f"below{size}")
             pairs = pairs.join(one, x).withColumn(f"s_{x}", _own(size)).drop("opens", f"own{size}", f"below{size}")
         pairs = pairs.select("a", "b", "domain", "n_a", "n_b", "s_a", "s_b").mapInArrow(_allowed(bands), "a long, b long, domain int")
         pairs = written(pairs, "sketched", WIDE)
         steps.append(pairs)
-    discard(steps[0])
+    discard(*steps[:-1])
     release(drawn.sparkSession)
     return pairs.select("a", "b")
 
 
+def _open_keys(members: DataFrame, drawn: DataFrame, size: str) -> DataFrame:
+    """Rows ``k``, ``cls``, ``domain``, ``label`` of mixed keys with their sketches, dealt to blocks in order."""
+    tops = members.groupBy("k", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("k").agg(F.sum("c").alias("members"), F.max(F.struct("c", "label")).alias("t"))
+    tops = written(tops.select("k", "members", F.col("t.label").alias("top"), F.col("t.c").alias("topped")).where("topped < members"), "tops")
+    some = drawn.select("cls", "n", "opens", f"own{size}", f"below{size}")
+    rows = members.join(tops, "k").join(some, "cls").select("k", "cls", "domain", "label", "n", "opens", _own(size).alias("sketch"), "members", "top", "topped")
+    return _blocks(rows, BLOCK_BYTES).repartition("k", "p", "q").sortWithinPartitions("k", "p", "q")
+
+
 def _links(rows: DataFrame, people: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Of pairs of classes those whose sets are similar enough, by their texts."""
     a, b = (people.select(F.col("cls").alias(x), F.col("key").alias(f"key_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
@@ -505,17 +530,26 @@ def _grouped(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str
     close = written(close.where("met >= shared").drop("met", "shared"), "close")
     release(spark)
     close = _sketched(close, drawn, bands)
-    # large buckets: members of different components are compared where they meet
+    # large buckets: each member of a smaller component meets the nearest of another one, by small sketches; so
+    # groups of near copies that stars have left in parts grow together, and one pair of members is one row
     many = marked.join(mixed.where("many").select("k"), "k")
-    tops = many.groupBy("k", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("k").agg(F.sum("c").alias("members"), F.max(F.struct("c", "label")).alias("t"))
-    tops = written(tops.select("k", "members", F.col("t.label").alias("top"), F.col("t.c").alias("topped")), "tops")
-    open_ = many.join(tops, "k").join(drawn, "cls").select("k", "cls", "domain", "label", "n", "opens", _own().alias("sketch"), "members", "top", "topped")
-    open_ = _blocks(open_, BLOCK_BYTES).repartition("k", "p", "q").sortWithinPartitions("k", "p", "q")
-    late = open_.mapInArrow(_between(bands), "a long, b long").unionByName(close)
+    met = written(_open_keys(many, drawn, "_small").mapInArrow(_between(bands, True), "k long, domain int, a long, b long"), "nearest", WIDE)
+    discard(marked, mixed)
+    release(spark)
+    tried = _sketched(met.groupBy("a", "b").agg(F.min("domain").alias("domain")), drawn, bands, ("",)).unionByName(close)
+    tried = written(tried.distinct().join(stars, ["a", "b"], "left_anti"), "tried")
+    links = near.unionByName(_links(rows, people, tried, shingle, percent))
+    # where such pairs were met, all that are left between components are listed
+    labels = connected(links)
+    left_ = buckets.select("k", "cls", "domain").join(met.select("k").distinct(), "k", "left_semi").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+    left_ = written(left_.select("k", "cls", "domain", F.coalesce("component", "cls").alias("label")), "left")
+    late = _open_keys(left_, drawn, "").mapInArrow(_between(bands, False), "k long, domain int, a long, b long").select("a", "b")
     late = written(late.distinct(), "between", WIDE)
-    discard(buckets, marked, mixed, tops)
-    links = near.unionByName(_links(rows, people, late.join(stars, ["a", "b"], "left_anti"), shingle, percent))
-    discard(people, drawn, late)
+    discard(buckets, met, left_)
+    release(spark)
+    late_pairs = late.join(stars, ["a", "b"], "left_anti").join(tried, ["a", "b"], "left_anti")
+    links = links.unionByName(_links(rows, people, late_pairs, shingle, percent))
+    discard(people, drawn, late, tried)
     release(spark)
     groups = written(connected(links), "groups")
 

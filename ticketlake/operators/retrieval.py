@@ -11,6 +11,7 @@ from ticketlake.functions.text import plain_number, shared_words, tokens, words
 from ticketlake.functions.vectors import embedding, hashing_model
 from ticketlake.operators import topk
 from ticketlake.operators.bm25 import Bm25Index, build_index
+from ticketlake.operators.index import RetrievalIndex
 from ticketlake.session import scratch_dir
 
 # --- fixed values: retrieval settings and the answer template ----------------
@@ -28,6 +29,8 @@ ANSWER = (
 )
 CITATION = "  - %s Ticket ID: %s | Category: %s | Agent: %s (Relevance Score: %s)"
 
+# what an answer tells of each of its documents
+DOCUMENT = ["id", "text", "rrf_score", "dense_rank", "bm25_rank", "cross_encoder_score"]
 CARRY = ["id", "ticket_id", "customer_name", "issue_category", "assigned_agent", "text"]
 
 
@@ -118,7 +121,7 @@ def hybrid_ranks(
 
 
 def _best(df: DataFrame, score: str, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.round(score, topk.SCORE_DIGITS).desc(), "id")
+    order = Window.partitionBy("query_id").orderBy(F.desc(score), "id")
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -203,7 +206,7 @@ def fill_unanswered(reranked: DataFrame, queries: DataFrame, chunks: DataFrame,
     filled = slots.join(first_chunks(searchable(chunks), k), "rank").select(
         "query_id", "query", "rank", *CARRY, F.lit(None).cast("double").alias("cross_encoder_score")
     )
-    return reranked.select(filled.columns).unionByName(filled)
+    return reranked.unionByName(filled, allowMissingColumns=True)
 
 
 def citations(top: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -227,15 +230,17 @@ def citations(top: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def answers(top: DataFrame) -> DataFrame:
-    """One row per query: the answer text, and the cited chunks as an array.
+    """One row per query: the answer text, its documents with scores and ranks, and their citations.
 
     ``top`` holds at most k ranked rows per query, so the arrays are short.
     """
-    cited = citations(top, keep=("query", "text"))
+    kinds = {"rrf_score": "double", "dense_rank": "int", "bm25_rank": "int", "cross_encoder_score": "double"}
+    top = top.withColumns({c: F.lit(None).cast(kind) for c, kind in kinds.items() if c not in top.columns})
+    cited = citations(top, keep=("query", *DOCUMENT))
     fields = ["citation_id", "ticket_id", "customer_name", "issue_category", "assigned_agent", "relevance_score"]
     grouped = cited.groupBy("query_id").agg(
         F.first("query").alias("query"),
-        F.sort_array(F.collect_list(F.struct("rank", *fields, "text"))).alias("top"),
+        F.sort_array(F.collect_list(F.struct("rank", *fields, *DOCUMENT))).alias("top"),
     )
     best = F.element_at("top", 1)
     lines = F.transform(
@@ -258,22 +263,25 @@ def answers(top: DataFrame) -> DataFrame:
         F.array_join(lines, "\n"),
     )
     without_text = F.transform("top", lambda c: F.struct(*[c[f].alias(f) for f in fields]))
-    return grouped.select("query_id", "query", answer.alias("answer"), without_text.alias("citations"))
+    documents = F.transform("top", lambda c: F.struct(*[c[f].alias(f) for f in DOCUMENT]))
+    return grouped.select("query_id", "query", answer.alias("answer"), documents.alias("top_documents"), without_text.alias("citations"))
 
 
 def top_documents(
-    chunks: DataFrame,
+    chunks: DataFrame | RetrievalIndex,
     queries: DataFrame,
     lists: str = "hybrid",
     pair_model: Callable | None = None,
     **options,
 ) -> DataFrame:
-    """Search, fuse, rerank and fill: the ranked chunks behind each answer.
+    """Search, fuse, rerank and fill: the ranked chunks behind each answer, from chunks or a stored index.
 
     The reranked rows, at most k per query, are written to the scratch folder:
     they are read more than once and the corpus scan must not be repeated.
     """
-    if lists == "hybrid":
+    if lists == "hybrid" and isinstance(chunks, RetrievalIndex):
+        candidates = fuse(chunks.hybrid_ranks(queries, FUSED_K))
+    elif lists == "hybrid":
         candidates = fuse(hybrid_ranks(chunks, queries, **options))
     elif lists == "lexical":
         candidates = lexical_candidates(chunks, queries, **options)
@@ -283,13 +291,13 @@ def top_documents(
         reranked = rerank_model(candidates, queries, pair_model)
     else:
         reranked = rerank_overlap(candidates, queries)
-    spark = chunks.sparkSession
+    spark = queries.sparkSession
     path = scratch_dir(spark, "reranked")
     reranked.write.parquet(path)
-    return fill_unanswered(spark.read.parquet(path), queries, chunks)
+    return fill_unanswered(spark.read.parquet(path), queries, chunks.chunks() if isinstance(chunks, RetrievalIndex) else chunks)
 
 
-def answer_queries(chunks: DataFrame, queries: DataFrame, **options) -> DataFrame:
+def answer_queries(chunks: DataFrame | RetrievalIndex, queries: DataFrame, **options) -> DataFrame:
     """End to end: one answer with citations per query."""
     return answers(top_documents(chunks, queries, **options))
 

@@ -34,8 +34,10 @@ BLOCK_BYTES = 32 << 20
 # cells of a score matrix held at once, and kept rows per query before a trim
 SCORE_CELLS = 8_000_000
 TRIM_FACTOR = 16
-# scores are compared after rounding, so that ties do not hang on float noise
-SCORE_DIGITS = 6
+# word scores are exact sums of parts in this unit, so that ties do not hang on the order of the parts
+SCORE_UNIT = 1e-12
+# how far a distance from a matrix product may be off, relative to the squared lengths
+PRODUCT_SLACK = 1e-9
 MERGE_SALTS = 16
 
 
@@ -116,7 +118,7 @@ class TermScorer:
             length = _lengths(terms).astype(np.float64)
             norm = self.k1 * (1 - self.b + self.b * length / self.avg_len)
             strength = times * (self.k1 + 1) / (times + norm[row])
-        total = np.full(n * q, self.bias)
+        total = np.zeros(n * q)
         # each entry meets the queries that hold its term; a bounded number at a time
         width = asked.ends[term + 1] - asked.ends[term]
         reach = np.cumsum(width)
@@ -128,11 +130,10 @@ class TermScorer:
             entry = np.repeat(np.arange(start, stop), width[part])
             nth = np.arange(len(entry)) + before - (reach - width)[entry]
             held = asked.ends[term[entry]] + nth
-            total += np.bincount(
-                row[entry] * q + asked.query[held], asked.weight[held] * strength[entry], minlength=n * q
-            )
+            units = np.rint(asked.weight[held] * strength[entry] / SCORE_UNIT)
+            total += np.bincount(row[entry] * q + asked.query[held], units, minlength=n * q)
             start = stop
-        return total.reshape(n, q)
+        return (total / (1 / SCORE_UNIT) + self.bias).reshape(n, q)
 
 
 @dataclass(frozen=True)
@@ -158,13 +159,32 @@ class VectorScorer:
     def prepare(self, queries: pa.Table) -> np.ndarray:
         return self._matrix(queries["vector"].combine_chunks())
 
-    def scores(self, rows: pa.Table, state: np.ndarray) -> np.ndarray:
-        if self.model:
-            corpus = self._matrix(self.model(rows["terms"].combine_chunks()))
-        else:
-            corpus = self._matrix(rows["vector"].combine_chunks())
-        squares = (corpus**2).sum(axis=1)[:, None] + (state**2).sum(axis=1)[None, :]
-        return 2 * (corpus @ state.T) - squares
+    def corpus(self, rows: pa.Table) -> np.ndarray:
+        lists = self.model(rows["terms"].combine_chunks()) if self.model else rows["vector"].combine_chunks()
+        return self._matrix(lists)
+
+
+def minus_distances(vectors: np.ndarray, queries: np.ndarray, row: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """Minus the squared distances of pairs, added up place by place: equal vectors are equally near wherever they stand."""
+    total = np.zeros(len(row))
+    for place in range(vectors.shape[1]):
+        total += (vectors[row, place] - queries[column, place]) ** 2
+    return -total
+
+
+def nearest_cells(vectors: np.ndarray, queries: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and score of the k nearest rows of each query; ties go to the lower row. Raises ``floor``."""
+    xx, qq = (vectors**2).sum(axis=1), (queries**2).sum(axis=1)
+    about = 2 * (vectors @ queries.T) - xx[:, None] - qq[None, :]
+    slack = PRODUCT_SLACK * (xx.max(initial=0) + qq.max(initial=0))
+    bound = floor - slack
+    if len(about) > k:
+        bound = np.maximum(bound, np.partition(about, len(about) - k, axis=0)[len(about) - k] - 2 * slack)
+    row, column = np.nonzero(about >= bound)
+    exact = np.full(about.shape, -np.inf)
+    exact[row, column] = minus_distances(vectors, queries, row, column)
+    row, column = _best_cells(exact, k, floor)
+    return row, column, exact[row, column]
 
 
 ORDER = ("doc_order", "chunk_offset")
@@ -197,14 +217,18 @@ def _score_batch(
     height = max(1, SCORE_CELLS // len(query_ids))
     for start in range(0, rows.num_rows, height):
         part = rows.slice(start, height)
-        scores = np.round(scorer.scores(part, state), SCORE_DIGITS) + 0.0
-        row, column = _best_cells(scores, k, floor)
+        if isinstance(scorer, VectorScorer):
+            row, column, best = nearest_cells(scorer.corpus(part), state, k, floor)
+        else:
+            scores = scorer.scores(part, state) + 0.0
+            row, column = _best_cells(scores, k, floor)
+            best = scores[row, column]
         kept = part.select([*ORDER, *carry]).take(pa.array(row))
         yield pa.table(
             {
                 "method": pa.array([scorer.name] * len(row), pa.string()),
                 "query_id": pa.array(query_ids[column], pa.int64()),
-                "score": pa.array(scores[row, column], pa.float64()),
+                "score": pa.array(best, pa.float64()),
                 **{name: kept[name] for name in kept.column_names},
             }
         )

@@ -229,6 +229,8 @@ FROM (SELECT *, unnest(range(0, length(full_text), 320)) AS o FROM ticket_texts)
 PARTS["subject_queries"] = "SELECT * FROM (VALUES " + ", ".join(
     f"(CAST({i} AS BIGINT), {text(s)})" for i, s in enumerate(SUBJECTS, 1)
 ) + ") AS q(query_id, query)"
+PARTS["slice_queries"] = """
+SELECT doc_id * 3 + i AS query_id, substr(coalesce(text, ''), 1 + 40 * i, 40) AS query FROM (SELECT doc_id, text, unnest([0, 1, 2]) AS i FROM documents)"""
 PARTS["benchmark_queries"] = "SELECT item_id AS query_id, text AS query FROM benchmark"
 
 
@@ -257,12 +259,13 @@ FROM words, corpus_stats GROUP BY term, n""",
 SELECT term, doc_freq, CASE WHEN raw < 0 THEN 0.25 * (SELECT avg(raw) FROM raw_idf) ELSE raw END AS idf
 FROM raw_idf""",
         "bm25_scores": """
-SELECT query_id, words.id, sum(qtf * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len / avg_len))) AS score
+SELECT query_id, words.id,
+  sum(CAST(round(qtf * idf * (tf * 2.5 / (tf + 1.5 * (1 - CAST(0.75 AS DOUBLE) + CAST(0.75 AS DOUBLE) * len / avg_len))) / CAST(1e-12 AS DOUBLE)) AS HUGEINT)) / CAST(1e12 AS DOUBLE) AS score
 FROM asked JOIN words USING (term) JOIN idf USING (term) JOIN lengths ON lengths.id = words.id, corpus_stats
 GROUP BY ALL""",
         "bm25_list": """
 SELECT query_id, id, round(coalesce(score, 0), 6) AS score,
-  row_number() OVER (PARTITION BY query_id ORDER BY round(coalesce(score, 0), 6) DESC, doc_order, chunk_offset) AS rank
+  row_number() OVER (PARTITION BY query_id ORDER BY coalesce(score, 0) DESC, doc_order, chunk_offset) AS rank
 FROM (SELECT query_id, id, doc_order, chunk_offset FROM queries, chunks) LEFT JOIN bm25_scores USING (query_id, id)
 QUALIFY rank <= 10""",
         "shared": """
@@ -282,15 +285,18 @@ FROM chunk_counts""",
         "query_vectors": """
 SELECT query_id, bucket, CAST(CAST(cnt / sqrt(sum(cnt * cnt) OVER (PARTITION BY query_id)) AS FLOAT) AS DOUBLE) AS y
 FROM (SELECT query_id, bucket, sum(qtf) AS cnt FROM asked JOIN buckets USING (term) GROUP BY ALL)""",
-        "dots": """
-SELECT query_id, id, sum(x * y) AS dot FROM chunk_vectors JOIN query_vectors USING (bucket) GROUP BY ALL""",
-        "chunk_norms": "SELECT id, sum(x * x) AS xx FROM chunk_vectors GROUP BY id",
-        "query_norms": "SELECT query_id, sum(y * y) AS yy FROM query_vectors GROUP BY query_id",
+        "chunk_lists": """
+SELECT p.id, doc_order, chunk_offset, list(coalesce(x, 0) ORDER BY place) AS xs
+FROM (SELECT id, doc_order, chunk_offset, unnest(range(64)) AS place FROM chunks) p
+LEFT JOIN chunk_vectors v ON v.id = p.id AND v.bucket = p.place GROUP BY ALL""",
+        "query_lists": """
+SELECT p.query_id, list(coalesce(y, 0) ORDER BY place) AS ys FROM (SELECT query_id, unnest(range(64)) AS place FROM queries) p
+LEFT JOIN query_vectors v ON v.query_id = p.query_id AND v.bucket = p.place GROUP BY ALL""",
+        "apart": "SELECT query_id, id, doc_order, chunk_offset, xs, ys, list_distance(xs, ys) AS d FROM chunk_lists, query_lists",
+        "reach": "SELECT query_id, max(d) AS far FROM (SELECT query_id, d FROM apart QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d) <= 10) GROUP BY query_id",
         "distances": """
-SELECT query_id, chunks.id, doc_order, chunk_offset,
-  round(coalesce(xx, 0) + coalesce(yy, 0) - 2 * coalesce(dot, 0), 6) AS distance
-FROM chunks CROSS JOIN queries LEFT JOIN dots USING (query_id, id)
-LEFT JOIN chunk_norms ON chunk_norms.id = chunks.id LEFT JOIN query_norms USING (query_id)""",
+SELECT query_id, id, doc_order, chunk_offset, list_sum(list_transform(range(1, 65), lambda i: (xs[i] - ys[i]) * (xs[i] - ys[i]))) AS distance
+FROM apart JOIN reach USING (query_id) WHERE d <= far + CAST(0.000001 AS DOUBLE)""",
         "dense_list": """
 SELECT query_id, id, distance,
   row_number() OVER (PARTITION BY query_id ORDER BY distance, doc_order, chunk_offset) AS rank
@@ -300,7 +306,7 @@ SELECT query_id, id, d.rank AS d_rank, b.rank AS b_rank,
   coalesce(CAST(1 AS DOUBLE) / (60 + d.rank), 0) + coalesce(CAST(1 AS DOUBLE) / (60 + b.rank), 0) AS rrf_score
 FROM dense_list d FULL JOIN bm25_list b USING (query_id, id)""",
         "fused": """
-SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(rrf_score, 6) DESC, id) AS rank
+SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rrf_score DESC, id) AS rank
 FROM paired QUALIFY rank <= 10""",
     }
 
@@ -308,7 +314,7 @@ FROM paired QUALIFY rank <= 10""",
 RERANK = """
 SELECT query_id, id, f.rrf_score + coalesce(shared, 0) * 0.1 AS cross_encoder_score,
   row_number() OVER (PARTITION BY query_id
-    ORDER BY round(f.rrf_score + coalesce(shared, 0) * CAST(0.1 AS DOUBLE), 6) DESC, id) AS rank
+    ORDER BY f.rrf_score + coalesce(shared, 0) * CAST(0.1 AS DOUBLE) DESC, id) AS rank
 FROM {} f LEFT JOIN shared USING (query_id, id) QUALIFY rank <= 5"""
 RETRIEVAL_EXTRA = {
     "reranked": RERANK.format("(SELECT query_id, id, rrf_score FROM fused)"),
@@ -399,11 +405,11 @@ FROM judged WHERE rejection_reason IS NOT NULL""",
 WITH parts AS (
   SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS place FROM embeddings),
 far AS (
-  SELECT q.vec_id AS query_id, c.vec_id, round(sum((c.x - q.x) * (c.x - q.x)), 6) AS distance
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list((c.x - q.x) * (c.x - q.x) ORDER BY place)) AS d
   FROM parts q JOIN parts c USING (place)
   WHERE q.vec_id % 100 = 1 AND c.vec_id % 17 <> 0 AND c.vec_id % 19 <> 0 AND c.vec_id % 23 <> 0 GROUP BY ALL)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank,
-  vec_id, distance FROM far QUALIFY rank <= 10""",
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY d, vec_id) AS INTEGER) AS rank,
+  vec_id, round(d, 6) AS distance FROM far QUALIFY rank <= 10""",
         "contract_rename": f"""
 SELECT seq, {RAW_COLUMNS} FROM tickets""",
         "contract_required": f"""
@@ -546,16 +552,31 @@ WITH means AS (
 parts AS (
   SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS place FROM embeddings),
 far AS (
-  SELECT means.label, vec_id, round(sum((x - y) * (x - y)), 6) AS distance
+  SELECT means.label, vec_id, list_sum(list((x - y) * (x - y) ORDER BY place)) AS d
   FROM parts JOIN means USING (place) GROUP BY ALL)
-SELECT CAST(label AS BIGINT) AS query_id, CAST(row_number() OVER (PARTITION BY label ORDER BY distance, vec_id) AS INTEGER) AS rank,
-  vec_id, distance FROM far QUALIFY rank <= 10""",
+SELECT CAST(label AS BIGINT) AS query_id, CAST(row_number() OVER (PARTITION BY label ORDER BY d, vec_id) AS INTEGER) AS rank,
+  vec_id, round(d, 6) AS distance FROM far QUALIFY rank <= 10""",
     }
     listed = "SELECT query_id, CAST(rank AS INTEGER) AS rank, id, {} FROM {}"
     reranked = listed.format("round(cross_encoder_score, 6) AS cross_encoder_score", "{}")
     searches = {
         "bm25_term_stats": ("SELECT term, doc_freq, round(idf, 6) AS idf FROM idf", BY_DOCUMENTS),
         "bm25_topk": (listed.format("score", "bm25_list"), BY_DOCUMENTS),
+        "bm25_topk_many": (listed.format("score", "bm25_list"), ("doc_chunks", "slice_queries")),
+        "index_dense_topk": (listed.format("round(distance, 6) AS distance", "dense_list"), BY_DOCUMENTS),
+        "index_upkeep": (
+            """
+SELECT 'dense' AS method, query_id, CAST(rank AS INTEGER) AS rank, id FROM dense_list
+UNION ALL SELECT 'bm25', query_id, CAST(rank AS INTEGER), id FROM bm25_list""",
+            BY_DOCUMENTS,
+        ),
+        "answer_top_documents": (
+            """
+SELECT query_id, rank - 1 AS place, id, text, round(rrf_score, 6) AS rrf_score, CAST(coalesce(d_rank, 999) AS INTEGER) AS dense_rank,
+  CAST(coalesce(b_rank, 999) AS INTEGER) AS bm25_rank, round(cross_encoder_score, 6) AS cross_encoder_score
+FROM reranked JOIN (SELECT query_id, id, rrf_score, d_rank, b_rank FROM fused) USING (query_id, id) JOIN chunks USING (id)""",
+            BY_DOCUMENTS,
+        ),
         "lexical_topk": (listed.format("round(score, 6) AS score", "lexical_list"), BY_DOCUMENTS),
         "embed_hashing": (digest("id"), BY_DOCUMENTS),
         "vector_index": (digest("id, ticket_id, issue_category, assigned_agent"), BY_DOCUMENTS),
@@ -571,7 +592,7 @@ SELECT CAST(label AS BIGINT) AS query_id, CAST(row_number() OVER (PARTITION BY l
         "rerank_udf": (
             """
 SELECT query_id, id, round(s, 6) AS cross_encoder_score,
-  CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(s, 6) DESC, id) AS INTEGER) AS rank
+  CAST(row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS INTEGER) AS rank
 FROM (SELECT query_id, id, coalesce(shared, 0) / CAST(n AS DOUBLE) AS s FROM fused LEFT JOIN shared USING (query_id, id)
       JOIN (SELECT query_id, count(*) AS n FROM asked GROUP BY query_id) USING (query_id))
 QUALIFY rank <= 5""",

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ticketlake.functions.contract import RULES, RawField
 from ticketlake.operators import chunking, layers, lineage, quality, retrieval, topk, validate
 from ticketlake.operators.bm25 import build_index
+from ticketlake.operators.index import RetrievalIndex
 from ticketlake.operators.merge import dedup_keep_last, keep_last_late
 from ticketlake.plans.pipeline import run_pipeline, summary_frame
 from ticketlake.schema import COLUMNS, NUMERIC
@@ -26,6 +27,8 @@ NOW = dt.datetime(2025, 1, 1)
 # the upsert batches overlap from the second to the first date
 TARGET_BEFORE, SOURCE_FROM = "1998-01-01", "1996-01-01"
 FAULT_FRACTION = 0.05
+# scores are shown with so many digits; ranks come from whole ones
+SCORE_DIGITS = 6
 
 
 # --- shared inputs -----------------------------------------------------------
@@ -52,6 +55,18 @@ def unvalidated(spark: SparkSession, sf: str, description: bool = False) -> Data
     return raw.withColumns({c: F.col(c).try_cast("double") for c in NUMERIC})
 
 
+def ticket_index(spark: SparkSession, sf: str) -> RetrievalIndex:
+    index = RetrievalIndex(spark, scratch_dir(spark, "index"))
+    index.update(chunking.ticket_text(silver_table(spark, sf)))
+    return index
+
+
+def document_index(spark: SparkSession, sf: str) -> RetrievalIndex:
+    index = RetrievalIndex(spark, scratch_dir(spark, "index"))
+    index.update(testdata.corpus(spark, sf))
+    return index
+
+
 def ticket_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return chunking.chunk(chunking.ticket_text(silver_table(spark, sf)))
 
@@ -386,12 +401,12 @@ def bm25_term_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 def bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
     found = retrieval.bm25_topk(document_chunks(spark, sf), testdata.benchmark_queries(spark, sf))
-    return found.select("query_id", "rank", "id", "score")
+    return found.select("query_id", "rank", "id", F.round("score", SCORE_DIGITS).alias("score"))
 
 
 def lexical_topk(spark: SparkSession, sf: str) -> DataFrame:
     found = retrieval.lexical_topk(document_chunks(spark, sf), testdata.benchmark_queries(spark, sf))
-    return found.select("query_id", "rank", "id", "score")
+    return found.select("query_id", "rank", "id", F.round("score", SCORE_DIGITS).alias("score"))
 
 
 def _vector_digest(df: DataFrame, *keep: str) -> DataFrame:
@@ -433,7 +448,7 @@ def dense_topk(spark: SparkSession, sf: str) -> DataFrame:
         F.col("vec_id").alias("doc_order"), F.lit(0).alias("chunk_offset"), F.col("embedding").alias("vector")
     )
     found = retrieval.dense_topk(corpus, queries, carry=[])
-    return found.select("query_id", "rank", F.col("doc_order").alias("vec_id"), "distance")
+    return found.select("query_id", "rank", F.col("doc_order").alias("vec_id"), F.round("distance", SCORE_DIGITS).alias("distance"))
 
 
 def dense_topk_gaps(spark: SparkSession, sf: str) -> DataFrame:
@@ -444,7 +459,30 @@ def dense_topk_gaps(spark: SparkSession, sf: str) -> DataFrame:
     corpus = rows.select(place.alias("doc_order"), F.lit(0).alias("chunk_offset"), odd.alias("vector"))
     queries = rows.where(place % 100 == 1).select(place.alias("query_id"), F.col("embedding").alias("vector"))
     found = retrieval.dense_topk(corpus, queries, carry=[])
-    return found.select("query_id", "rank", F.col("doc_order").alias("vec_id"), "distance")
+    return found.select("query_id", "rank", F.col("doc_order").alias("vec_id"), F.round("distance", SCORE_DIGITS).alias("distance"))
+
+
+def bm25_topk_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Three queries from the text of every document, against the stored index."""
+    index = document_index(spark, sf)
+    found = index.bm25_topk(testdata.slice_queries(spark, sf), retrieval.FUSED_K)
+    return index.with_texts(found).select("query_id", "rank", "id", F.round("score", SCORE_DIGITS).alias("score"))
+
+
+def index_dense_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The nearest chunks by the stored vectors, whose blocks are skipped by the triangle inequality."""
+    index = document_index(spark, sf)
+    found = index.dense_topk(testdata.benchmark_queries(spark, sf), retrieval.FUSED_K)
+    return index.with_texts(found).select("query_id", "rank", "id", F.round(-F.col("score"), SCORE_DIGITS).alias("distance"))
+
+
+def index_upkeep(spark: SparkSession, sf: str) -> DataFrame:
+    """Both lists after an update in which every tenth document is new, changed or gone."""
+    index, corpus = RetrievalIndex(spark, scratch_dir(spark, "index")), testdata.corpus(spark, sf)
+    index.update(testdata.corpus_before(corpus))
+    index.update(corpus)
+    ranks = index.hybrid_ranks(testdata.benchmark_queries(spark, sf), retrieval.FUSED_K)
+    return ranks.select("method", "query_id", "rank", "id")
 
 
 def _fused(spark: SparkSession, sf: str) -> DataFrame:
@@ -459,7 +497,7 @@ def rrf_fusion(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _reranked(top: DataFrame) -> DataFrame:
-    score = F.round("cross_encoder_score", topk.SCORE_DIGITS).alias("cross_encoder_score")
+    score = F.round("cross_encoder_score", SCORE_DIGITS).alias("cross_encoder_score")
     return top.select("query_id", "rank", "id", score)
 
 
@@ -488,7 +526,8 @@ def citations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _answers(spark: SparkSession, sf: str, lists: str) -> DataFrame:
-    answered = retrieval.answer_queries(ticket_chunks(spark, sf), testdata.subject_queries(spark), lists=lists)
+    corpus = ticket_index(spark, sf) if lists == "hybrid" else ticket_chunks(spark, sf)
+    answered = retrieval.answer_queries(corpus, testdata.subject_queries(spark), lists=lists)
     return answered.select("query_id", "query", "answer", F.size("citations").cast("bigint").alias("n_citations"))
 
 
@@ -500,6 +539,16 @@ def hybrid_answer(spark: SparkSession, sf: str) -> DataFrame:
     return _answers(spark, sf, "hybrid")
 
 
+def answer_top_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents of each answer with their fused scores and ranks."""
+    answered = retrieval.answer_queries(document_index(spark, sf), testdata.benchmark_queries(spark, sf))
+    each = answered.select("query_id", F.posexplode("top_documents").alias("place", "d"))
+    return each.select(
+        "query_id", F.col("place").cast("bigint").alias("place"), "d.id", "d.text", F.round("d.rrf_score", SCORE_DIGITS).alias("rrf_score"),
+        "d.dense_rank", "d.bm25_rank", F.round("d.cross_encoder_score", SCORE_DIGITS).alias("cross_encoder_score"),
+    )
+
+
 # --- pipeline ----------------------------------------------------------------
 
 
@@ -528,6 +577,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lineage_events, lineage_states, lineage_run_status, lineage_edges,
         rag_ticket_text, rag_chunks, rag_tokens, bm25_term_stats, bm25_topk, lexical_topk,
         embed_hashing, vector_index, dense_topk, rrf_fusion, rerank_overlap, rerank_udf,
+        bm25_topk_many, index_dense_topk, index_upkeep, answer_top_documents,
         answer_fallback, citations, grounded_answer, hybrid_answer,
         pipeline_summary,
     )

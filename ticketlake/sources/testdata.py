@@ -114,6 +114,21 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def corpus_before(documents: DataFrame) -> DataFrame:
+    """The corpus as it was: of each ten documents one not yet there and one with another text, and for every tenth one that is gone since."""
+    n = F.col("doc_order")
+    then = documents.where(n % 10 != 3).withColumn("full_text", F.when(n % 10 == 6, F.concat(F.lit("Before "), "full_text")).otherwise(F.col("full_text")))
+    since = documents.where(n % 10 == 9).withColumns({"doc_order": -1 - n, "ticket_id": F.concat(F.lit("OLD-"), n)})
+    return then.unionByName(since)
+
+
+def slice_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three stretches of 40 characters from the start of every document, as queries."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", F.explode(F.array(*map(F.lit, range(3)))).alias("i"))
+    query = F.substring(F.coalesce("text", F.lit("")), 1 + 40 * F.col("i"), F.lit(40))
+    return documents.select((F.col("doc_id") * 3 + F.col("i")).alias("query_id"), query.alias("query"))
+
+
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark items as search queries."""
     return table(spark, sf_dir, "benchmark").select(

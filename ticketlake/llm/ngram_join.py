@@ -543,13 +543,14 @@ def _grouped(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str
     labels = connected(links)
     left_ = buckets.select("k", "cls", "domain").join(met.select("k").distinct(), "k", "left_semi").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     left_ = written(left_.select("k", "cls", "domain", F.coalesce("component", "cls").alias("label")), "left")
-    late = _open_keys(left_, drawn, "").mapInArrow(_between(bands, False), "k long, domain int, a long, b long").select("a", "b")
-    late = written(late.distinct(), "between", WIDE)
+    late = _open_keys(left_, drawn, "_small").mapInArrow(_between(bands, False), "k long, domain int, a long, b long")
+    late = written(late.groupBy("a", "b").agg(F.min("domain").alias("domain")), "between", WIDE)
     discard(buckets, met, left_)
     release(spark)
+    late = _sketched(late, drawn, bands, ("",))
     late_pairs = late.join(stars, ["a", "b"], "left_anti").join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(_links(rows, people, late_pairs, shingle, percent))
-    discard(people, drawn, late, tried)
+    discard(people, drawn, tried)
     release(spark)
     groups = written(connected(links), "groups")
 

@@ -115,7 +115,10 @@ def test_pipeline_runs_and_runs_again(spark, folder):
     assert summary_frame(spark, first).first().documents_count == 180
     # the same tickets again: upserted, not added
     second = run_pipeline(spark, folder, tickets=tickets)
-    assert second["validate"]["total_processed"] == 400 and second["bronze"]["bronze_count"] == 180
+    # a run's totals are its own
+    assert second["validate"]["total_processed"] == 200 and second["bronze"]["bronze_count"] == 180
+    assert first["rag"]["index_changes"] == {"new": 180, "changed": 0, "gone": 0, "chunked": 180}
+    assert second["rag"]["index_changes"] == {"new": 0, "changed": 0, "gone": 0, "chunked": 0}
     assert second["silver"]["silver_count"] == 180
     log = lineage.LineageLog(spark, folder + "/lineage").read()
     assert lineage.run_status(log).groupBy("status").count().collect() == [("COMPLETE", 14)]
@@ -127,6 +130,19 @@ def test_pipeline_takes_records_and_generates_by_default(spark, folder):
     assert run_pipeline(spark, folder + "/b", csv_path=folder + "/none.csv")["validate"]["valid_count"] == 95
 
 
+def test_malformed_csv_lines_are_dead_letters_of_the_job(spark, folder):
+    from pathlib import Path
+
+    Path(folder, "in").mkdir()
+    lines = ["Ticket_ID,Customer_Name,Priority_Level", *[f"T{i},Name {i},Low" for i in range(20)], "B1,Bob,Low,EXTRA", "B2", '{"Ticket_ID": "B3"}']
+    Path(folder, "in", "a.csv").write_text("\n".join(lines) + "\n")
+    result = run_pipeline(spark, folder + "/job", csv_path=folder + "/in")
+    assert (result["validate"]["valid_count"], result["validate"]["invalid_count"]) == (20, 3)
+    dead = spark.read.json(folder + "/job/ingest/quarantine").collect()
+    assert {r.raw_record for r in dead} == {"B1,Bob,Low,EXTRA", "B2", '["{\\"Ticket_ID\\": \\"B3\\"}"]'}
+    assert {r.rejection_reason for r in dead} == {"Record is not a JSON object"}
+
+
 def test_gate_halts_the_pipeline(spark, folder):
     """All records rejected: silver is empty, nothing after the gate runs."""
     tickets = generate_tickets(spark, 10, 1.0).drop("fault")

@@ -134,6 +134,14 @@ TICKET_REASON = reason(
         "Satisfaction_Score": score_error('"Satisfaction_Score"'),
     }
 )
+# of CSV files without a score
+CSV_REASON = reason(
+    {
+        "Ticket_ID": required_error('"Ticket_ID"', "ticket_id"),
+        "Customer_Name": required_error('"Customer_Name"', "customer_name"),
+        "Priority_Level": priority_error(f"({priority_value(chr(34) + 'Priority_Level' + chr(34))})"),
+    }
+)
 PARTS["judged"] = f"SELECT *, {TICKET_REASON} AS rejection_reason FROM tickets"
 
 TYPED = """seq, "Ticket_ID", "Customer_Name", "Customer_Email", "Ticket_Subject", "Ticket_Description",
@@ -168,7 +176,7 @@ def json_value(every: int) -> str:
 
 PARTS["typed_values"] = f"""
 SELECT o_orderkey AS k, o_custkey AS c, {json_value(7)} AS email, {json_value(11)} AS spent,
-  {json_value(13)} AS score, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE {json_value(2)} END AS level
+  {json_value(13)} AS score, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE {json_value(17)} END AS level
 FROM (SELECT *, o_orderkey AS k FROM orders)""".replace("SELECT o_orderkey AS k, o_custkey", "SELECT k, o_custkey")
 
 PARTS["checks"] = """
@@ -366,7 +374,29 @@ def _final() -> dict[str, tuple[str, tuple[str, str] | None]]:
         "scan_csv_roundtrip": "SELECT seq, "
         + ", ".join(f"nullif({c}, '') AS {c}" for c in RAW_COLUMNS.split(", "))
         + " FROM tickets",
-        "produce_counts": "SELECT count(*) AS produced, CAST(0 AS BIGINT) AS failed, 'success' AS status FROM tickets",
+        "produce_counts": f"""
+SELECT count(*) FILTER (strlen(m) <= 2000) AS produced, count(*) FILTER (strlen(m) > 2000) AS failed, 'success' AS status
+FROM (SELECT {MESSAGE} AS m FROM tickets)""",
+        "pipeline_topics": """
+SELECT 'valid' AS topic, "Ticket_ID" AS ticket_id, NULL AS rejection_reason FROM valid WHERE seq % 211 <> 0
+UNION ALL
+SELECT 'dlq', NULL, CASE WHEN seq % 211 = 0 THEN 'Record is not a JSON object' ELSE rejection_reason END
+FROM judged WHERE rejection_reason IS NOT NULL OR seq % 211 = 0""",
+        "ingest_run_totals": """
+SELECT CAST(1 + seq % 3 AS BIGINT) AS run, count(*) AS total_processed, count(*) FILTER (rejection_reason IS NULL) AS valid_count,
+  count(rejection_reason) AS invalid_count FROM judged GROUP BY ALL""",
+        "pipeline_csv_faults": f"""
+WITH cells AS (SELECT *, coalesce("Ticket_ID", '') AS id, "Priority_Level" AS level FROM tickets),
+lines AS (SELECT *, CASE WHEN seq % 2 = 0 THEN id || ',' || "Customer_Name" || ',' || "Issue_Category" || ',' || level
+  ELSE level || ',' || id || ',' || "Customer_Name" END AS line, {CSV_REASON} AS reason FROM cells),
+bent AS (SELECT *, CASE WHEN seq % 10 IN (2, 3) THEN line || ',EXTRA' WHEN seq % 10 IN (6, 7) THEN regexp_replace(line, ',[^,]*$', '') END AS malformed FROM lines)
+SELECT CASE WHEN malformed IS NULL AND reason IS NULL THEN 'VALID' ELSE 'QUARANTINED' END AS outcome,
+  CASE WHEN malformed IS NULL AND reason IS NULL THEN "Ticket_ID" END AS "Ticket_ID",
+  CASE WHEN malformed IS NULL AND reason IS NULL THEN "Customer_Name" END AS "Customer_Name",
+  CASE WHEN malformed IS NULL AND reason IS NULL AND seq % 2 = 0 THEN "Issue_Category" END AS "Issue_Category",
+  CASE WHEN malformed IS NULL AND reason IS NULL THEN CASE WHEN level = '' THEN 'Medium' ELSE level END END AS "Priority_Level",
+  malformed AS line, CASE WHEN malformed IS NOT NULL THEN 'Record is not a JSON object' ELSE reason END AS rejection_reason
+FROM bent""",
         "stream_validate_valid": "SELECT * FROM valid WHERE seq % 211 <> 0",
         "stream_validate_dlq": f"""
 SELECT raw_record, CASE WHEN seq % 211 = 0 THEN 'Record is not a JSON object' ELSE rejection_reason END
@@ -437,13 +467,14 @@ FROM cases""",
         "contract_types": """
 SELECT k AS seq, CAST(k AS VARCHAR) AS "Ticket_ID", 'C' || c AS "Customer_Name",
   CASE WHEN email = '"text"' THEN 'text' END AS "Customer_Email",
-  CASE level WHEN 'null' THEN 'Medium' WHEN '7' THEN '7' END AS "Priority_Level",
+  CASE level WHEN 'null' THEN 'Medium' WHEN 'true' THEN 'True' WHEN '"text"' THEN 'text' WHEN '{"y": 1}' THEN '{"y":1}' ELSE level END AS "Priority_Level",
   CASE spent WHEN '7' THEN 7.0::DOUBLE WHEN 'true' THEN 1.0 END AS "Resolution_Time_Hours",
   CASE score WHEN 'true' THEN 1.0::DOUBLE END AS "Satisfaction_Score",
   nullif(concat_ws(' | ',
     CASE WHEN email IN ('7', 'true', '["x"]', '{"y": 1}') THEN 'Customer_Email: Input should be a valid string' END,
-    CASE WHEN level = '7' THEN 'Priority_Level: Value error, Priority_Level ''7'' not in allowed values: '
-      || '[''Low'', ''Medium'', ''High'', ''Critical'']' END,
+    CASE WHEN level <> 'null' THEN 'Priority_Level: Value error, Priority_Level '''
+      || CASE level WHEN 'true' THEN 'True' WHEN '"text"' THEN 'text' WHEN '{"y": 1}' THEN '{"y":1}' ELSE level END
+      || ''' not in allowed values: [''Low'', ''Medium'', ''High'', ''Critical'']' END,
     CASE WHEN spent IN ('["x"]', '{"y": 1}') THEN 'Resolution_Time_Hours: Input should be a valid number'
       WHEN spent = '"text"' THEN
       'Resolution_Time_Hours: Input should be a valid number, unable to parse string as a number' END,

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ticketlake.functions.contract import RULES, RawField
+from ticketlake.functions.contract import NOT_A_RECORD, RULES, RawField
 from ticketlake.operators import chunking, layers, lineage, quality, retrieval, topk, validate
 from ticketlake.operators.bm25 import build_index
 from ticketlake.operators.index import RetrievalIndex
@@ -19,7 +19,7 @@ from ticketlake.session import scratch_dir
 from ticketlake.sources import synthetic, testdata
 from ticketlake.sources.csv import read_tickets_csv, write_tickets_csv
 from ticketlake.sources.tables import SchemaMismatchError, VersionedTable
-from ticketlake.sources.topics import Topic, as_messages, produce
+from ticketlake.sources.topics import LARGEST, Topic, as_messages, produce, read_topic
 from ticketlake.streaming import ingest
 
 KEY = "Ticket_ID"
@@ -85,7 +85,8 @@ def scan_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def produce_counts(spark: SparkSession, sf: str) -> DataFrame:
-    topic = Topic(scratch_dir(spark, "topic"))
+    """A topic that refuses messages above 2,000 bytes: they are counted, the others go out."""
+    topic = Topic(scratch_dir(spark, "topic"), options={LARGEST: "2000"})
     sent = produce(as_messages(testdata.tickets(spark, sf), order="seq"), topic)
     return spark.createDataFrame([tuple(sent.values())], "produced bigint, failed bigint, status string")
 
@@ -142,6 +143,56 @@ def ingest_fallback_runs(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.read_valid(spark, paths).withColumnRenamed("_seq", "seq")
 
 
+def ingest_run_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs with a third of the tickets each: every run has its own totals."""
+    root = scratch_dir(spark, "totals")
+    topic, paths = Topic(f"{root}/raw"), ingest.IngestPaths.under(root)
+    tickets, totals = testdata.tickets(spark, sf), None
+    for i in range(3):
+        produce(as_messages(tickets.where(F.col("seq") % 3 == i), "seq"), topic)
+        run = ingest.ingest_or_fallback(spark, topic, None, paths)
+        own = ingest.ingest_summary(spark, paths, run).withColumn("run", F.lit(run).cast("bigint"))
+        totals = own if totals is None else totals.unionByName(own)
+    return totals
+
+
+def pipeline_topics(spark: SparkSession, sf: str) -> DataFrame:
+    """Both topics of a run whose last batch is replayed, as after a crash before its checkpoint."""
+    root = scratch_dir(spark, "topics")
+    topic, paths = Topic(f"{root}/raw"), ingest.IngestPaths.under(root)
+    sinks = {"valid": Topic(f"{root}/valid"), "dlq": Topic(f"{root}/dlq")}
+    produce(testdata.ticket_messages(spark, sf), topic)
+    ingest.ingest_available(spark, topic, paths, **sinks)
+    commits = spark._jvm.org.apache.hadoop.fs.Path(f"{paths.checkpoint}/commits")
+    system = commits.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [f.getPath() for f in system.listStatus(commits) if f.getPath().getName().isdigit()]
+    system.delete(max(done, key=lambda path: int(path.getName())), False)
+    ingest.ingest_available(spark, topic, paths, **sinks)
+    value, nothing = F.col("value"), F.lit(None).cast("string")
+    valid, dlq = (read_topic(spark, sinks[name]).withColumn("topic", F.lit(name)) for name in ("valid", "dlq"))
+    valid = valid.select("topic", F.get_json_object(value, "$.Ticket_ID").alias("ticket_id"), nothing.alias("rejection_reason"))
+    return valid.unionByName(dlq.select("topic", nothing.alias("ticket_id"), F.get_json_object(value, "$.rejection_reason").alias("rejection_reason")))
+
+
+def pipeline_csv_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole job over CSV files with two headers, and with surplus and missing cells in some lines."""
+    root = scratch_dir(spark, "csv-job")
+    rows = testdata.tickets(spark, sf, description=False)
+    for odd, cells in enumerate((["Ticket_ID", "Customer_Name", "Issue_Category", "Priority_Level"], ["Priority_Level", "Ticket_ID", "Customer_Name"])):
+        line = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in cells])
+        short = F.regexp_replace(line, ",[^,]*$", "")
+        bent = F.when((F.col("seq") % 10).isin(2, 3), F.concat(line, F.lit(",EXTRA"))).when((F.col("seq") % 10).isin(6, 7), short).otherwise(line)
+        lines = rows.where(F.col("seq") % 2 == odd).select(bent.alias("line")).mapInArrow(_headed(",".join(cells)), "line string")
+        lines.write.mode("append").text(f"{root}/in")
+    run_pipeline(spark, f"{root}/job", csv_path=f"{root}/in", now=NOW)
+    routed = ingest.read_routed(spark, ingest.IngestPaths.under(f"{root}/job/ingest"))
+    valid, malformed = F.col("outcome") == ingest.VALID, F.col(validate.REASON) == NOT_A_RECORD
+    cells = ["Ticket_ID", "Customer_Name", "Issue_Category", "Priority_Level"]
+    return routed.select(
+        "outcome", *[F.when(valid, F.col(c)).alias(c) for c in cells], F.when(malformed, F.col(validate.RAW)).alias("line"), validate.REASON
+    )
+
+
 def inject_faults(spark: SparkSession, sf: str) -> DataFrame:
     return synthetic.inject_faults(testdata.tickets(spark, sf), FAULT_FRACTION)
 
@@ -256,7 +307,8 @@ def pipeline_rerun(spark: SparkSession, sf: str) -> DataFrame:
     for sent in (tickets, changed):
         produce(as_messages(sent, "seq"), topic)
         run = ingest.ingest_or_fallback(spark, topic, None, paths)
-        layers.merge_silver(table, layers.bronze(ingest.last_valid(spark, paths, run), NOW), ingest.SEQ, NOW)
+        newest = layers.bronze(ingest.arrived_valid(spark, paths, run), NOW)
+        layers.merge_silver(table, newest, F.struct(*ingest.ARRIVAL), NOW, drop=("batch_id",))
     return _as_text(table.read().withColumnRenamed("_seq", "seq"), "_ingestion_time", "_processed_time")
 
 
@@ -568,6 +620,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for run in (
         scan_csv_roundtrip, produce_counts, stream_validate_valid, stream_validate_dlq,
         scan_csv_malformed, ingest_fallback_runs, inject_faults, pipeline_rerun,
+        ingest_run_totals, pipeline_topics, pipeline_csv_faults,
         validate_dlq_extra_columns, dense_topk_gaps,
         contract_rename, contract_types, contract_reasons,
         validate_valid, validate_dlq, validate_summary, dlq_sample,

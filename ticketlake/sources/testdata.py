@@ -181,7 +181,7 @@ def typed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(
         F.lit('{"Ticket_ID": '), k, F.lit(', "customer_name": "C'), F.col("o_custkey"),
         F.lit('", "Customer_Email": '), value(7),
-        F.when(k % 3 == 0, "").otherwise(F.concat(F.lit(', "Priority_Level": '), value(2))),
+        F.when(k % 3 == 0, "").otherwise(F.concat(F.lit(', "Priority_Level": '), value(17))),
         F.lit(', "Resolution_Time_Hours": '), value(11),
         F.lit(', "Satisfaction_Score": '), value(13),
         F.lit(', "unknown": 1}'),

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -260,3 +261,28 @@ def test_plain_number(spark):
     values = [4.5, 4.0, 0.0328, 0.00005, 2.67500001, None]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     assert [r[0] for r in df.select(plain_number(F.col("v"), 4)).collect()] == ["4.5", "4.0", "0.0328", "0.0001", "2.675", None]
+
+
+def test_models_are_loaded_once_for_each_worker(spark, folder):
+    """More batches than workers, but no more loads than workers."""
+    from pathlib import Path
+
+    loads = folder + "/loads"
+
+    def make_pairs():
+        with open(loads, "a") as log:
+            log.write("load\n")
+        return lambda queries, texts: np.array([float(len(q) + len(t)) for q, t in zip(queries, texts)])
+
+    rows = [(q, f"c{i}", "t" * (i % 7), 0.1) for q in range(50) for i in range(60)]
+    candidates = spark.createDataFrame(rows, "query_id bigint, id string, text string, rrf_score double").withColumn("rank", F.lit(1)).repartition(16)
+    queries = spark.createDataFrame([(q, "q" * (q % 3)) for q in range(50)], "query_id bigint, query string")
+    top = retrieval.rerank_model(candidates, queries, make_model=make_pairs, k=2).collect()
+    assert len(top) == 100 and all(r.cross_encoder_score == r.query_id % 3 + 6 for r in top)
+    assert 1 <= len(Path(loads).read_text().split()) <= 8 < 50
+
+    def make_texts():
+        return lambda texts: np.array([[len(t), t.count("t")] for t in texts], np.float32)
+
+    vectors = retrieval.embedded(candidates.select("text").distinct(), "text", make_texts).collect()
+    assert all(r.vector == [len(r.text), len(r.text)] for r in vectors) and len(vectors) == 7

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ticketlake.functions.models import pair_scorer, text_embedder
 from ticketlake.functions.text import plain_number, shared_words, tokens, words
 from ticketlake.functions.vectors import embedding, hashing_model
 from ticketlake.operators import topk
@@ -52,6 +53,14 @@ def vector_index(chunks: DataFrame, model: Callable | None = None) -> DataFrame:
     return listed.withColumn("vector", embedding(F.col("_terms"), model)).drop("_terms")
 
 
+def embedded(rows: DataFrame, text: str, make_model: Callable) -> DataFrame:
+    """Rows with ``vector`` from a model of texts that is loaded once for each Python worker.
+
+    Where chunks have a ``vector`` it is used as it is, and so are the vectors of queries given to a dense search.
+    """
+    return rows.withColumn("vector", text_embedder(make_model)(text))
+
+
 def query_vectors(queries: DataFrame, model: Callable | None = None) -> DataFrame:
     return queries.select("query_id", embedding(tokens(F.col("query")), model).alias("vector"))
 
@@ -174,10 +183,13 @@ def rerank_model(
     queries: DataFrame,
     model: Callable[[pd.Series, pd.Series], pd.Series] | None = None,
     k: int = TOP_K,
+    make_model: Callable | None = None,
 ) -> DataFrame:
     """Rerank with a pair model that maps query texts and chunk texts to scores.
 
-    Without one the share of shared words is the score, as a column expression. A model sees the few fused candidates of each query only, in Arrow batches.
+    Without one the share of shared words is the score, as a column expression. A model sees the few
+    fused candidates of each query only, in Arrow batches. ``make_model`` loads one that is costly, once for
+    each Python worker, and returns a function of two arrays.
     """
 
     @F.pandas_udf("double")
@@ -185,7 +197,10 @@ def rerank_model(
         return model(query, text)
 
     scored = candidates.drop("rank").join(queries, "query_id")
-    score = word_coverage(F.col("query"), F.col("text")) if model is None else predict("query", "text")
+    if make_model is not None:
+        score = pair_scorer(make_model)("query", "text")
+    else:
+        score = word_coverage(F.col("query"), F.col("text")) if model is None else predict("query", "text")
     scored = scored.withColumn("cross_encoder_score", score)
     return _best(scored, "cross_encoder_score", k)
 
@@ -272,6 +287,7 @@ def top_documents(
     queries: DataFrame,
     lists: str = "hybrid",
     pair_model: Callable | None = None,
+    make_pair_model: Callable | None = None,
     **options,
 ) -> DataFrame:
     """Search, fuse, rerank and fill: the ranked chunks behind each answer, from chunks or a stored index.
@@ -287,8 +303,8 @@ def top_documents(
         candidates = lexical_candidates(chunks, queries, **options)
     else:
         raise ValueError(f"unknown lists: {lists}")
-    if pair_model:
-        reranked = rerank_model(candidates, queries, pair_model)
+    if pair_model or make_pair_model:
+        reranked = rerank_model(candidates, queries, pair_model, make_model=make_pair_model)
     else:
         reranked = rerank_overlap(candidates, queries)
     spark = queries.sparkSession

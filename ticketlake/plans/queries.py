@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ticketlake.functions.contract import NOT_A_RECORD, RULES, RawField
+from ticketlake.functions.models import coverage_model
 from ticketlake.operators import chunking, layers, lineage, quality, retrieval, topk, validate
 from ticketlake.operators.bm25 import build_index
 from ticketlake.operators.index import RetrievalIndex
@@ -558,7 +559,8 @@ def rerank_overlap(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rerank_udf(spark: SparkSession, sf: str) -> DataFrame:
-    return _reranked(retrieval.rerank_model(_fused(spark, sf), testdata.benchmark_queries(spark, sf)))
+    """Rerank by a model that each Python worker loads once."""
+    return _reranked(retrieval.rerank_model(_fused(spark, sf), testdata.benchmark_queries(spark, sf), make_model=coverage_model))
 
 
 def answer_fallback(spark: SparkSession, sf: str) -> DataFrame:

@@ -241,3 +241,54 @@ def test_linked_sets_share_enough_keys():
             for d in domains:
                 sides = [(ngram_join.part_keys(s, d, bands.parts(d), bands.spare(d)), ngram_join.keys_shared(s, bands.parts(d), bands.spare(d))) for s in (x, y)]
                 assert len(np.intersect1d(sides[0][0], sides[1][0])) >= min(sides[0][1], sides[1][1])
+
+
+@pytest.mark.parametrize("text", ["x" * 200_000, "= " * 100_000, ("-" * 300 + "\n" + "key: value, " * 60) * 200])
+def test_runs_are_shipped_once(text):
+    """Runs of one byte, of a short period, and rules in records: at most four bytes go out for each."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    hashes, _, start, n, places = repeats.anchors(repeats.byte_values(data), np.array([0, len(data)]), 32, 200)
+    assert (n + 199).sum() <= 4 * len(data) and n.max() <= repeats.LONGEST
+    # all windows are there, each once
+    assert n.sum() == len(data) - 199 and (np.sort(start)[1:] > np.sort(start)[:-1]).all()
+    assert all(places[hashes == h].sum() > 1 for h in np.unique(hashes)[:50])
+
+
+@pytest.mark.parametrize("hot", [1 << 20, 5000])
+def test_long_runs_like_brute_force(spark, monkeypatch, hot):
+    """Runs of 100,000 bytes and words, alone and in several texts, among texts that share nothing."""
+    monkeypatch.setattr(repeats, "HOT_SYMBOLS", hot)
+    rng = random.Random(3)
+    alone = "".join(rng.choice("abcdefgh ") for _ in range(3000))
+    texts = ["x" * 100_000, "q" * 199, "= " * 50_000, "y" * 300 + alone, alone[:1500] + "y" * 250, "z" * 200, "z" * 201]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(2)
+    for remove, sequences, depth, join in (
+        (suffix_dedup.remove_repeats, [list(t.encode()) for t in texts], 200, bytes),
+        (rlz_dedup.remove_repeats, [WORD.findall(t.encode()) for t in texts], 35, b" ".join),
+    ):
+        got = {r.doc_id: (r[2], r.kept_sha256) for r in remove(docs).collect()}
+        for i, gone in enumerate(removed(sequences, depth)):
+            kept = join([s for j, s in enumerate(sequences[i]) if j not in gone])
+            assert got[i] == (len(gone), hashlib.sha256(kept).hexdigest())
+
+
+def test_factors_decide_what_is_looked_up(monkeypatch):
+    """Windows inside long factors are not looked up; with factors of one word all others are. The classes are the same."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abc") for _ in range(3))
+    shared = [word() for _ in range(200)]
+    texts = [" ".join([word() for _ in range(30)] + shared[10 * i : 10 * i + 120] + [word() for _ in range(40)]) for i in range(6)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    bounds = np.cumsum([0, *[len(t) for t in texts]])
+    windows = np.array([len(t.split()) - 34 for t in texts])
+    looked, given = [], rlz_dedup.inside_factors
+    monkeypatch.setattr(rlz_dedup, "inside_factors", lambda *a: looked.append(given(*a)[1].sum()) or given(*a))
+
+    def partition(classes):
+        return [np.flatnonzero(classes == c).tolist() for c in dict.fromkeys(classes.tolist())]
+
+    one = partition(rlz_dedup.solver(35)(data, bounds, windows))
+    monkeypatch.setattr(rlz_dedup, "parse", lambda best, same, other, firsts, windows, depth: (firsts, np.ones(len(firsts), np.int64)))
+    two = partition(rlz_dedup.solver(35)(data, bounds, windows))
+    assert one == two and any(len(c) > 1 for c in one)
+    assert looked[0] < looked[1] - 300 and looked[1] == windows.sum() - len(windows)

@@ -5,12 +5,14 @@ symbols of one text. Equal windows hold equal runs of ``gram`` symbols at equal
 so the run with the smallest hash of a window, its anchor, is the same run for both.
 The work goes in four steps, each ending in a written table:
 
-1. Every window names its anchor; neighbouring windows with one anchor are one row
-   (hash, text, first window, number of windows), about one row for half a window of text.
-2. Rows whose hash occurs once are dropped: their windows are unique.
+1. Every window names its anchor; neighbouring windows with one anchor hash are one row
+   (hash, text, first window, number of windows, number of places with that hash), about one
+   row for half a window of text. In a run of one symbol, or of a short period, the hash stays
+   while its place moves, so the run is one row, too; rows of more than ``LONGEST`` windows are cut.
+2. Rows whose hash has one place in all texts are dropped: their windows are unique.
 3. The stretch of text of each remaining row goes to the task of its hash, where a
    solver (the operator's method) puts equal windows in one class. Hashes with more than
-   ``HOT`` rows are dealt to several tasks; those also write one hash per class of
+   ``HOT`` rows or symbols are dealt to several tasks; those also write one hash per class of
    windows, and an aggregation finds the classes that other tasks hold too.
 4. The windows found come back to their texts by key, and the texts lose what they cover.
 
@@ -30,11 +32,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ticketlake.llm.common import byte_values, column_bytes, discard, gram_hashes, release, runs_of, word_hashes, word_spans, written
 
-#: Rows of one hash that go to one task.
-HOT = 4096
+#: Rows of one hash that go to one task, and their symbols; windows of one row.
+HOT, HOT_SYMBOLS, LONGEST = 4096, 1 << 20, 1 << 14
 #: Bytes of stretches that are solved at once.
 BLOCK = 4 << 20
 _PIECE = 1 << 22
+#: Bytes of stretches in one batch.
+_SHIPPED = 16 << 20
 _LOW = np.uint64((1 << 24) - 1)
 
 #: (bytes of all stretches, their bounds, windows in each) -> class of each window, in order
@@ -78,19 +82,30 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(values: np.ndarray, firsts: np.ndarray, gram: int, depth: int) -> tuple[np.ndarray, ...]:
-    """Of all windows inside texts: anchor hash, text, first window and number of windows of each row."""
+    """Of all windows inside texts: anchor hash, text, first window, number of windows and of places of each row."""
     width, n = depth - gram + 1, len(values) - depth + 1
+    nothing = tuple(np.zeros(0, np.int64) for _ in range(5))
     if n <= 0:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
+        return nothing
     hashes = gram_hashes(values, gram)
     place = _sliding_min((hashes & ~_LOW) | np.arange(len(hashes), dtype=np.uint64), width) & _LOW
     text = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))[:n]
     at = np.flatnonzero(firsts[1:][text] - np.arange(n) >= depth)
     if not len(at):
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
+        return nothing
     spot, text = place[at].astype(np.int64), text[at]
-    new = np.flatnonzero(np.concatenate(([True], (spot[1:] != spot[:-1]) | (text[1:] != text[:-1]))))
-    return hashes[spot[new]].view(np.int64), text[new], at[new] - firsts[text[new]], np.diff(np.append(new, len(at)))
+    hash_ = hashes[spot]
+    other = np.concatenate(([True], text[1:] != text[:-1]))
+    moves = other | np.concatenate(([True], spot[1:] != spot[:-1]))
+    new = np.flatnonzero(other | np.concatenate(([True], hash_[1:] != hash_[:-1])))
+    places, n = np.add.reduceat(moves.astype(np.int64), new), np.diff(np.append(new, len(at)))
+    start, hash_, text = at[new] - firsts[text[new]], hash_[new].view(np.int64), text[new]
+    pieces = -(-n // LONGEST)
+    if pieces.max() == 1:
+        return hash_, text, start, n, places
+    row = np.repeat(np.arange(len(n)), pieces)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    return hash_[row], text[row], start[row] + nth * LONGEST, np.minimum(n[row] - nth * LONGEST, LONGEST), -(-places[row] // pieces[row])
 
 
 def _anchor_rows(symbols: Symbols, gram: int, depth: int):
@@ -106,11 +121,11 @@ def _anchor_rows(symbols: Symbols, gram: int, depth: int):
                 for at in range(0, max(1, len(values)), _PIECE):
                     some = values[at : at + _PIECE + depth - 1]
                     here = np.clip(firsts - at, 0, len(some)) if len(values) > _PIECE else firsts
-                    hashes, text, start, n = anchors(some, here, gram, depth)
+                    hashes, text, start, n, places = anchors(some, here, gram, depth)
                     start = start + np.maximum(at - firsts[text], 0)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(hashes), pa.array(keys[first + text]), pa.array(start), pa.array(n.astype(np.int32), pa.int32())],
-                        ["h", "key", "start", "n"],
+                        [pa.array(hashes), pa.array(keys[first + text]), pa.array(start), *[pa.array(x.astype(np.int32)) for x in (n, places)]],
+                        ["h", "key", "start", "n", "places"],
                     )
 
     return run
@@ -143,11 +158,13 @@ def _stretches(symbols: Symbols, depth: int):
                     mine = slice(some, min(some + 50_000, int(edges[last])))
                     text = np.searchsorted(edges, np.arange(mine.start, mine.stop), "right") - 1
                     at = firsts[text - first] + start[mine]
-                    stretch = _gather(body, starts[at], ends[at + n[mine] + depth - 2])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[mine]), pa.array(salt[mine]), pa.array(split[mine]), pa.array(keys[text]), pa.array(start[mine]), pa.array(n[mine]), stretch],
-                        ["h", "salt", "split", "key", "start", "n", "stretch"],
-                    )
+                    low, high = starts[at], ends[at + n[mine] + depth - 2]
+                    for i, j in runs_of(np.concatenate(([0], np.cumsum(high - low))), _SHIPPED):
+                        part_ = slice(mine.start + i, mine.start + j)
+                        yield pa.RecordBatch.from_arrays(
+                            [*[pa.array(x[part_]) for x in (h, salt, split)], pa.array(keys[text[i:j]]), pa.array(start[part_]), pa.array(n[part_]), _gather(body, low[i:j], high[i:j])],
+                            ["h", "salt", "split", "key", "start", "n", "stretch"],
+                        )
 
     return run
 
@@ -289,11 +306,12 @@ def repeated_windows(docs: DataFrame, symbols: Symbols, depth: int, gram: int, s
     """Rows ``key``, ``windows``: for each text that has any, the ranges of starts of windows found elsewhere."""
     spark = docs.sparkSession
     rows = docs.select(row_key(doc_id, text).alias("key"), F.col(f"`{text}`").cast("string").alias("text")).where("text is not null")
-    found = written(rows.mapInArrow(_anchor_rows(symbols, gram, depth), "h long, key long, start long, n int"), "anchors")
+    found = written(rows.mapInArrow(_anchor_rows(symbols, gram, depth), "h long, key long, start long, n int, places int"), "anchors")
 
     # written, so that both sides of the join are plain shuffles and Spark splits hot hashes
-    often = written(found.groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "often")
-    parts = F.ceil(F.col("times") / HOT)
+    often = found.groupBy("h").agg(F.sum("places").alias("places"), F.count(F.lit(1)).alias("times"), F.sum(F.col("n") + depth).alias("symbols"))
+    often = written(often.where("places > 1").select("h", F.greatest(F.ceil(F.col("times") / HOT), F.ceil(F.col("symbols") / HOT_SYMBOLS)).alias("parts")), "often")
+    parts = F.col("parts")
     salt = F.pmod(F.xxhash64("key", "start"), parts).cast("int")
     again = found.join(often, "h").select(F.struct("h", salt.alias("salt"), (parts > 1).alias("split"), "start", "n").alias("row"), "key")
     # equal documents have equal rows, each of which is wanted once here and once for each copy below

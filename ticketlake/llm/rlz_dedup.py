@@ -2,13 +2,11 @@
 
 Stretches of text that may share a window meet in one task (see ``repeats``), where they
 are a reference block. The block's index is the order of its windows by their words. A
-stretch is factored against the block from left to right: a factor is the longest match,
-at most a window long, with any other place of the block. A factor of a window's length
-is a repeat; windows that begin inside a factor cross its boundary, and each of them is
-looked up in the index as well, since a greedy parse may cut a repeat in two.
-
-So the index alone decides: every window has its longest match there, and the factors
-only say which windows are looked up as factors and which as crossing a boundary.
+stretch is factored against the block from left to right: a factor is the match with another
+place of the block that the index gives, carried on word by word as far as it goes. All windows
+inside a factor of at least a window's length are repeats. A greedy parse may cut a repeat in two,
+so the windows that cross the boundary between two factors, which begin less than a
+window before it, are looked up in the index one by one.
 """
 
 from __future__ import annotations
@@ -22,10 +20,10 @@ from ticketlake.llm.repeats import WORDS, remove_windows, removed_count, repeate
 _GRAM = 8
 
 
-def longest_matches(codes: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each window: the words it shares from its start with some other window, and its class.
+def longest_matches(codes: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each window: the words it shares from its start with some other window, its class, and that other window.
 
-    The best match is a neighbour in the order of the index.
+    The best match is a neighbour in the order of the index. ``at`` is in order.
     """
     bits = max(1, int(codes.max(initial=0)).bit_length())
 
@@ -48,15 +46,34 @@ def longest_matches(codes: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.n
     place = np.empty(len(codes) + 1, np.int64)
     place[order] = np.arange(len(order))
     slot = place[at]
-    return best[slot], (np.cumsum(begins) - 1)[slot]
-
-
-def parse(best: np.ndarray, firsts: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Factors of all stretches at once: the window each begins at and its length in words."""
+    # the neighbour on the side where more words are shared
+    after = np.append(shared, -1)[slot] >= np.concatenate(([-1], shared))[slot]
+    beside = order[np.clip(slot + np.where(after, 1, -1), 0, len(order) - 1)]
+    return best[slot], (np.cumsum(begins) - 1)[slot], np.searchsorted(at, beside)
+
+
+def carried_on(same: np.ndarray, stop: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many windows from a and from b on are equal one by one; ``stop`` is the end of each window's stretch."""
+    n = np.zeros(len(a), np.int64)
+    open_ = np.arange(len(a))
+    while len(open_):
+        n[open_] += 1
+        x, y = a[open_] + n[open_], b[open_] + n[open_]
+        more = (x < stop[a[open_]]) & (y < stop[b[open_]])
+        open_, x, y = open_[more], x[more], y[more]
+        open_ = open_[same[x] == same[y]]
+    return n
+
+
+def parse(best: np.ndarray, same: np.ndarray, other: np.ndarray, firsts: np.ndarray, windows: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors of all stretches at once: the window each begins at and its length in words, however long."""
     at, stop = firsts.copy(), firsts + windows
+    ends = np.repeat(stop, windows)
     starts, lengths = [], []
     while len(at):
         length = np.maximum(best[at], 1)
+        long = np.flatnonzero(length >= depth)
+        length[long] += carried_on(same, ends, at[long], other[at[long]]) - 1
         starts.append(at)
         lengths.append(length)
         more = at + length < stop
@@ -64,19 +81,27 @@ def parse(best: np.ndarray, firsts: np.ndarray, windows: np.ndarray) -> tuple[np
     return np.concatenate(starts), np.concatenate(lengths)
 
 
+def inside_factors(factors: np.ndarray, lengths: np.ndarray, n: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of n windows: which lie inside a factor, and which cross the boundary behind one and have to be looked up."""
+    edge = np.zeros(n + 1, np.int64)
+    whole = np.maximum(lengths - depth + 1, 0)
+    np.add.at(edge, factors, whole > 0)
+    np.add.at(edge, np.minimum(factors + whole, n), -(whole > 0).astype(np.int64))
+    inside = np.cumsum(edge[:-1]) > 0
+    crossing = ~inside
+    crossing[factors] = False
+    return inside, crossing
+
+
 def solver(depth: int):
     def classes(data: np.ndarray, bounds: np.ndarray, windows: np.ndarray) -> np.ndarray:
         starts, ends, firsts = word_spans(data, bounds)
         _, codes = np.unique(word_hashes(data, starts, ends), return_inverse=True)
         begins = np.cumsum(windows) - windows
         at = np.arange(windows.sum()) + np.repeat(firsts[:-1] - begins, windows)
-        best, same = longest_matches(codes.astype(np.uint64), at, depth)
-        factors, lengths = parse(best, begins, windows)
-        repeat = np.zeros(len(at), bool)
-        repeat[factors[lengths >= depth]] = True
-        # windows that cross a boundary: those that begin inside a factor
-        crossing = np.ones(len(at), bool)
-        crossing[factors] = False
+        best, same, other = longest_matches(codes.astype(np.uint64), at, depth)
+        factors, lengths = parse(best, same, other, begins, windows, depth)
+        repeat, crossing = inside_factors(factors, lengths, len(at), depth)
         repeat[crossing] = best[crossing] >= depth
         # what repeats has the class of its words, all else one of its own
         return np.where(repeat, same, len(at) + np.arange(len(at)))

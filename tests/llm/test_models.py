@@ -5,6 +5,7 @@ import re
 import subprocess
 import sys
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,12 +141,33 @@ def test_field_carries_an_entity_through_the_document(spark):
     assert (got[0].n_email, got[0].n_ip, got[0].n_card, got[0].n_phone) == (1, 1, 0, 1)
     assert got[0].text.startswith("call <phone> or mail <email> from <ip> today") and got[500].text is None
     assert got[501].spans == "" and got[502].n_added == 0 and got[503].n_added == 0
-    base, every = pii.detect(["+1 (606) 555-8093 was called; 555-8093 was busy"], field)
-    assert set(base[0]) <= set(every[0])
+    # a shortened repeat is labelled through its skip link, and only through it
+    text = "+1 (606) 555-8093 was called; 555-8093 was busy, 606-555-8093 too, 555-8094 is an order"
+    base, every = pii.detect([text, text.replace("+1 (606)", "no")], field)
+    added = [[text[a:b] for k, a, b in every[0] if (k, a, b) not in base[0]]]
+    assert added == [["555-8093", "606-555-8093"]] and set(base[0]) < set(every[0]) and every[1] == base[1] == []
+    without = pii.Field(field.unary, field.chain, np.zeros_like(field.skip))
+    base, every = pii.detect([text], without)
+    assert every == base
     assert pii.find_pii(df.limit(0), field).count() == 0
     assert not pii.train(df.limit(0)).unary.any()
 
 
+def test_samples_are_bounded(spark):
+    """Rows without an id, or with one id, or copies of one row, are no larger a sample."""
+    rows = [(None, f"call +1 (606) 555-{8000 + i % 50}", "en") for i in range(3000)] + [(7, "same text here", "en")] * 2000
+    texts = frame(spark, rows)
+    pii_rows = texts.where("doc_id is null")
+    assert pii.train(pii_rows, sample=40).unary.any()
+    picked = language_id.pick(texts.selectExpr("lang", "text", "xxhash64(doc_id, 11) k"), 30, 256, 1 << 20)
+    assert picked.count() == 30 and picked.select("text").distinct().count() == 30
+    assert language_id.pick(texts.selectExpr("lang", "text", "xxhash64(doc_id, 11) k"), 30, 256, 100).count() < 10
+    many = spark.range(3000).selectExpr("concat('l', id) lang", "concat('text ', id) text", "id k")
+    assert language_id.pick(many, 5, 20, 1 << 20).select("lang").distinct().count() == 20
+    plan = language_id.pick(texts.selectExpr("lang", "text", "xxhash64(doc_id, 11) k"), 30, 256, 1 << 20)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan  # texts are filtered by what was found on hashes
+
+
 def test_messages_agree_with_enumeration():
     """On a graph without loops the messages are exact."""
     import itertools

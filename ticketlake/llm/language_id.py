@@ -285,21 +285,45 @@ def _posterior(rate: np.ndarray, scale: float) -> np.ndarray:
     return x / x.sum(axis=1, keepdims=True)
 
 
+#: Most languages that are learned, those with most rows, and bytes of all texts that teach.
+LANGUAGES, SAMPLE_BYTES = 256, 32 << 20
+
+
+def pick(rows: DataFrame, n: int, languages: int, sample_bytes: int) -> DataFrame:
+    """``lang``, ``text`` and ``place`` of up to ``n`` texts for each language, those with the smallest hashes.
+
+    Which ones is found on hashes alone: every task keeps its n smallest of each language and part
+    of the rows, then the parts meet. Texts are filtered by what was found, and only those
+    are moved, one of each. A language's texts stop where its share of ``sample_bytes`` is full.
+    """
+    known = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    known = written(known.select("lang"), "languages")
+    marks = rows.select("lang", "k", F.xxhash64("text").alias("t"), F.octet_length("text").alias("size")).join(F.broadcast(known), "lang")
+    salt = F.pmod(F.xxhash64("k", "t"), F.lit(64))
+    part = F.row_number().over(Window.partitionBy("lang", "salt").orderBy("k", "t"))
+    whole = Window.partitionBy("lang").orderBy("k", "t")
+    # equal rows are one, so that a text that is there very often takes one place
+    few = marks.withColumn("salt", salt).dropDuplicates(["lang", "salt", "k", "t"]).withColumn("nth", part).where(F.col("nth") <= n)
+    few = few.withColumn("place", F.row_number().over(whole)).where(F.col("place") <= n)
+    before = F.sum("size").over(whole.rowsBetween(Window.unboundedPreceding, -1))
+    share = sample_bytes / F.greatest(F.lit(1), F.lit(known.count()))
+    few = written(few.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < share).select("lang", "k", "t", "place"), "language-marks")
+    texts = rows.withColumn("t", F.xxhash64("text")).join(few, ["lang", "k", "t"])
+    return texts.groupBy("lang", "k", "t").agg(F.first("text").alias("text"), F.first("place").alias("place")).select("lang", "text", "place")
+
+
 def train(labelled: DataFrame, order: int = 4, sample: int = 400, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
-    """Model from rows with a language. ``sample`` documents per language are counted and
-    a quarter as many calibrate it; what reaches the driver is bounded by their texts' n-grams.
+    """Model from rows with a language. ``sample`` documents per language are counted and a
+    quarter as many calibrate it, of at most ``LANGUAGES`` languages and ``SAMPLE_BYTES`` of text
+    (a text that is begun counts whole); so what reaches the driver, the n-grams of these, is bounded.
 
-    Null languages and null texts teach nothing. None if nothing is left.
+    Null languages and null texts teach nothing; equal rows teach once. None if nothing is left.
     """
     order_key = F.xxhash64(F.col(f"`{doc_id}`"), F.lit(11))
     rows = labelled.where(F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull()).select(
         F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"), order_key.alias("k")
     )
-    # the smallest hashes of each language: k rows per language and task reach the shuffle
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("k", F.xxhash64("text")))
-    held_out = sample // 4
-    picked = rows.withColumn("place", place).where(F.col("place") <= sample + held_out)
-    picked = written(picked.select("lang", "text", "place"), "language-sample")
+    picked = written(pick(rows, sample + sample // 4, LANGUAGES, SAMPLE_BYTES), "language-sample")
     # every fifth place calibrates, so a language with few documents still teaches
     teach, held = picked.where("place % 5 <> 0"), picked.where("place % 5 = 0")
     counted = (

@@ -9,7 +9,10 @@ messages run over the loopy graph of all documents of a batch at once. Each word
 joined to the next of its equals only, so the graph is linear in the text.
 
 Potentials are trained by pseudo-likelihood on the rules' own spans in a bounded
-sample of documents; form features are randomly blanked so that context gets weight.
+sample of documents; form features are randomly blanked so that context gets weight. Rules catch
+an equal word by its form as well, so the sample also teaches on repeats that they cannot
+catch: shortened forms of a span's words, labelled like the span where a skip link leads to
+it, and not personal data where none does.
 Spans that the field adds must be near certain and never touch a rule's span.
 """
 
@@ -20,6 +23,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +40,8 @@ _DIGITS = re.compile(r"[0-9]+")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SIGN = re.compile(r"[0-9@]")
 _STATES = len(KINDS) + 1
+#: Potential of a state that is given, and against all others.
+_GIVEN = 15.0
 
 Span = tuple[int, int, int]  # kind, start, end
 
@@ -109,7 +115,11 @@ class Graph:
     skip: np.ndarray  # pairs of equal or similar words
 
 
-def build_graph(texts: list[str]) -> Graph:
+def build_graph(texts: list[str], base: list[list[Span]] | None = None) -> Graph:
+    """Words with a digit or "@", each linked to the word before that says the same, and to the last one in a rule's span.
+
+    The last word of a rule's span also stands for the whole span's last seven digits.
+    """
     spans: list[tuple[int, int, int]] = []
     forms: list[list[float]] = []
     chain: list[tuple[int, int]] = []
@@ -118,6 +128,9 @@ def build_graph(texts: list[str]) -> Graph:
         if not _SIGN.search(text):
             continue
         last: dict[str, int] = {}
+        sure: dict[str, int] = {}
+        inside = [(start, end) for _, start, end in base[d]] if base else []
+        whole = {end: "".join(_DIGITS.findall(text[start:end])) for _, start, end in base[d]} if base else {}
         before = -2
         for i, m in enumerate(_WORD.finditer(text)):
             if not _SIGN.search(m.group()):
@@ -134,12 +147,17 @@ def build_graph(texts: list[str]) -> Graph:
             before = i
             digits = "".join(_DIGITS.findall(word))
             keys = ["=" + word.lower()]
-            if len(digits) >= 7:
-                keys.append("~" + digits[-7:])
+            for number in dict.fromkeys((digits, whole.get(at + len(word), ""))):
+                if len(number) >= 7:
+                    keys.append("~" + number[-7:])
+            given = any(start < at + len(word) and at < end for start, end in inside[bisect_left(inside, (at - 100, 0)) : bisect_left(inside, (at + len(word), 0))])
             for key in keys:
-                if key in last:
-                    skip.append((last[key], node))
+                for known in (last, sure):
+                    if key in known:
+                        skip.append((known[key], node))
                 last[key] = node
+                if given:
+                    sure[key] = node
     pairs = lambda x: np.array(sorted(set(x)), np.int64).reshape(-1, 2)
     return Graph(spans, np.array(forms, np.float64).reshape(-1, _FORM), pairs(chain), pairs(skip))
 
@@ -151,9 +169,13 @@ class Field:
     skip: np.ndarray  # symmetric
 
 
-def marginals(graph: Graph, field: Field, rounds: int = 8) -> np.ndarray:
-    """Approximate probability of each state of each word, by sum-product messages."""
+def marginals(graph: Graph, field: Field, rounds: int = 8, known: np.ndarray | None = None) -> np.ndarray:
+    """Approximate probability of each state of each word, by sum-product messages; ``known`` has states above 0 that are given."""
     unary = graph.form @ field.unary
+    if known is not None:
+        given = np.flatnonzero(known)
+        unary[given] = -_GIVEN
+        unary[given, known[given]] = _GIVEN
     pairs = np.concatenate((graph.chain, graph.chain[:, ::-1], graph.skip, graph.skip[:, ::-1]))
     n, k = len(graph.chain), len(graph.skip)
     tables = np.stack([field.chain, field.chain.T, field.skip, field.skip.T])
@@ -174,6 +196,20 @@ def marginals(graph: Graph, field: Field, rounds: int = 8) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
+def _reached(graph: Graph, known: np.ndarray) -> np.ndarray:
+    """Which words hang together with one whose state is given, by chains and skip links."""
+    pairs = np.concatenate((graph.chain, graph.skip))
+    reached = known > 0
+    while len(pairs):
+        more = reached.copy()
+        more[pairs[reached[pairs[:, 0]], 1]] = True
+        more[pairs[reached[pairs[:, 1]], 0]] = True
+        if (more == reached).all():
+            break
+        reached = more
+    return reached
+
+
 def _gold(graph: Graph, base: list[list[Span]]) -> np.ndarray:
     """State of each word by the rules: 0 none, else kind + 1."""
     out = np.zeros(len(graph.spans), np.int64)
@@ -191,36 +227,70 @@ def _gold(graph: Graph, base: list[list[Span]]) -> np.ndarray:
 # --- training ----------------------------------------------------------------------
 
 
+def short_forms(word: str) -> list[str]:
+    """How a number may be said again: its last seven or ten digits, plain or parted, and the word as it is."""
+    digits = "".join(_DIGITS.findall(word))
+    out = [word]
+    if len(digits) >= 7:
+        out += [digits[-7:], f"{digits[-7:-4]}-{digits[-4:]}"]
+    if len(digits) >= 10:
+        out += [digits[-10:], f"{digits[-10:-7]}-{digits[-7:-4]}-{digits[-4:]}"]
+    return out
+
+
+def _repeats(texts: list[str], base: list[list[Span]]) -> np.ndarray:
+    """Cases of words that say a span again: linked ones have its state, the same words without a link have none."""
+    rows = []
+    for text, spans in zip(texts, base):
+        for kind, a, b in spans:
+            word = text[a:b]
+            if " " in word:
+                word = "".join(_DIGITS.findall(word))
+            if not ("@" in word or len("".join(_DIGITS.findall(word))) >= 7):
+                continue
+            far = np.zeros(_STATES)
+            far[kind + 1] = 1
+            alone = np.zeros(2 * _STATES)
+            for form in map(_form, short_forms(word)):
+                rows.append(np.concatenate((form, alone, far, [kind + 1])))
+            for form in map(_form, short_forms(word)[1:]):
+                rows.append(np.concatenate((form, alone, np.zeros(_STATES), [0])))
+    return np.array(rows).reshape(-1, _FORM + 3 * _STATES + 1)
+
+
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of equal training cases: form, neighbours' states, state."""
     for batch in batches:
         texts = [t or "" for t in batch.column(0).to_pylist()]
-        graph = build_graph(texts)
+        base = [base_spans(t) for t in texts]
+        graph = build_graph(texts, base)
         if not graph.spans:
             continue
-        gold = _gold(graph, [base_spans(t) for t in texts])
+        gold = _gold(graph, base)
         left, right, far = (np.zeros((len(gold), _STATES)) for _ in range(3))
         for a, b in graph.chain:
             left[b, gold[a]], right[a, gold[b]] = 1, 1
         for a, b in graph.skip:
             far[a, gold[b]] += 1
             far[b, gold[a]] += 1
-        rows, counts = np.unique(np.hstack((graph.form, left, right, np.minimum(far, 2), gold[:, None])), axis=0, return_counts=True)
+        cases = np.hstack((graph.form, left, right, np.minimum(far, 2), gold[:, None]))
+        rows, counts = np.unique(np.vstack((cases, _repeats(texts, base))), axis=0, return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.list_(pa.float64())), pa.array(counts)], ["case", "n"])
 
 
 def train(docs: DataFrame, sample: int = 4000, doc_id: str = "doc_id", text: str = "text") -> Field:
-    """Potentials from about ``sample`` documents, those with the smallest hash of their ids.
+    """Potentials from at most ``sample`` documents, those with the smallest hash of id and text.
 
+    Rows with equal id and text count once, so rows without an id, or with one, are no larger a sample.
     The cases are counted by Spark; the driver gets distinct cases, of which there are
     as many as forms. Without any candidate word the field is all zeros and adds nothing.
     """
-    key = F.xxhash64(F.col(f"`{doc_id}`"), F.lit(17))
-    last = docs.select(key.alias("k")).orderBy("k").limit(sample).agg(F.max("k")).first()[0]
+    key = F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"), F.lit(17))
+    last = docs.select(key.alias("k")).distinct().orderBy("k").limit(sample).agg(F.max("k")).first()[0]
     field = Field(np.zeros((_FORM, _STATES)), np.zeros((_STATES, _STATES)), np.zeros((_STATES, _STATES)))
     if last is None:
         return field
-    picked = docs.where(key <= last).select(F.col(f"`{text}`"))
+    picked = docs.where(key <= last).groupBy(key.alias("k")).agg(F.first(F.col(f"`{text}`")).alias("text")).select("text")
     cases = picked.mapInArrow(_training_rows, "case array<double>, n long").groupBy("case").agg(F.sum("n").alias("n")).collect()
     if not cases:
         return field
@@ -256,20 +326,25 @@ def detect(texts: list[str], field: Field) -> tuple[list[list[Span]], list[list[
     """The rules' spans and all spans of each text."""
     base = [base_spans(t) for t in texts]
     every = [list(b) for b in base]
-    graph = build_graph(texts)
+    graph = build_graph(texts, base)
     if not graph.spans or not field.unary.any():
         return base, every
-    p = marginals(graph, field)
-    states, sure = p.argmax(axis=1), p.max(axis=1)
-    taken = {d: sorted((s, e) for _, s, e in base[d]) for d in {s[0] for s in graph.spans}}
+    # the rules' words are given; only what hangs together with one of them may be labelled
+    known = _gold(graph, base)
+    p = marginals(graph, field, known=known)
+    states, sure = np.where(_reached(graph, known), p.argmax(axis=1), 0), p.max(axis=1)
+    # starts of the rules' spans, and the largest end of all up to each
+    taken = {}
+    for d in {s[0] for s in graph.spans}:
+        spans = sorted((s, e) for _, s, e in base[d])
+        taken[d] = [s for s, _ in spans], list(accumulate((e for _, e in spans), max))
     follows = set(map(tuple, graph.chain.tolist()))
     held: tuple[int, int] | None = None  # the node and kind that a span may go on from
     for i, (d, a, b) in enumerate(graph.spans):
         state = int(states[i])
-        spans = taken[d]
-        # rules of different kinds may overlap, so look back past equal starts
-        at = bisect_left(spans, (b, 0))
-        free = all(end <= a for _, end in spans[max(0, at - 8) : at])
+        starts, ends = taken[d]
+        at = bisect_left(starts, b)
+        free = not at or ends[at - 1] <= a
         if not state or sure[i] < SURE or not free:
             held = None
             continue

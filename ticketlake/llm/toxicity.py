@@ -189,16 +189,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, trees: int =
     two fifths the lexicon, the same share the trees and a fifth the isotonic curve,
     so that no part trusts what another has already seen. With only one label present
     every text gets that label's rate. Null texts count as empty, null labels and ids
-    teach nothing.
+    teach nothing. Of several labels of one id the larger counts, of several texts the first in order.
     """
     marks = labels.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{label}`").cast("int").alias("label"))
-    marks = marks.where(F.col("_id").isNotNull() & F.col("label").isin(0, 1)).withColumn("k", F.xxhash64("_id", F.lit(5)))
-    last = marks.select("k").orderBy("k").limit(sample).agg(F.max("k")).first()[0]
-    if last is None:
+    marks = marks.where(F.col("_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("_id").agg(F.max("label").alias("label"))
+    few = written(marks.withColumn("k", F.xxhash64("_id", F.lit(5))).orderBy("k", "_id").limit(sample), "toxic-labels")
+    if few.isEmpty():
         return Model(Lexicon(), None, None, 0.0)
-    texts = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("text"))
-    few = F.broadcast(marks.where(F.col("k") <= last))  # ``sample`` rows
-    picked = written(texts.join(few, "_id").select("text", "label", "k"), "toxic-sample")
+    texts = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    # ``sample`` ids, each once, however often it stands in the documents
+    picked = texts.join(F.broadcast(few), "_id").groupBy("_id").agg(F.min("text").alias("text"), F.first("label").alias("label"), F.first("k").alias("k"))
+    picked = written(picked.select("text", "label", "k"), "toxic-sample")
     part = F.pmod(F.xxhash64("k"), F.lit(5))
     lexicon = learn_lexicon(picked.where(part < 2))
     table = written(with_features(picked.where(part >= 2).withColumn("part", part), lexicon), "toxic-features")

@@ -19,8 +19,8 @@ p / 100 and sizes a, b leave at most (100 - p) (a + b) / (100 + p) such shingles
   compared, by sketches and then by texts. So every link between components is found,
   and no group emits all its pairs. A large bucket is dealt to blocks of bounded bytes, and
   only its members outside its largest component go to all of them. There each first meets
-  the nearest member of another component only; what is linked then is one component, and all
-  pairs that are still allowed between components are compared after that.
+  the nearest member of another component only, in a few of its keys; what is linked then is one
+  component, and all pairs that are still allowed between components are compared after that.
 
 Sets are known by a 64-bit hash, which is checked against a second one; if two different
 sets collide the hash is salted anew.
@@ -44,6 +44,8 @@ _RUN = 1 << 20
 WIDE = 250
 #: Members of a bucket whose pairs are listed before their sketches are looked at.
 FEW = 64
+#: Large buckets in which a class looks for its nearest, before all that is left is compared.
+ASKED = 8
 #: Bytes of sketches in one block of a larger bucket (a row counts as 1 KB at least), and rows and bytes that a task holds before it compares.
 BLOCK_BYTES = 4 << 20
 _HELD_ROWS, _HELD_BYTES = 5_000, 8 << 20
@@ -316,14 +318,15 @@ def _blocks(members: DataFrame, block_bytes: int) -> DataFrame:
     return rows.select(*rest, F.explode(place).alias("_place")).select(*rest, "_place.p", "_place.q", "_place.side")
 
 
-def _between(bands: Bands, nearest: bool, cells: int = 1 << 21):
+def _between(bands: Bands, nearest: bool, marks: bool = False, cells: int = 1 << 21):
     """Rows of mixed keys, ordered by key and pair of blocks -> pairs of classes in different components that the sketches allow.
 
-    With ``nearest`` each asking row gives one pair only, with the row that its sketch is nearest to.
+    With ``nearest`` each asking row gives one pair only, with the row that its sketch is nearest to. With
+    ``marks`` only the rows (key, class) are given that are in some pair.
     """
 
     def pairs(rows: dict[str, np.ndarray], bits: np.ndarray, domain: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        cls, label, n, side, opens = rows["cls"], rows["label"], rows["n"], rows["side"], rows["opens"] == domain
+        cls, label, n, side, opens, asks = rows["cls"], rows["label"], rows["n"], rows["side"], rows["opens"] == domain, rows["asks"]
         bits = bits.view(np.uint64).reshape(len(cls), -1)
         asking, answering = np.flatnonzero(side & _ASKS), np.flatnonzero(side & _ANSWERS)
         high_step = max(1, min(256, cells // bits.shape[1]))
@@ -334,11 +337,13 @@ def _between(bands: Bands, nearest: bool, cells: int = 1 << 21):
             for j in range(0, len(answering), high_step):
                 right = answering[j : j + high_step]
                 low, high = np.minimum(n[left][:, None], n[right][None, :]), np.maximum(n[left][:, None], n[right][None, :])
-                fine = (label[left][:, None] != label[right][None, :]) & (100 * low >= bands.percent * high)
+                fine = (label[left][:, None] != label[right][None, :]) & (100 * low >= bands.percent * high) & asks[left][:, None]
                 # two documents of the domain's second band meet in the next domain
                 fine &= opens[left][:, None] | opens[right][None, :]
                 # two outside the largest component are asked from both sides
                 fine &= ((side[right] & _OUTSIDE) == 0)[None, :] | (cls[left][:, None] < cls[right][None, :])
+                if nearest:  # each asks for itself, so neither side is left out
+                    fine = (label[left][:, None] != label[right][None, :]) & (100 * low >= bands.percent * high) & asks[left][:, None] & (opens[left][:, None] | opens[right][None, :])
                 if not fine.any():
                     continue
                 far = np.bitwise_count(bits[left][:, None, :] ^ bits[right][None, :, :]).sum(axis=2, dtype=np.int64)
@@ -360,16 +365,23 @@ def _between(bands: Bands, nearest: bool, cells: int = 1 << 21):
         def solved(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = pa.Table.from_batches(held)
             edges = np.append(_changes(block), block.num_rows)
-            columns = {c: block.column(c).to_numpy() for c in ("cls", "label", "n", "opens", "side")}
+            columns = {c: block.column(c).to_numpy() for c in ("cls", "label", "n", "opens", "side", "asks")}
             k, domain = block.column("k").to_numpy(), block.column("domain").to_numpy()
             data, bounds = column_bytes(block.column("sketch"))
             found: list[np.ndarray] = []
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
                 for x, y in pairs({c: v[a:b] for c, v in columns.items()}, data[bounds[a] : bounds[b]], int(domain[a])):
-                    found.append(np.stack((np.full(len(x), domain[a]), np.full(len(x), k[a] if nearest else 0), np.minimum(x, y), np.maximum(x, y))))
-            if found:
-                domains, keys, x, y = (np.ascontiguousarray(v) for v in np.unique(np.concatenate(found, axis=1), axis=1))
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(domains.astype(np.int32)), pa.array(x), pa.array(y)], ["k", "domain", "a", "b"])
+                    if marks:
+                        some = np.unique(np.concatenate((x, y)))
+                        found.append(np.stack((np.full(len(some), k[a]), some)))
+                        continue
+                    found.append(np.stack((np.minimum(x, y), np.maximum(x, y), np.full(len(x), domain[a]))))
+            if found and marks:
+                keys, cls = (np.ascontiguousarray(v) for v in np.unique(np.concatenate(found, axis=1), axis=1))
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(cls)], ["k", "cls"])
+            elif found:
+                x, y, domains = (np.ascontiguousarray(v) for v in np.unique(np.concatenate(found, axis=1), axis=1))
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(domains.astype(np.int32))], ["a", "b", "domain"])
 
         held: list[pa.RecordBatch] = []
         for batch in batches:
@@ -411,25 +423,32 @@ def _own(size: str = "") -> Column:
 
 def _sketched(pairs: DataFrame, drawn: DataFrame, bands: Bands, sizes: tuple[str, ...] = ("_small", "")) -> DataFrame:
     """Of pairs ``a``, ``b`` of a ``domain`` those whose sketches let them be linked: small ones first, then whole ones."""
-    steps = []
+    spark = drawn.sparkSession
     for size in sizes:
+        # the sketches that are asked for, so that all of them move once at most, and none where few are asked for
+        asked = written(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "asked")
+        some = written(drawn.select("cls", "n", "opens", f"own{size}", f"below{size}").join(asked, "cls", "left_semi"), "asked-sketches")
+        both = pairs
         for x in "ab":
-            one = drawn.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), "opens", f"own{size}", f"below{size}")
-            pairs = pairs.join(one, x).withColumn(f"s_{x}", _own(size)).drop("opens", f"own{size}", f"below{size}")
-        pairs = pairs.select("a", "b", "domain", "n_a", "n_b", "s_a", "s_b").mapInArrow(_allowed(bands), "a long, b long, domain int")
-        pairs = written(pairs, "sketched", WIDE)
-        steps.append(pairs)
-    discard(*steps[:-1])
-    release(drawn.sparkSession)
-    return pairs.select("a", "b")
-
-
-def _open_keys(members: DataFrame, drawn: DataFrame, size: str) -> DataFrame:
-    """Rows ``k``, ``cls``, ``domain``, ``label`` of mixed keys with their sketches, dealt to blocks in order."""
+            one = some.withColumnsRenamed({"cls": x, "n": f"n_{x}"})
+            both = both.join(one, x).withColumn(f"s_{x}", _own(size)).drop("opens", f"own{size}", f"below{size}")
+        both = both.select("a", "b", "domain", "n_a", "n_b", "s_a", "s_b").mapInArrow(_allowed(bands), "a long, b long, domain int")
+        before, pairs = pairs, written(both, "sketched", WIDE)
+        discard(asked, some)
+        if size != sizes[0]:
+            discard(before)
+        del both
+        release(spark)
+    return pairs
+
+
+def _open_keys(members: DataFrame, drawn: DataFrame, size: str = "_small") -> DataFrame:
+    """Rows ``k``, ``cls``, ``domain``, ``label``, ``asks`` of mixed keys with their sketches, dealt to blocks in order."""
     tops = members.groupBy("k", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("k").agg(F.sum("c").alias("members"), F.max(F.struct("c", "label")).alias("t"))
     tops = written(tops.select("k", "members", F.col("t.label").alias("top"), F.col("t.c").alias("topped")).where("topped < members"), "tops")
     some = drawn.select("cls", "n", "opens", f"own{size}", f"below{size}")
-    rows = members.join(tops, "k").join(some, "cls").select("k", "cls", "domain", "label", "n", "opens", _own(size).alias("sketch"), "members", "top", "topped")
+    rows = members.join(tops, "k").join(some, "cls")
+    rows = rows.select("k", "cls", "domain", "label", "asks", "n", "opens", _own(size).alias("sketch"), "members", "top", "topped")
     return _blocks(rows, BLOCK_BYTES).repartition("k", "p", "q").sortWithinPartitions("k", "p", "q")
 
 
@@ -505,7 +524,7 @@ def _grouped(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str
     discard(fat)
     release(spark)
     stars = buckets.where("cls <> lead").groupBy(F.col("lead").alias("a"), F.col("cls").alias("b")).agg(F.min("domain").alias("domain"))
-    stars = _sketched(stars, drawn, bands)
+    stars = _sketched(stars, drawn, bands).select("a", "b")
     near = _links(rows, people, stars, shingle, percent)
     release(spark)
     labels = connected(near)
@@ -529,25 +548,34 @@ def _grouped(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str
     close = close.agg(F.min("domain_a").alias("domain"), F.count(F.lit(1)).alias("met"), F.min(F.least("shared_a", "shared_b")).alias("shared"))
     close = written(close.where("met >= shared").drop("met", "shared"), "close")
     release(spark)
-    close = _sketched(close, drawn, bands)
-    # large buckets: each member of a smaller component meets the nearest of another one, by small sketches; so
-    # groups of near copies that stars have left in parts grow together, and one pair of members is one row
-    many = marked.join(mixed.where("many").select("k"), "k")
-    met = written(_open_keys(many, drawn, "_small").mapInArrow(_between(bands, True), "k long, domain int, a long, b long"), "nearest", WIDE)
+    close = _sketched(close, drawn, bands, ("_small",))
+    # large buckets, first: in the largest ones of its keys each class meets the nearest of another component, by
+    # small sketches; so groups of near copies that stars have left in parts grow together, at a few rows a class
+    many = written(marked.join(mixed.where("many").select("k"), "k").select("k", "cls", "domain", "label"), "many")
     discard(marked, mixed)
+    sizes = written(many.groupBy("k").agg(F.count(F.lit(1)).alias("members")), "key-sizes")
+    largest = F.row_number().over(Window.partitionBy("cls").orderBy(F.desc("members"), "k"))
+    asked = many.select("k", "cls").join(sizes, "k").withColumn("nth", largest).where(F.col("nth") <= ASKED)
+    asked = written(asked.select("cls", "k"), "asked")
+    some = many.join(asked.select("k").distinct(), "k", "left_semi").join(asked.withColumn("asks", F.lit(True)), ["cls", "k"], "left")
+    met = _open_keys(some.withColumn("asks", F.coalesce("asks", F.lit(False))), drawn).mapInArrow(_between(bands, True), "a long, b long, domain int")
+    met = written(met.groupBy("a", "b").agg(F.min("domain").alias("domain")), "nearest", WIDE)
+    discard(sizes, asked)
     release(spark)
-    tried = _sketched(met.groupBy("a", "b").agg(F.min("domain").alias("domain")), drawn, bands, ("",)).unionByName(close)
-    tried = written(tried.distinct().join(stars, ["a", "b"], "left_anti"), "tried")
+    tried = _sketched(met.unionByName(close).groupBy("a", "b").agg(F.min("domain").alias("domain")), drawn, bands, ("",))
+    tried = written(tried.select("a", "b").join(stars, ["a", "b"], "left_anti"), "tried")
     links = near.unionByName(_links(rows, people, tried, shingle, percent))
-    # where such pairs were met, all that are left between components are listed
-    labels = connected(links)
-    left_ = buckets.select("k", "cls", "domain").join(met.select("k").distinct(), "k", "left_semi").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    left_ = written(left_.select("k", "cls", "domain", F.coalesce("component", "cls").alias("label")), "left")
-    late = _open_keys(left_, drawn, "_small").mapInArrow(_between(bands, False), "k long, domain int, a long, b long")
-    late = written(late.groupBy("a", "b").agg(F.min("domain").alias("domain")), "between", WIDE)
-    discard(buckets, met, left_)
+    # then, in all that still hold several components, the members that small sketches let be linked with one of another
+    # component, and of these every pair that whole sketches allow
+    labels = written(connected(links), "labels")
+    left_ = many.select("k", "cls", "domain").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+    left_ = written(left_.select("k", "cls", "domain", F.coalesce("component", "cls").alias("label"), F.lit(True).alias("asks")), "left")
+    marked = written(_open_keys(left_, drawn).mapInArrow(_between(bands, False, marks=True), "k long, cls long").distinct(), "marked", WIDE)
+    few_left = written(left_.join(marked, ["k", "cls"], "left_semi"), "few-left")
+    late = _open_keys(few_left, drawn, "").mapInArrow(_between(bands, False), "a long, b long, domain int").select("a", "b")
+    late = written(late.distinct(), "between", WIDE)
+    discard(buckets, many, met, left_, few_left, labels, marked)
     release(spark)
-    late = _sketched(late, drawn, bands, ("",))
     late_pairs = late.join(stars, ["a", "b"], "left_anti").join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(_links(rows, people, late_pairs, shingle, percent))
     discard(people, drawn, tried)

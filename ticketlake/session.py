@@ -45,7 +45,8 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):  # a local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = _local_base(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/ticketlake/{purpose}-{uuid.uuid4().hex}"

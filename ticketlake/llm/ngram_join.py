@@ -458,12 +458,13 @@ def _links(rows: DataFrame, people: DataFrame, pairs: DataFrame, shingle: int, p
     sized = pairs.join(a, "a").join(b, "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     sized = written(sized.select("a", "b", "key_a", "key_b"), "pairs")
     # one text for each key that is asked for; equal rows share a key
-    asked = sized.select(F.explode(F.array("key_a", "key_b")).alias("key")).distinct()
+    # (written, so that Spark sees how few they are and need not shuffle the corpus for them)
+    asked = written(sized.select(F.explode(F.array("key_a", "key_b")).alias("key")).distinct(), "asked-texts")
     texts = written(rows.join(asked, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "texts")
     right, left = (texts.select(F.col("key").alias(f"key_{x}"), F.col("text").alias(f"text_{x}")) for x in "ba")
     full = sized.join(right, "key_b").join(left, "key_a").select("a", "b", "text_a", "text_b")
     linked = written(full.mapInArrow(_verify(shingle, percent), "a long, b long"), "similar", WIDE)
-    discard(sized, texts)
+    discard(sized, asked, texts)
     return linked
 
 
@@ -610,7 +611,8 @@ def keep_first(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     rows = docs.withColumns({"_id": number, "_key": key})
     single = rows.join(marked, ["_id", "_key"], "left_anti")
     # one of the rows that repeat the leading one; each task cuts its own to one before they are dealt by the struct
-    repeated = rows.join(marked.where("_leads"), ["_id", "_key"], "left_semi").withColumn("_both", F.struct("_id", "_key"))
+    leads = written(marked.where("_leads").select("_id", "_key"), "leads")
+    repeated = rows.join(leads, ["_id", "_key"], "left_semi").withColumn("_both", F.struct("_id", "_key"))
     plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if isinstance(f.dataType, AtomicType)]
     repeated = repeated.withColumn("_rank", F.row_number().over(Window.partitionBy("_both").orderBy(*plain))).where("_rank = 1")
     names = [F.col(f"`{c}`") for c in docs.columns]

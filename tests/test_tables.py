@@ -164,3 +164,46 @@ def test_late_keep_last(spark, folder, ties):
     if not ties:
         assert "Exchange hashpartitioning" not in plan
         assert all("description" not in line for line in plan.splitlines() if "Exchange" in line)
+
+
+TEXT_SCHEMA = "Ticket_ID string, v int, seq bigint, text string"
+
+
+def worded(spark, n, first=0, v=1):
+    """``wide`` with one of seven long texts in each row, and none in every eleventh."""
+    long = F.repeat(F.concat(F.lit("long text "), F.col("seq") % 7, F.lit(" ")), 200)
+    return wide(spark, n, first, v).withColumn("text", F.when(F.col("seq") % 11 != 0, long))
+
+
+@pytest.mark.parametrize("key", [None, "Ticket_ID"])
+def test_shared_texts_give_the_same_table(spark, folder, key):
+    plain = VersionedTable(spark, folder + "/p", key, 4)
+    shared = VersionedTable(spark, folder + "/s", key, 4, shared=("text",))
+    order = "seq" if key else None
+    assert rows(shared.overwrite(worded(spark, 300), order)) == rows(plain.overwrite(worded(spark, 300), order))
+    new = spark.createDataFrame([("k1", 7, 900, "a new text"), ("k2", 7, 901, ""), ("k3", 7, 902, None), (None, 7, 903, "a new text")], TEXT_SCHEMA)
+    for source in (worded(spark, 50, 280, 2), new):
+        assert rows(shared.merge(source, "Ticket_ID", "seq")) == rows(plain.merge(source, "Ticket_ID", "seq"))
+    for source in (new, worded(spark, 20, 5), worded(spark, 20).drop("text")):
+        assert rows(shared.append(source)) == rows(plain.append(source))
+    assert shared.read().schema == plain.read().schema
+    # a table that is opened again knows what it shares
+    again = VersionedTable(spark, folder + "/s")
+    assert rows(again.read()) == rows(plain.read()) and again.read(["seq", "v"]).columns == ["seq", "v"]
+    assert rows(again.overwrite(again.read().where("v = 7"))) == rows(plain.read().where("v = 7"))
+
+
+def test_a_shared_text_is_stored_and_moved_once(spark, folder):
+    table = VersionedTable(spark, folder + "/t", "Ticket_ID", 8, shared=("text",))
+    table.overwrite(worded(spark, 500), "seq")
+    table.merge(worded(spark, 100, 450, 2), "Ticket_ID", "seq")
+    texts = spark.read.parquet(*[str(p) for p in Path(folder, "t").glob("texts-*")])
+    assert texts.count() == texts.select("text").distinct().count() == 7
+    assert all(dict(spark.read.parquet(f"{table.path}/{p}").dtypes)["text"] == "binary" for p in table.parts())
+    narrow = table.read(["Ticket_ID", "v"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in narrow and "texts-" not in narrow
+
+
+def test_no_shared_key(spark, folder):
+    with pytest.raises(ValueError):
+        VersionedTable(spark, folder + "/t", "text", shared=("text",))

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -286,3 +287,22 @@ def test_models_are_loaded_once_for_each_worker(spark, folder):
 
     vectors = retrieval.embedded(candidates.select("text").distinct(), "text", make_texts).collect()
     assert all(r.vector == [len(r.text), len(r.text)] for r in vectors) and len(vectors) == 7
+
+
+def test_scores_of_a_batch_take_little_memory():
+    """A batch of 10,000 vectors and 1,000 queries: a bounded part of the scores is held at once."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    queries, vectors = rng.normal(size=(1000, 8)).astype(np.float32), rng.normal(size=(10_000, 8)).astype(np.float32)
+    lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * 8), pa.array(x.ravel()))
+    corpus = pa.table({"doc_order": pa.array(range(10_000)), "chunk_offset": pa.array([0] * 10_000, pa.int32()), "vector": lists(vectors)})
+    asked = pa.table({"query_id": pa.array(range(1000)), "vector": lists(queries)})
+    tracemalloc.start()
+    found = topk._search([corpus], [topk.VectorScorer("dense")], {"dense": asked}, 3, [])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120e6
+    got = np.array(found.sort_by([("query_id", "ascending"), ("score", "descending")])["doc_order"].to_pylist()).reshape(1000, 3)
+    far = ((queries[:, None, :].astype(np.float64) - vectors[None, :, :]) ** 2).sum(axis=2)
+    assert (got == np.argsort(far, axis=1)[:, :3]).all()

@@ -49,6 +49,26 @@ def test_language_edges(spark):
     assert language_id.identify(df.limit(0), model).count() == 0
 
 
+def test_scoring_takes_little_memory(spark):
+    """A batch of 4 MB of text needs less than 40 MB besides itself, and a text goes to Python once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    counts = {f"{a}{b}": 3 for a in "abcd" for b in "abcd"} | {a: 9 for a in "abcd"}
+    model = language_id._build({lang: counts for lang in "uvwx"}, 2)
+    docs = frame(spark, [(1, "ab cd", "u")])
+    asked = language_id.identify(docs, model)
+    assert "_text" not in asked._jdf.queryExecution().analyzed().toString()
+    assert asked.first().text == "ab cd"
+    batch = pa.RecordBatch.from_arrays([pa.array(["abcd dcba " * 200] * 2000), pa.array(range(2000))], ["text", "doc_id"])
+    tracemalloc.start()
+    rows = sum(x.num_rows for x in language_id._predict(model, 0, 2)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 2000 and peak < 40e6
+
+
 def test_kneser_ney_sums_to_one():
     texts = ["\0abab\0", "\0abc\0", "\0bbca\0"]
     counts = {}

@@ -21,13 +21,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ticketlake.llm.common import mix, runs_of, without_clash, written
 
 #: Letters decide; all else is one blank between words.
 _PRIME = [np.uint64(p) for p in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
-_RUN = 1 << 20
+#: Bytes of text that are scored at once.
+_RUN = 1 << 17
 
 
 def _letters() -> np.ndarray:
@@ -346,7 +348,9 @@ def train(labelled: DataFrame, order: int = 4, sample: int = 400, doc_id: str =
 _RESULT = "lang_pred string, score double, cross_entropy double, accepted boolean"
 
 
-def _predict(model: Model | None):
+def _predict(model: Model | None, place: int, width: int):
+    """Scores of the texts in column ``place``, beside the first ``width`` columns."""
+
     def score(texts: list[str | None]) -> list[pa.Array]:
         n = len(texts)
         plain = [t or "" for t in texts]
@@ -368,13 +372,13 @@ def _predict(model: Model | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("_text")
-            sizes = np.concatenate(([0], np.cumsum([len(t) if t is not None else 0 for t in texts.to_pylist()])))
-            for first, last in runs_of(sizes, _RUN):
+            texts = batch.column(place)
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+            for first, last in runs_of(np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), _RUN):
                 got = score(texts.slice(first, last - first).to_pylist())
                 rest = batch.slice(first, last - first)
-                rest = [rest.column(i) for i in range(rest.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*rest, *got], [*batch.schema.names[:-1], "lang_pred", "score", "cross_entropy", "accepted"])
+                rest = [rest.column(i) for i in range(width)]
+                yield pa.RecordBatch.from_arrays([*rest, *got], [*batch.schema.names[:width], "lang_pred", "score", "cross_entropy", "accepted"])
 
     return run
 
@@ -388,7 +392,10 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
     as many rows; without a model every text is "und".
     """
     base = without_clash(docs, "lang_pred", "score", "cross_entropy", "accepted", "_text")
-    fed = base.withColumn("_text", F.col(f"`{text}`"))
+    # a text that is kept goes to Python once
+    kept = base.columns.count(text) == 1
+    fed = base if kept else base.withColumn("_text", F.col(f"`{text}`"))
+    place = base.columns.index(text) if kept else len(base.columns)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
-    return fed.mapInArrow(_predict(model), f"{kinds}, {_RESULT}")
+    return fed.mapInArrow(_predict(model, place, len(base.columns)), f"{kinds}, {_RESULT}")
 

@@ -1,6 +1,7 @@
 """Repeated windows and near copies against brute force."""
 
 import hashlib
+import pathlib
 import random
 import re
 from collections import Counter
@@ -8,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from ticketlake.llm import ngram_join, repeats, rlz_dedup, suffix_dedup
+from ticketlake.llm import common, components, ngram_join, repeats, rlz_dedup, suffix_dedup
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, n_symbols long, kept string"
@@ -184,6 +185,48 @@ def test_one_of_each_group_stays(spark):
     assert kept == {component for _, _, component in graph(rows, 5, 80)}
 
 
+def test_no_text_moves_for_the_keys_of_copies(spark, monkeypatch):
+    """Keys go to the corpus, also where Spark's own limit for that is smaller; with very many of them Spark joins as before."""
+    rows = [r for r in near(4) if r[0] is not None]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for sent, joins in ((common.SENT_KEYS, 0), (0, 2)):
+            monkeypatch.setattr(common, "SENT_KEYS", sent)
+            kept = ngram_join.keep_first(frame(spark, rows), 5, 80)
+            plan = kept._jdf.queryExecution().executedPlan().toString()
+            assert (plan.count("SortMergeJoin") > 0) == (joins > 0)
+            assert {r.doc_id for r in kept.collect()} == {component for _, _, component in graph(rows, 5, 80)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_few_rows_are_few_tasks(spark, monkeypatch, folder):
+    """Steps on few shared buckets are not dealt to as many tasks as shuffles have."""
+    rows, parts = near(5), {}
+
+    def counted(df, purpose, *args, **named):
+        table = common.written(df, purpose, *args, **named)
+        parts.setdefault(purpose, []).append(len(list(pathlib.Path(table._scratch.removeprefix("file:")).glob("part-*"))))
+        return table
+
+    for module in (ngram_join, components):
+        monkeypatch.setattr(module, "written", counted)
+    monkeypatch.setattr(ngram_join, "LEAST_TASKS", 3)
+    held = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        got = ngram_join.components(frame(spark, rows), 4, 85).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got], key=str) == sorted(graph(rows, 4, 85), key=str)
+    for purpose in ("similar", "texts", "links", "least", "large-star", "small-star", "close", "nearest", "labels", "between", "groups"):
+        assert parts[purpose] and max(parts[purpose]) <= 3
+
+
 def test_one_row_of_each_group_stays(spark):
     one, other, third = ("".join(f"{w}{i} " for i in range(40)) for w in "abc")
     rows = [(1, one)] * 50 + [(2, one)] * 3 + [(3, one + "end")]  # the leading row repeats

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import AtomicType
 
-from ticketlake.llm.common import column_bytes, discard, gram_hashes, lower_ascii, mix, release, runs_of, word_hashes, word_spans, written
+from ticketlake.llm.common import column_bytes, discard, gram_hashes, lower_ascii, meeting, mix, release, runs_of, word_hashes, word_spans, written
 from ticketlake.llm.components import connected
 
 _RUN = 1 << 20
@@ -49,6 +49,8 @@ ASKED = 8
 #: Bytes of sketches in one block of a larger bucket (a row counts as 1 KB at least), and rows and bytes that a task holds before it compares.
 BLOCK_BYTES = 4 << 20
 _HELD_ROWS, _HELD_BYTES = 5_000, 8 << 20
+#: Rows of shared buckets for one task of the steps after them, and tasks at least; few rows are not dealt to as many tasks as texts.
+TASK_ROWS, LEAST_TASKS = 20_000, 12
 #: A row's sides in a comparison: it is compared with the others, they are compared with it, it is outside the bucket's largest component.
 _ASKS, _ANSWERS, _OUTSIDE = 1, 2, 4
 
@@ -421,18 +423,18 @@ def _own(size: str = "") -> Column:
     return F.when(F.col("domain") == F.col("opens"), F.col(f"own{size}")).otherwise(F.col(f"below{size}"))
 
 
-def _sketched(pairs: DataFrame, drawn: DataFrame, bands: Bands, sizes: tuple[str, ...] = ("_small", "")) -> DataFrame:
+def _sketched(pairs: DataFrame, drawn: DataFrame, bands: Bands, tasks: int, sizes: tuple[str, ...] = ("_small", "")) -> DataFrame:
     """Of pairs ``a``, ``b`` of a ``domain`` those whose sketches let them be linked: small ones first, then whole ones."""
     spark = drawn.sparkSession
     for size in sizes:
         # the sketches that are asked for, so that all of them move once at most, and none where few are asked for
-        asked = written(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "asked")
-        some = written(drawn.select("cls", "n", "opens", f"own{size}", f"below{size}").join(asked, "cls", "left_semi"), "asked-sketches")
+        asked = written(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "asked", tasks=tasks)
+        some = written(meeting(drawn.select("cls", "n", "opens", f"own{size}", f"below{size}"), asked, "left_semi"), "asked-sketches")
         both = pairs
         for x in "ab":
             one = some.withColumnsRenamed({"cls": x, "n": f"n_{x}"})
             both = both.join(one, x).withColumn(f"s_{x}", _own(size)).drop("opens", f"own{size}", f"below{size}")
-        both = both.select("a", "b", "domain", "n_a", "n_b", "s_a", "s_b").mapInArrow(_allowed(bands), "a long, b long, domain int")
+        both = both.select("a", "b", "domain", "n_a", "n_b", "s_a", "s_b").coalesce(tasks).mapInArrow(_allowed(bands), "a long, b long, domain int")
         before, pairs = pairs, written(both, "sketched", WIDE)
         discard(asked, some)
         if size != sizes[0]:
@@ -442,28 +444,27 @@ def _sketched(pairs: DataFrame, drawn: DataFrame, bands: Bands, sizes: tuple[str
     return pairs
 
 
-def _open_keys(members: DataFrame, drawn: DataFrame, size: str = "_small") -> DataFrame:
+def _open_keys(members: DataFrame, drawn: DataFrame, tasks: int, size: str = "_small") -> DataFrame:
     """Rows ``k``, ``cls``, ``domain``, ``label``, ``asks`` of mixed keys with their sketches, dealt to blocks in order."""
     tops = members.groupBy("k", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("k").agg(F.sum("c").alias("members"), F.max(F.struct("c", "label")).alias("t"))
-    tops = written(tops.select("k", "members", F.col("t.label").alias("top"), F.col("t.c").alias("topped")).where("topped < members"), "tops")
+    tops = written(tops.select("k", "members", F.col("t.label").alias("top"), F.col("t.c").alias("topped")).where("topped < members"), "tops", tasks=tasks)
     some = drawn.select("cls", "n", "opens", f"own{size}", f"below{size}")
     rows = members.join(tops, "k").join(some, "cls")
     rows = rows.select("k", "cls", "domain", "label", "asks", "n", "opens", _own(size).alias("sketch"), "members", "top", "topped")
-    return _blocks(rows, BLOCK_BYTES).repartition("k", "p", "q").sortWithinPartitions("k", "p", "q")
+    return _blocks(rows, BLOCK_BYTES).repartition("k", "p", "q").sortWithinPartitions("k", "p", "q").coalesce(tasks)
 
 
-def _links(rows: DataFrame, people: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _links(rows: DataFrame, people: DataFrame, pairs: DataFrame, shingle: int, percent: int, tasks: int) -> DataFrame:
     """Of pairs of classes those whose sets are similar enough, by their texts."""
     a, b = (people.select(F.col("cls").alias(x), F.col("key").alias(f"key_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
     sized = pairs.join(a, "a").join(b, "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    sized = written(sized.select("a", "b", "key_a", "key_b"), "pairs")
+    sized = written(sized.select("a", "b", "key_a", "key_b"), "pairs", tasks=tasks)
     # one text for each key that is asked for; equal rows share a key
-    # (written, so that Spark sees how few they are and need not shuffle the corpus for them)
-    asked = written(sized.select(F.explode(F.array("key_a", "key_b")).alias("key")).distinct(), "asked-texts")
-    texts = written(rows.join(asked, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "texts")
+    asked = written(sized.select(F.explode(F.array("key_a", "key_b")).alias("key")).distinct(), "asked-texts", tasks=tasks)
+    texts = written(meeting(rows, asked, "left_semi").groupBy("key").agg(F.first("text").alias("text")), "texts", tasks=tasks)
     right, left = (texts.select(F.col("key").alias(f"key_{x}"), F.col("text").alias(f"text_{x}")) for x in "ba")
     full = sized.join(right, "key_b").join(left, "key_a").select("a", "b", "text_a", "text_b")
-    linked = written(full.mapInArrow(_verify(shingle, percent), "a long, b long"), "similar", WIDE)
+    linked = written(full.coalesce(tasks).mapInArrow(_verify(shingle, percent), "a long, b long"), "similar", WIDE)
     discard(sized, asked, texts)
     return linked
 
@@ -516,25 +517,31 @@ def _grouped(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str
     buckets = written(signs.mapInArrow(_shared, "k long, cls long, domain int, lead long"), "buckets")
     del signs
     release(spark)
+    # what follows has about as many rows as there are in shared buckets
+    tasks = max(LEAST_TASKS, -(-buckets.count() // TASK_ROWS))
 
     # sketches of the classes that share a bucket with another one
     drawn = sets.select("cls", "key", "n", *DRAWN, F.col("domain").alias("opens"))
-    drawn = drawn.join(people.select("key", "cls").join(buckets.select("cls").distinct(), "cls", "left_semi"), ["key", "cls"], "left_semi")
-    drawn = written(drawn.drop("key").dropDuplicates(["cls"]), "sketches")
+    sharing = written(people.select("key", "cls").join(buckets.select("cls").distinct(), "cls", "left_semi"), "sharing", tasks=tasks)
+    drawn = written(meeting(drawn, sharing, "left_semi").drop("key"), "sketches", tasks=tasks)
+    if drawn.count() > sharing.count():  # equal rows share a key; without them nothing has to be shuffled
+        twice, drawn = drawn, written(drawn.dropDuplicates(["cls"]), "sketches", tasks=tasks)
+        discard(twice)
+    discard(sharing)
     fat, sets = sets, written(sets.select("key", "doc_id", "n", "cls"), "sizes")
     discard(fat)
     release(spark)
     stars = buckets.where("cls <> lead").groupBy(F.col("lead").alias("a"), F.col("cls").alias("b")).agg(F.min("domain").alias("domain"))
-    stars = _sketched(stars, drawn, bands).select("a", "b")
-    near = _links(rows, people, stars, shingle, percent)
+    stars = _sketched(stars, drawn, bands, tasks).select("a", "b")
+    near = _links(rows, people, stars, shingle, percent, tasks)
     release(spark)
-    labels = connected(near)
+    labels = connected(near, tasks)
 
     # keys that still hold several components
     marked = buckets.select("k", "cls", "domain").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    marked = written(marked.select("k", "cls", "domain", F.coalesce("component", "cls").alias("label")), "marked")
+    marked = written(marked.select("k", "cls", "domain", F.coalesce("component", "cls").alias("label")), "marked", tasks=tasks)
     mixed = marked.groupBy("k").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members")).where("low <> high")
-    mixed = written(mixed.select("k", (F.col("members") > FEW).alias("many")), "mixed")
+    mixed = written(mixed.select("k", (F.col("members") > FEW).alias("many")), "mixed", tasks=tasks)
     release(spark)
     # small buckets: the same two documents may meet in very many of them, so their pairs come first and their sketches once
     sized = drawn.select("cls", "n", "opens", "own_shared", "below_shared")
@@ -547,41 +554,41 @@ def _grouped(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str
     close = left.join(right, "k").where(apart).groupBy(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"))
     # linked documents share several keys; those that miss some of them here share a large bucket, and are compared there
     close = close.agg(F.min("domain_a").alias("domain"), F.count(F.lit(1)).alias("met"), F.min(F.least("shared_a", "shared_b")).alias("shared"))
-    close = written(close.where("met >= shared").drop("met", "shared"), "close")
+    close = written(close.where("met >= shared").drop("met", "shared"), "close", tasks=tasks)
     release(spark)
-    close = _sketched(close, drawn, bands, ("_small",))
+    close = _sketched(close, drawn, bands, tasks, ("_small",))
     # large buckets, first: in the largest ones of its keys each class meets the nearest of another component, by
     # small sketches; so groups of near copies that stars have left in parts grow together, at a few rows a class
-    many = written(marked.join(mixed.where("many").select("k"), "k").select("k", "cls", "domain", "label"), "many")
+    many = written(marked.join(mixed.where("many").select("k"), "k").select("k", "cls", "domain", "label"), "many", tasks=tasks)
     discard(marked, mixed)
-    sizes = written(many.groupBy("k").agg(F.count(F.lit(1)).alias("members")), "key-sizes")
+    sizes = written(many.groupBy("k").agg(F.count(F.lit(1)).alias("members")), "key-sizes", tasks=tasks)
     largest = F.row_number().over(Window.partitionBy("cls").orderBy(F.desc("members"), "k"))
     asked = many.select("k", "cls").join(sizes, "k").withColumn("nth", largest).where(F.col("nth") <= ASKED)
-    asked = written(asked.select("cls", "k"), "asked")
+    asked = written(asked.select("cls", "k"), "asked", tasks=tasks)
     some = many.join(asked.select("k").distinct(), "k", "left_semi").join(asked.withColumn("asks", F.lit(True)), ["cls", "k"], "left")
-    met = _open_keys(some.withColumn("asks", F.coalesce("asks", F.lit(False))), drawn).mapInArrow(_between(bands, True), "a long, b long, domain int")
-    met = written(met.groupBy("a", "b").agg(F.min("domain").alias("domain")), "nearest", WIDE)
+    met = _open_keys(some.withColumn("asks", F.coalesce("asks", F.lit(False))), drawn, tasks).mapInArrow(_between(bands, True), "a long, b long, domain int")
+    met = written(met.groupBy("a", "b").agg(F.min("domain").alias("domain")), "nearest", WIDE, tasks)
     discard(sizes, asked)
     release(spark)
-    tried = _sketched(met.unionByName(close).groupBy("a", "b").agg(F.min("domain").alias("domain")), drawn, bands, ("",))
-    tried = written(tried.select("a", "b").join(stars, ["a", "b"], "left_anti"), "tried")
-    links = near.unionByName(_links(rows, people, tried, shingle, percent))
+    tried = _sketched(met.unionByName(close).groupBy("a", "b").agg(F.min("domain").alias("domain")), drawn, bands, tasks, ("",))
+    tried = written(tried.select("a", "b").join(stars, ["a", "b"], "left_anti"), "tried", tasks=tasks)
+    links = near.unionByName(_links(rows, people, tried, shingle, percent, tasks))
     # then, in all that still hold several components, the members that small sketches let be linked with one of another
     # component, and of these every pair that whole sketches allow
-    labels = written(connected(links), "labels")
+    labels = written(connected(links, tasks), "labels", tasks=tasks)
     left_ = many.select("k", "cls", "domain").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    left_ = written(left_.select("k", "cls", "domain", F.coalesce("component", "cls").alias("label"), F.lit(True).alias("asks")), "left")
-    marked = written(_open_keys(left_, drawn).mapInArrow(_between(bands, False, marks=True), "k long, cls long").distinct(), "marked", WIDE)
-    few_left = written(left_.join(marked, ["k", "cls"], "left_semi"), "few-left")
-    late = _open_keys(few_left, drawn, "").mapInArrow(_between(bands, False), "a long, b long, domain int").select("a", "b")
-    late = written(late.distinct(), "between", WIDE)
+    left_ = written(left_.select("k", "cls", "domain", F.coalesce("component", "cls").alias("label"), F.lit(True).alias("asks")), "left", tasks=tasks)
+    marked = written(_open_keys(left_, drawn, tasks).mapInArrow(_between(bands, False, marks=True), "k long, cls long").distinct(), "marked", WIDE, tasks)
+    few_left = written(left_.join(marked, ["k", "cls"], "left_semi"), "few-left", tasks=tasks)
+    late = _open_keys(few_left, drawn, tasks, "").mapInArrow(_between(bands, False), "a long, b long, domain int").select("a", "b")
+    late = written(late.distinct(), "between", WIDE, tasks)
     discard(buckets, many, met, left_, few_left, labels, marked)
     release(spark)
     late_pairs = late.join(stars, ["a", "b"], "left_anti").join(tried, ["a", "b"], "left_anti")
-    links = links.unionByName(_links(rows, people, late_pairs, shingle, percent))
+    links = links.unionByName(_links(rows, people, late_pairs, shingle, percent, tasks))
     discard(people, drawn, tried)
     release(spark)
-    groups = written(connected(links), "groups")
+    groups = written(connected(links, tasks), "groups", tasks=tasks)
 
     # classes to documents: a component's smallest id, over all its copies
     counts = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count(F.lit(1)).alias("n_links"))
@@ -609,10 +616,10 @@ def keep_first(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str
     discard(keys, first)
     key, _, number = _row(doc_id, text)
     rows = docs.withColumns({"_id": number, "_key": key})
-    single = rows.join(marked, ["_id", "_key"], "left_anti")
+    single = meeting(rows, marked.select("_id", "_key"), "left_anti")
     # one of the rows that repeat the leading one; each task cuts its own to one before they are dealt by the struct
     leads = written(marked.where("_leads").select("_id", "_key"), "leads")
-    repeated = rows.join(leads, ["_id", "_key"], "left_semi").withColumn("_both", F.struct("_id", "_key"))
+    repeated = meeting(rows, leads, "left_semi").withColumn("_both", F.struct("_id", "_key"))
     plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if isinstance(f.dataType, AtomicType)]
     repeated = repeated.withColumn("_rank", F.row_number().over(Window.partitionBy("_both").orderBy(*plain))).where("_rank = 1")
     names = [F.col(f"`{c}`") for c in docs.columns]

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ticketlake.llm import common, components, ngram_join, repeats, rlz_dedup, suffix_dedup
 
@@ -335,3 +336,19 @@ def test_factors_decide_what_is_looked_up(monkeypatch):
     two = partition(rlz_dedup.solver(35)(data, bounds, windows))
     assert one == two and any(len(c) > 1 for c in one)
     assert looked[0] < looked[1] - 300 and looked[1] == windows.sum() - len(windows)
+
+
+def test_join_keys_are_dealt_to_as_many_tasks_as_there_are_keys_for(spark):
+    """A task sorts a bounded number of keys, also where shuffles have few partitions; few keys are not dealt to more tasks."""
+    bands = ngram_join.Bands(80)
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(10 + i))) for i in range(40)], "key long, text string")
+    rows = docs.selectExpr("key", "text", "key as doc_id")
+    sets = rows.mapInArrow(ngram_join._sets(5, 0, bands), ngram_join._SETS)
+    signs = rows.mapInArrow(ngram_join._signatures(5, 0, bands), "k long, cls long, domain int").localCheckpoint()
+    dealt = ngram_join._dealt_keys(signs, sets, bands, most=30)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(sizes) == signs.count() and len(sizes) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(sizes) < 3 * 30
+    assert dealt.select("k", F.spark_partition_id().alias("task")).distinct().groupBy("k").count().where("count > 1").isEmpty()
+    few = ngram_join._dealt_keys(signs, sets, bands)
+    assert few.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))

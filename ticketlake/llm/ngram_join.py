@@ -51,6 +51,8 @@ BLOCK_BYTES = 4 << 20
 _HELD_ROWS, _HELD_BYTES = 5_000, 8 << 20
 #: Rows of shared buckets for one task of the steps after them, and tasks at least; few rows are not dealt to as many tasks as texts.
 TASK_ROWS, LEAST_TASKS = 20_000, 12
+#: Keys that a task puts in order at most, about: what it sorts in does not grow with the corpus, however few partitions shuffles have.
+SORTED_KEYS = 400_000
 #: A row's sides in a comparison: it is compared with the others, they are compared with it, it is outside the bucket's largest component.
 _ASKS, _ANSWERS, _OUTSIDE = 1, 2, 4
 
@@ -164,6 +166,15 @@ def part_keys(shingles: np.ndarray, domain: int, parts: int, spare: int) -> np.n
 # --- the steps ---------------------------------------------------------------------
 
 
+def _dealt_keys(signs: DataFrame, sets: DataFrame, bands: Bands, most: int | None = None) -> DataFrame:
+    """Join keys dealt by key, to more tasks than shuffles have where these would get more than ``most`` keys each."""
+    # sizes grow from band to band, so there are few bands
+    counts = sets.where("n > 0").groupBy("domain").count().collect()
+    keys = sum(n * sum(bands.parts(x) for x in {d, max(d - 1, 0)}) for d, n in counts)
+    tasks = -(-keys // (most or SORTED_KEYS))
+    return signs.repartition(tasks, "k") if tasks > int(signs.sparkSession.conf.get("spark.sql.shuffle.partitions")) else signs.repartition("k")
+
+
 def _class_of(s: np.ndarray) -> int:
     return int(mix(np.bitwise_xor.reduce(mix(s), keepdims=True) + np.uint64(len(s))).view(np.int64)[0])
 
@@ -513,7 +524,7 @@ def _grouped(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str
     people = written(sets.where("n > 0").groupBy("cls").agg(F.min("key").alias("key"), F.first("n").alias("n")), "classes")
 
     signs = rows.mapInArrow(_signatures(shingle, seed, bands), "k long, cls long, domain int")
-    signs = signs.repartition("k").sortWithinPartitions("k", "cls")
+    signs = _dealt_keys(signs, sets, bands).sortWithinPartitions("k", "cls")
     buckets = written(signs.mapInArrow(_shared, "k long, cls long, domain int, lead long"), "buckets")
     del signs
     release(spark)

@@ -124,6 +124,24 @@ def test_pipeline_runs_and_runs_again(spark, folder):
     assert lineage.run_status(log).groupBy("status").count().collect() == [("COMPLETE", 14)]
 
 
+def test_silver_is_made_from_the_bronze_table(spark, folder, monkeypatch):
+    """What bronze does not hold is not in silver, gold and the index either, and its stamps come from bronze."""
+    given = VersionedTable.overwrite
+
+    def overwrite(self, df, *options, **more):
+        if self.path.endswith("/bronze"):
+            df = df.where("Assigned_Agent <> 'David Kim'").withColumn("_data_source", F.lit("bronze"))
+        return given(self, df, *options, **more)
+
+    monkeypatch.setattr(VersionedTable, "overwrite", overwrite)
+    result = run_pipeline(spark, folder, tickets=generate_tickets(spark, 100, 0.0).drop("fault"))
+    tables = {n: VersionedTable(spark, f"{folder}/tables/{n}").read() for n in ("bronze", "silver", "gold_agent")}
+    assert 0 < result["bronze"]["bronze_count"] == tables["bronze"].count() < result["validate"]["valid_count"]
+    assert result["silver"]["silver_count"] == result["rag"]["documents_count"] == tables["bronze"].select("Ticket_ID").distinct().count()
+    assert {r._data_source for r in tables["silver"].collect()} == {"bronze"} and "batch_id" not in tables["silver"].columns
+    assert "David Kim" not in {r.Assigned_Agent for r in tables["gold_agent"].collect()}
+
+
 def test_pipeline_takes_records_and_generates_by_default(spark, folder):
     records = [r.asDict() for r in generate_tickets(spark, 20, 0.0).drop("fault", "seq").collect()]
     assert run_pipeline(spark, folder + "/a", tickets=records)["silver"]["silver_count"] == 20

@@ -207,3 +207,16 @@ def test_a_shared_text_is_stored_and_moved_once(spark, folder):
 def test_no_shared_key(spark, folder):
     with pytest.raises(ValueError):
         VersionedTable(spark, folder + "/t", "text", shared=("text",))
+
+
+def test_texts_that_a_table_has_are_not_moved(spark, folder):
+    """Rows whose texts are all stored add none: neither an empty folder nor a pass over the texts."""
+    table = VersionedTable(spark, folder + "/t", "Ticket_ID", 8, shared=("text",))
+    made = table.overwrite(worded(spark, 300), "seq")
+    before = rows(made)
+    table.append(made)
+    table.merge(worded(spark, 50, 280), "Ticket_ID", "seq")
+    assert len(list(Path(folder, "t").glob("texts-*"))) == 1
+    table.append(spark.createDataFrame([("k1", 7, 900, "a new text")], TEXT_SCHEMA))
+    assert len(list(Path(folder, "t").glob("texts-*"))) == 2
+    assert {"a new text", *(r[3] for r in before)} == {r.text for r in table.read().collect()}
